@@ -34,9 +34,13 @@ def epoch_seconds(c: Column) -> Column:
 
 
 def instant_from_ntz(c: Column) -> Column:
-    """Read a zone-less timestamp as UTC."""
+    """Read a zone-less timestamp as UTC.
+
+    The difference of two zone-less timestamps is exact in every session zone.
+    """
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch, c))
+    seconds = (c - epoch).cast("interval second").cast("decimal(18,6)")
+    return F.timestamp_micros((seconds * F.lit(1_000_000)).cast("bigint"))
 
 
 def utc_date(ms: Column) -> Column:
