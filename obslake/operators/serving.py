@@ -12,18 +12,18 @@ RESULT_COLUMNS = [
 ]
 
 
+def _utc(t: datetime) -> datetime:
+    return t.replace(tzinfo=timezone.utc) if t.tzinfo is None else t.astimezone(timezone.utc)
+
+
 def check_time_range(frm: datetime | None, to: datetime | None) -> None:
     """Both ends are given and the first lies strictly before the second."""
     if frm is None or to is None:
         raise ValueError("'from' and 'to' must not be null")
-    if not frm < to:
+    if not _utc(frm) < _utc(to):
         raise ValueError(f"'from' ({frm}) must be strictly before 'to' ({to})")
 
 
-def _utc(t: datetime) -> datetime:
-    return t.replace(tzinfo=timezone.utc) if t.tzinfo is None else t.astimezone(timezone.utc)
-
-
 def _instant(t: datetime):
     micros = (_utc(t) - datetime(1970, 1, 1, tzinfo=timezone.utc)) // timedelta(microseconds=1)
     return F.timestamp_micros(F.lit(micros))

@@ -1,0 +1,62 @@
+from datetime import datetime, timedelta, timezone
+
+import pytest
+from pyspark.sql import functions as F
+
+from obslake.operators.serving import check_time_range, query_aggregates, query_series
+from obslake.schemas import METRIC_AGGREGATE
+from obslake.sinks.aggregates import upsert_aggregates
+from obslake.sources.tables import read_aggregates
+from tests.conftest import plan_of
+
+AT = datetime(2024, 1, 15, 10, 0, tzinfo=timezone.utc)
+MINUTE = timedelta(minutes=1)
+
+
+def aggregates(spark, *avgs, metric="cpu.usage", service="svc-api", start=AT):
+    rows = [
+        (metric, service, "API", "production", 60 * a, a - 10, a + 10, 60, float(a), start + i * MINUTE, start + (i + 1) * MINUTE)
+        for i, a in enumerate(avgs)
+    ]
+    return spark.createDataFrame([(*r[:4], *map(float, r[4:7]), *r[7:]) for r in rows], METRIC_AGGREGATE)
+
+
+def test_range_is_inclusive_and_windows_lie_inside(spark):
+    df = aggregates(spark, 72.5, 68.0, 75.0)
+    find = lambda frm, to: [r.avg_value for r in query_aggregates(df, "cpu.usage", "svc-api", frm, to).collect()]
+    assert find(AT, AT + 3 * MINUTE) == [72.5, 68.0, 75.0]
+    assert find(AT, AT + 2 * MINUTE) == [72.5, 68.0]
+    assert find(AT + timedelta(seconds=1), AT + 3 * MINUTE) == [68.0, 75.0]
+    assert find(AT, AT + 2 * MINUTE - timedelta(milliseconds=1)) == [72.5]
+    row = query_aggregates(df, "cpu.usage", "svc-api", AT, AT + MINUTE).first()
+    assert (row.min_value, row.max_value, row.count_value) == (62.5, 82.5, 60)
+    assert query_aggregates(df, "nothing", "svc-api", AT, AT + MINUTE).count() == 0
+
+
+def test_series_in_time_order(spark):
+    df = aggregates(spark, 72.5, 68.0, 75.0).orderBy(F.desc("window_start"))
+    for frm in (AT, AT.replace(tzinfo=None)):
+        rows = query_series(df, "cpu.usage", "svc-api", frm, AT + 9 * MINUTE).collect()
+        assert [r.value for r in rows] == [72.5, 68.0, 75.0]
+
+
+def test_range_errors():
+    with pytest.raises(ValueError, match="must not be null"):
+        check_time_range(None, AT)
+    with pytest.raises(ValueError, match="strictly before"):
+        check_time_range(AT, AT)
+    with pytest.raises(ValueError, match="strictly before"):
+        check_time_range(AT + timedelta(days=1), AT)
+
+
+def test_stored_query_prunes_and_pushes_down(spark, tmp_path):
+    table = str(tmp_path / "t")
+    upsert_aggregates(aggregates(spark, 1.0, 2.0).unionByName(aggregates(spark, 5.0, start=AT + timedelta(days=3))), table)
+    found = query_series(read_aggregates(spark, table), "cpu.usage", "svc-api", AT, AT + timedelta(hours=1))
+    assert [r.value for r in found.collect()] == [1.0, 2.0]
+    plan = plan_of(found)
+    assert "PartitionFilters" in plan and "window_date" in plan.split("PartitionFilters")[1].split("\n")[0]
+    pushed = plan.split("PushedFilters")[1].split("\n")[0]
+    assert "EqualTo(metric_name,cpu.usage)" in pushed and "GreaterThanOrEqual(window_start" in pushed
+    schema = plan.split("ReadSchema")[1].split("\n")[0]
+    assert "min_value" not in schema and "avg_value" in schema
