@@ -170,7 +170,8 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(F.lit("\t "), iso, F.lit(" ["), kind, F.lit("] ["), service, F.lit("] user "), user, F.lit(" ")))
         .alias("value")
     )
-    started = F.timestamp_micros((F.lit(1704067200) + F.col("conv_id") * 60 + F.col("turn")) * 1000000)
+    age = F.make_dt_interval(secs=(F.col("conv_id") * 60 + F.col("turn")).cast("decimal(18,6)"))
+    started = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + age
     header = F.concat(_iso(started), F.lit(" ["), F.col("role"), F.lit("] [chat-"), F.col("conv_id").cast("string"), F.lit("] "))
     turns = table(spark, sf_dir, "conversations").select(
         F.explode(F.split(F.concat(header, F.col("text")), "\n")).alias("value")
