@@ -25,7 +25,7 @@ def parse_instant(c: Column) -> Column:
 def wire_timestamp(c: Column) -> Column:
     """Timestamp from JSON text: decimal epoch seconds or an ISO-8601 instant."""
     micros = F.floor(c.try_cast("decimal(29,9)") * F.lit(1_000_000)).try_cast("bigint")
-    return F.coalesce(F.timestamp_micros(micros), parse_instant(c))
+    return F.when(c.contains("T"), parse_instant(c)).otherwise(F.timestamp_micros(micros))
 
 
 def epoch_seconds(c: Column) -> Column:

@@ -12,7 +12,7 @@ from obslake.operators.ingest import decode_cdc
 from obslake.session import build_session
 from obslake.sinks.topics import print_user_events
 from obslake.sources.tables import read_service_metadata
-from obslake.sources.topics import decode_user_events, read_topic, read_topic_bytes
+from obslake.sources.topics import read_topic, read_topic_bytes, read_user_events
 from obslake.streaming import flows
 from obslake.streaming.cdc import latest_snapshot, start_cdc_snapshot
 
@@ -55,7 +55,7 @@ def start(
         ),
         "log-archive": lambda c: flows.start_log_archive(topic("logs"), where["logs_raw"], c),
         "user-events": lambda c: print_user_events(
-            decode_user_events(
+            read_user_events(
                 read_topic_bytes(spark, TOPICS["users"], **options).select("value"), descriptor_path=descriptor
             ),
             checkpoint=c,

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from obslake.functions.text import is_blank
-from obslake.operators.dimension import SALTS, left_join_dimension
+from obslake.operators.dimension import (
+    ROWS_PER_TASK, hot_keys, left_join_dimension, repeated_for_salts, with_salt,
+)
 from obslake.schemas import METADATA
 
 
@@ -53,29 +55,30 @@ def cdc_enrich_in_order(
     changes: DataFrame,
     arrival: str,
     change_order: list[str],
-    salts: int = SALTS,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Apply to each metric the state its service had when the metric arrived.
 
     ``changes`` has the same ``arrival`` column; a change and a metric arriving
     together count as change first.  Earlier state is passed in as changes with a
-    null ``arrival``.  Rows run through one running window per (service, salt):
-    metrics are spread over the salts, the far fewer changes go to all of them,
-    and the running frame keeps only the last change.
+    null ``arrival``.  Rows run through one running window per (service, salt): the
+    metrics of a hot service are spread over several salts, its far fewer changes
+    go to all of them, and the running frame keeps only the last change.
     """
     targets = [c for c in METADATA if c in metrics.columns]
-    salt = F.pmod(F.xxhash64(*[c for c in ("timestamp_ms", "value", "metric_name") if c in metrics.columns]), F.lit(salts)).cast("int")
-    rows = metrics.select(
+    spread_by = [c for c in ("timestamp_ms", "value", "metric_name") if c in metrics.columns]
+    hot = hot_keys(metrics, "service_id", rows_per_task)
+    rows = with_salt(metrics, "service_id", hot, spread_by).select(
         "*",
-        salt.alias("_salt"),
         F.lit(1).alias("_kind"),
         F.lit(None).cast(_change_type(changes, targets)).alias("_change"),
         *[F.lit(None).cast(changes.schema[c].dataType).alias(f"_o_{c}") for c in change_order],
     )
-    feed = changes.filter(~is_blank(F.col("service_id"))).select(
+    valid = changes.filter(~is_blank(F.col("service_id")))
+    feed = repeated_for_salts(valid, "service_id", hot).select(
         "service_id",
         F.col(arrival),
-        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"),
+        "_salt",
         F.lit(0).alias("_kind"),
         F.struct(_is_delete(F.col("op")).alias("gone"), *targets).alias("_change"),
         *[F.col(c).alias(f"_o_{c}") for c in change_order],

@@ -34,6 +34,13 @@ def split_frames(df: DataFrame, value: str = "value") -> DataFrame:
     )
 
 
+def frame_payload(df: DataFrame, schema_id: int, payload: str = "payload") -> DataFrame:
+    """Put the header in front of a binary payload: the inverse of ``split_frames``."""
+    header = F.unhex(F.lit(f"00{schema_id:08x}00"))
+    carried = [F.col(c) for c in df.columns if c not in (payload, "value")]
+    return df.select(*carried, F.concat(header, F.col(payload)).alias("value"))
+
+
 def require_frames(frames: DataFrame) -> DataFrame:
     """Fail the job on a wrong magic byte; frames with another defect are dropped."""
     bad_magic = F.coalesce(F.col("reject_reason").startswith("unexpected magic"), F.lit(False))

@@ -11,7 +11,7 @@ from obslake.functions.times import hour_partitions, utc_date
 SOURCE, RECEIVED, DATA = "_source_api", "_received_at", "_data"
 
 
-def external_records(topic: DataFrame) -> DataFrame:
+def read_external(topic: DataFrame) -> DataFrame:
     """Topic records to ``(source_api, payload, received_at)``.
 
     A missing key becomes ``unknown``; payloads without text are dropped; the

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from obslake.functions.once import evaluated_once
 from obslake.functions.text import fails_not_blank, trim_control
 from obslake.functions.times import epoch_seconds, wire_timestamp
 from obslake.schemas import CDC_FIELDS, METADATA_FIELDS, METRIC_EVENT_FIELDS, NORMALIZED_FIELDS
@@ -106,7 +107,7 @@ def flag_decoded_metric_events(df: DataFrame, value: str = "value") -> DataFrame
     parsed = df.select(
         *carried,
         F.col(value).alias("raw_value"),
-        F.from_json(F.col(value), _EVENT_WIRE, _PERMISSIVE).alias("_event"),
+        evaluated_once(F.from_json(F.col(value), _EVENT_WIRE, _PERMISSIVE)).alias("_event"),
     )
     event = F.col("_event")
     return parsed.select(
@@ -126,7 +127,7 @@ def decode_metric_events(df: DataFrame, value: str = "value") -> tuple[DataFrame
 def decode_normalized(df: DataFrame, value: str = "value") -> DataFrame:
     """JSON text to normalized metrics; malformed rows and rows without ``timestampMs`` are dropped."""
     carried = [F.col(c) for c in df.columns if c != value and c not in NORMALIZED_FIELDS.values()]
-    parsed = df.select(*carried, F.from_json(F.col(value), _NORMALIZED_WIRE, _PERMISSIVE).alias("_m"))
+    parsed = df.select(*carried, evaluated_once(F.from_json(F.col(value), _NORMALIZED_WIRE, _PERMISSIVE)).alias("_m"))
     m = F.col("_m")
     ms = m["timestampMs"].try_cast("bigint")
     columns = {dest: m[src] for src, dest in NORMALIZED_FIELDS.items() if src != "timestamp"}
@@ -146,7 +147,7 @@ def decode_cdc(df: DataFrame, value: str = "value") -> DataFrame:
     Malformed rows and tombstones (null text) are dropped.
     """
     carried = [F.col(c) for c in df.columns if c != value and c not in CDC_FIELDS.values()]
-    parsed = df.select(*carried, F.from_json(F.col(value), _CDC_WIRE, _PERMISSIVE).alias("_c"))
+    parsed = df.select(*carried, evaluated_once(F.from_json(F.col(value), _CDC_WIRE, _PERMISSIVE)).alias("_c"))
     c = F.col("_c")
     op = F.coalesce(c["op"], c["payload"]["op"])
     before = F.coalesce(c["before"], c["payload"]["before"])

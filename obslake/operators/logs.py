@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from obslake.functions.once import evaluated_once
 from obslake.functions.text import trim_control
 from obslake.functions.times import parse_instant
 from obslake.operators.enrich import enrich_with_metadata
@@ -20,15 +21,17 @@ def extract_log_fields(df: DataFrame, value: str = "value") -> DataFrame:
 
     The line is kept verbatim.  ``date`` is null when the text is no calendar date.
     """
-    line = F.col(value)
-    groups = [F.regexp_extract(line, LOG_PATTERN, i).alias(n) for i, n in enumerate(LOG_GROUPS, 1)]
-    return (
-        df.select(*groups, line.alias("raw_line"))
-        .filter(F.col("timestamp") != "")
-        .withColumn("date", F.substring("timestamp", 1, 10).try_cast("date"))
+    groups = _log_groups(F.col(value), LOG_PATTERN)
+    found = df.select(F.col(value).alias("raw_line"), evaluated_once(groups).alias("_g"))
+    return found.filter(F.col("_g.timestamp") != "").select(
+        "_g.*", "raw_line", F.substring("_g.timestamp", 1, 10).try_cast("date").alias("date")
     )
 
 
+def _log_groups(line: Column, pattern: str) -> Column:
+    return F.struct(*[F.regexp_extract(line, pattern, i).alias(n) for i, n in enumerate(LOG_GROUPS, 1)])
+
+
 def parse_log_metrics(df: DataFrame, value: str = "value") -> DataFrame:
     """Trimmed lines that match the log pattern as a whole, as ``log.event`` metrics.
 
@@ -36,11 +39,10 @@ def parse_log_metrics(df: DataFrame, value: str = "value") -> DataFrame:
     """
     carried = [F.col(c) for c in df.columns if c != value]
     whole = rf"^(?:{LOG_PATTERN})\z"
-    line = trim_control(F.col(value))
-    groups = [F.regexp_extract(line, whole, i).alias(f"_{n}") for i, n in enumerate(LOG_GROUPS, 1)]
-    parsed = df.select(*carried, *groups).filter(F.col("_timestamp") != "")
+    groups = evaluated_once(_log_groups(trim_control(F.col(value)), whole)).alias("_g")
+    parsed = df.select(*carried, groups).filter(F.col("_g.timestamp") != "")
     stamped = parsed.withColumn(
-        "timestamp", F.coalesce(parse_instant(F.col("_timestamp")), F.current_timestamp())
+        "timestamp", F.coalesce(parse_instant(F.col("_g.timestamp")), F.current_timestamp())
     )
     unknown = F.lit("unknown")
     return stamped.select(
@@ -48,16 +50,16 @@ def parse_log_metrics(df: DataFrame, value: str = "value") -> DataFrame:
         F.lit(LOG_METRIC).alias("metric_name"),
         F.lit(1.0).alias("value"),
         F.lit("count").alias("unit"),
-        F.col("_service_id").alias("service_id"),
+        F.col("_g.service_id").alias("service_id"),
         F.lit(None).cast("map<string,string>").alias("tags"),
         "timestamp",
         F.unix_millis("timestamp").alias("timestamp_ms"),
-        F.col("_service_id").alias("service_name"),
+        F.col("_g.service_id").alias("service_name"),
         unknown.alias("team"),
         unknown.alias("environment"),
         unknown.alias("region"),
-        F.upper("_level").alias("parsed_level"),
-        F.col("_message").alias("log_message"),
+        F.upper("_g.level").alias("parsed_level"),
+        F.col("_g.message").alias("log_message"),
     )
 
 

@@ -22,7 +22,7 @@ SELECT '{{"_source_api":"' || replace(replace(source_api, '\\', '\\\\'), '"', '\
 FROM external_records"""
 
 
-@query("external_records", """
+@query("read_external", """
 SELECT CASE WHEN event_type = 'view' THEN 'unknown' ELSE event_type END AS source_api, props AS payload,
        epoch_us(ts) // 1000 AS received_at
 FROM events WHERE event_type NOT IN ('error', 'click')""")
@@ -38,7 +38,7 @@ def topic_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         .cast("binary").alias("value"),
         "timestamp",
     )
-    return external.external_records(topic)
+    return external.read_external(topic)
 
 
 @query("wrap_external", with_sql("external_records", "wrapped", body="SELECT * FROM wrapped"))

@@ -8,7 +8,7 @@ from obslake.functions.times import utc_date, utc_hour
 from obslake.schemas import AGGREGATE_KEY, METRIC_AGGREGATE
 from obslake.session import new_shared_path
 from obslake.sinks.layout import rebalanced
-from obslake.sinks.paths import exists, is_complete
+from obslake.sinks.paths import exists, is_complete, remove
 
 # Directories of the keyed table.  Minute windows are kept by hour, so that a
 # micro-batch rewrites an hour and not a day; coarse windows need dates only.
@@ -49,6 +49,7 @@ def upsert_aggregates(
     the same for every attempt of one micro-batch.
     """
     spark = batch.sparkSession
+    keep_stage = stage is not None
     stage = stage or new_shared_path(spark, "upsert")
     if not is_complete(spark, stage):
         fresh = with_window_partitions(last_per_key(batch, order_by), partitions).persist()
@@ -68,6 +69,8 @@ def upsert_aggregates(
         .partitionBy(*partitions)
         .parquet(table)
     )
+    if not keep_stage:
+        remove(spark, stage)
 
 
 def _kept_rows(fresh: DataFrame, table: str, partitions: tuple[str, ...]) -> DataFrame:
@@ -119,6 +122,8 @@ def fan_out(
     try:
         upsert_aggregates(cached, table, stage=f"{stage_root}/batch={batch_id}", partitions=partitions)
         write_aggregates_parquet(cached, parquet, batch_id)
+        # A running micro-batch means that the one before it is committed.
+        remove(batch.sparkSession, f"{stage_root}/batch={batch_id - 1}")
     finally:
         cached.unpersist()
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from obslake.schemas import EXTERNAL_RECORD
+from obslake.sinks.paths import exists
 
+_FILES = "path string, modificationTime timestamp, length bigint, content binary"
 _RECURSIVE = {"recursiveFileLookup": "true"}
 
 
@@ -38,20 +39,12 @@ def list_data_files(spark: SparkSession, root: str, prefix: str = "") -> DataFra
     File contents are not read.
     """
     base = root.rstrip("/")
-    files = (
-        spark.read.format("binaryFile").options(**_RECURSIVE).load(base)
-        .select("path", "length", "modificationTime")
-    )
-    base = base.split("://", 1)[-1] if "://" in base else base.removeprefix("file:")
-    name = F.expr("substring(path, locate(:base, path) + length(:base) + 1)".replace(":base", _sql_text(base)))
-    out = files.withColumn("name", name).filter(F.col("name").endswith(".parquet"))
-    return out.filter(F.col("name").startswith(prefix)) if prefix and prefix.strip() else out
-
-
-def _sql_text(s: str) -> str:
-    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def external_schema() -> str:
-    """Columns of a topic of external records, for file-backed reads."""
-    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in EXTERNAL_RECORD.fields)
+    prefix = prefix if prefix and prefix.strip() else ""
+    # Only the folder the prefix points into is listed.
+    folder = "/".join([base, *prefix.split("/")[:-1]])
+    reader = spark.read.format("binaryFile").options(**_RECURSIVE)
+    found = reader.load(folder) if exists(spark, folder) else reader.schema(_FILES).load([])
+    anchor = F.lit(base.split("://", 1)[-1] if "://" in base else base.removeprefix("file:"))
+    name = F.substring("path", F.locate(anchor, F.col("path")) + F.length(anchor) + 1, F.length("path"))
+    out = found.select("path", "length", "modificationTime", name.alias("name"))
+    return out.filter(F.col("name").endswith(".parquet") & F.col("name").startswith(prefix))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from obslake.operators.cdc import cdc_enrich
 from obslake.operators.enrich import enrich_with_metadata
-from obslake.operators.external import external_records, flag_external
+from obslake.operators.external import flag_external, read_external
 from obslake.operators.ingest import decode_normalized, encode_json, flag_decoded_metric_events, split_rejects
 from obslake.operators.logs import log_to_metric, parse_log_metrics
 from obslake.operators.windows import WATERMARK, WINDOW, window_aggregate
@@ -106,7 +106,7 @@ def start_external_landing(topic: DataFrame, path: str, checkpoint: str, rejects
     With ``rejects`` payloads that are not JSON go there as text instead of
     into the landing tree; without it everything is landed as sent.
     """
-    records = external_records(topic)
+    records = read_external(topic)
     if rejects is None:
         return [land_external(records, path, checkpoint, trigger)]
     good, bad = split_rejects(flag_external(records))

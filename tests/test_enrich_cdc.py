@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from obslake.operators.cdc import cdc_enrich, cdc_enrich_in_order, fold_cdc
-from obslake.operators.dimension import measured_bytes
+from obslake.operators.dimension import hot_keys, measured_bytes, with_salt
 from obslake.operators.enrich import enrich_with_metadata, union_normalized
 from obslake.operators.ingest import decode_cdc
 from obslake.plans.compose import enriched_windows
@@ -22,14 +22,15 @@ def events(spark, *services):
     return df.withColumn("timestamp", F.timestamp_millis(F.lit(1705314600123)))
 
 
-@pytest.mark.parametrize("limit", [1 << 20, -1])
-def test_lookup_defaults_and_nulls(spark, limit):
+@pytest.mark.parametrize("limit, rows", [(1 << 20, 10), (-1, 10), (-1, 1)])
+def test_lookup_defaults_and_nulls(spark, limit, rows):
     meta = seed_metadata(spark).unionByName(
         spark.createDataFrame([("svc-null", "No Team", None, None, None)], META)
     )
-    df = enrich_with_metadata(events(spark, "svc-api", "nobody", "svc-null", None), meta, limit_bytes=limit, salts=3)
-    rows = {r.service_id: r for r in df.collect()}
-    assert len(rows) == 4
+    df = enrich_with_metadata(events(spark, "svc-api", "svc-api", "nobody", "svc-null", None), meta, limit_bytes=limit, rows_per_task=rows)
+    found = df.collect()
+    rows = {r.service_id: r for r in found}
+    assert (len(found), len(rows)) == (5, 4)
     got = lambda s: (rows[s].service_name, rows[s].team, rows[s].environment, rows[s].region)
     assert got("svc-api") == ("API Service", "platform", "production", "us-east-1")
     assert got("nobody") == ("Unknown Service", "unknown", "unknown", "unknown")
@@ -52,6 +53,16 @@ def test_broadcast_only_below_the_limit(spark):
     assert "BroadcastHashJoin" not in large and "_salt" in large
 
 
+def test_hot_keys_get_one_salt_per_share_of_rows(spark):
+    df = spark.range(100).select(F.when(F.col("id") < 90, "hot").otherwise(F.concat(F.lit("k"), "id")).alias("k"), "id")
+    hot = hot_keys(df, "k", rows_per_task=20)
+    assert [tuple(r) for r in hot.collect()] == [("hot", 5)]
+    salted = with_salt(df.unionByName(df.withColumn("k", F.lit(None).cast("string"))), "k", hot, ["id"])
+    per_key = {r.k: r.n for r in salted.groupBy("k").agg(F.countDistinct("_salt").alias("n")).collect()}
+    assert per_key["hot"] == 5 and per_key[None] > 50 and per_key["k95"] == 1
+    assert hot_keys(df, "k", rows_per_task=1000) is None
+
+
 def test_missing_timestamp_becomes_now(spark):
     df = enrich_with_metadata(events(spark, "a").withColumn("timestamp", F.lit(None).cast("timestamp")), seed_metadata(spark))
     assert df.select((F.unix_millis(F.current_timestamp()) - F.col("timestamp_ms")).alias("age")).first().age == 0
@@ -95,7 +106,8 @@ def test_override_only_with_non_null(spark, limit):
     assert out.columns == metrics.columns
 
 
-def test_override_in_arrival_order(spark):
+@pytest.mark.parametrize("rows_per_task", [1, 2, 100])
+def test_override_in_arrival_order(spark, rows_per_task):
     metrics = spark.createDataFrame(
         [("s", "orig", "t0", t, float(t)) for t in (1, 2, 3, 4, 5, 6)] + [(None, "orig", "t0", 3, 0.0)],
         "service_id string, service_name string, team string, at long, value double",
@@ -104,7 +116,7 @@ def test_override_in_arrival_order(spark):
         [("c", "s", "v1", None, 2, 1), ("u", "s", "v2", "t2", 4, 2), ("u", "s", "v3", "t3", 4, 3), ("d", "s", None, None, 6, 4)],
         "op string, service_id string, service_name string, team string, at long, seq long",
     )
-    out = cdc_enrich_in_order(metrics, feed, "at", ["seq"], salts=4)
+    out = cdc_enrich_in_order(metrics, feed, "at", ["seq"], rows_per_task=rows_per_task)
     got = {(r.service_id, r.at): (r.service_name, r.team) for r in out.collect()}
     assert got == {
         ("s", 1): ("orig", "t0"), ("s", 2): ("v1", "t0"), ("s", 3): ("v1", "t0"), ("s", 4): ("v3", "t3"),
@@ -114,7 +126,7 @@ def test_override_in_arrival_order(spark):
         [("r", "s", "before", None, None, None)],
         "op string, service_id string, service_name string, team string, at long, seq long",
     )
-    first = cdc_enrich_in_order(metrics, feed.unionByName(earlier), "at", ["seq"], salts=4).filter("at = 1")
+    first = cdc_enrich_in_order(metrics, feed.unionByName(earlier), "at", ["seq"], rows_per_task=rows_per_task).filter("at = 1")
     assert first.first().service_name == "before"
 
 

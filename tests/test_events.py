@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from obslake.operators import events
+from obslake.sources.topics import USER_EVENT_FIELDS, user_event_descriptor
 
 
 def frames(spark, *values):
@@ -21,6 +22,25 @@ def test_split(spark):
     assert (bytes(rows[6].payload), rows[6].schema_id) == (b"", 2**32 - 1)
 
 
+def test_frames_round_trip(spark):
+    df = spark.createDataFrame([("u", b"body")], "key string, payload binary")
+    row = events.split_frames(events.frame_payload(df, 513)).first()
+    assert (row.key, row.schema_id, bytes(row.payload), row.reject_reason) == ("u", 513, b"body", None)
+
+
+def test_descriptor_of_the_message():
+    pb = pytest.importorskip("google.protobuf.descriptor_pb2")
+    from google.protobuf import descriptor_pool, message_factory
+
+    files = pb.FileDescriptorSet.FromString(user_event_descriptor())
+    pool = descriptor_pool.DescriptorPool()
+    pool.Add(files.file[0])
+    message = message_factory.GetMessageClass(pool.FindMessageTypeByName("UserEvent"))
+    event = message(user_id="u", timestamp_ms=5, properties={"a": "b"})
+    assert event.SerializeToString() == b"\x0a\x01u\x18\x05:\x06\x0a\x01a\x12\x01b"
+    assert [f.name for f in message.DESCRIPTOR.fields] == USER_EVENT_FIELDS
+
+
 def test_wrong_magic_fails_the_query(spark):
     good = frames(spark, b"\x00\x00\x00\x00\x01\x00a", b"\x00\x00\x00\x00\x01\x02b")
     assert [bytes(r.payload) for r in events.require_frames(events.split_frames(good)).collect()] == [b"a"]

@@ -88,7 +88,7 @@ def test_scalarize(spark, landed):
 def test_topic_records(spark):
     rows = [(b"k", b"\n {\"a\":1}\t ", 0), (None, b"1", 0), (b"k", None, 0), (b"k", b"  ", 0), (b"k", "　2".encode(), 0)]
     df = spark.createDataFrame(rows, "key binary, value binary, t long").withColumn("timestamp", F.timestamp_millis(F.lit(7)))
-    got = external.external_records(df.drop("t")).collect()
+    got = external.read_external(df.drop("t")).collect()
     assert [(r.source_api, r.payload, r.received_at) for r in got] == [("k", '{"a":1}', 7), ("unknown", "1", 7), ("k", "2", 7)]
 
 

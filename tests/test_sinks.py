@@ -82,7 +82,8 @@ def test_parquet_copy_layout_and_listing(spark, tmp_path):
     assert len(names("")) == len(names("  ")) == 2
     (only,) = names("environment=prod")
     assert only.startswith("environment=production/window_date=2024-01-15/part-") and only.endswith(".parquet")
-    assert names("nvironment") == []
+    assert names("nvironment") == [] and names("environment=test/x") == []
+    assert names("environment=production/window_date=2024-01") == [only]
     assert [r.name for r in list_data_files(spark, f"file://{path}/", "environment=prod").collect()] == [only]
 
 
