@@ -38,9 +38,9 @@ def start(
     def checkpoint(name: str) -> str:
         return f"{where['checkpoints']}/{name}"
 
-    def lookup():
-        return read_service_metadata(spark, metadata or where["metadata"], jdbc_properties())
-
+    lookup = flows.refreshed(
+        lambda: read_service_metadata(spark, metadata or where["metadata"], jdbc_properties())
+    )
     normalized = {"topic": TOPICS["normalized"], "servers": servers}
     starters: dict[str, Callable] = {
         "structured": lambda c: flows.start_structured(topic("structured"), lookup, normalized, c, where["rejects"]),

@@ -20,7 +20,7 @@ from obslake.sources.files import list_data_files
 from obslake.sources.tables import read_aggregates, read_service_metadata
 
 SALES = ("sales.A", "svc-7", datetime(1996, 1, 1), datetime(2000, 12, 31))
-VIEWS = ("view", "svc-42", datetime(2024, 1, 5), datetime(2024, 1, 25))
+VIEWS = ("view", "svc-7", datetime(2024, 1, 5), datetime(2024, 1, 25))
 
 
 def _where(metric: str, service: str, frm: datetime, to: datetime) -> str:

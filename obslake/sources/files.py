@@ -44,7 +44,7 @@ def list_data_files(spark: SparkSession, root: str, prefix: str = "") -> DataFra
     folder = "/".join([base, *prefix.split("/")[:-1]])
     reader = spark.read.format("binaryFile").options(**_RECURSIVE)
     found = reader.load(folder) if exists(spark, folder) else reader.schema(_FILES).load([])
-    anchor = F.lit(base.split("://", 1)[-1] if "://" in base else base.removeprefix("file:"))
-    name = F.substring("path", F.locate(anchor, F.col("path")) + F.length(anchor) + 1, F.length("path"))
+    anchor = base.split("://", 1)[-1] if "://" in base else base.removeprefix("file:")
+    name = F.substring("path", F.locate(anchor, F.col("path")) + F.lit(len(anchor) + 1), F.length("path"))
     out = found.select("path", "length", "modificationTime", name.alias("name"))
     return out.filter(F.col("name").endswith(".parquet") & F.col("name").startswith(prefix))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -18,9 +19,25 @@ from obslake.sinks.files import archive_raw_logs, land_external
 from obslake.sinks.topics import write_topic
 
 CHECKPOINT_INTERVAL = "60 seconds"
+LOOKUP_SECONDS = 600.0
 Lookup = Callable[[], DataFrame]
 
 
+def refreshed(read: Lookup, seconds: float = LOOKUP_SECONDS) -> Lookup:
+    """Keep a lookup table between micro-batches and read it again after ``seconds``."""
+    held: dict = {}
+
+    def lookup() -> DataFrame:
+        now = time.monotonic()
+        if not held or now - held["since"] >= seconds:
+            if held:
+                held["table"].unpersist()
+            held.update(table=read().persist(), since=now)
+        return held["table"]
+
+    return lookup
+
+
 def start_aggregates(
     metrics: DataFrame,
     table: str,

@@ -193,3 +193,16 @@ def test_state_follows_arrival(spark, tmp_path, salts):
     query.stop()
     got = {r.value: (r.service_name, r.environment) for r in spark.table(f"state{salts}").collect()}
     assert got == {1.0: ("orig", "e"), 2.0: ("one", "e"), 2.5: ("orig", "e"), 3.0: ("two", "e"), 4.0: ("orig", "e")}
+
+
+def test_lookup_is_read_again_after_its_time(spark):
+    reads = []
+
+    def read():
+        reads.append(1)
+        return seed_metadata(spark)
+
+    held = flows.refreshed(read, 3600)
+    assert held() is held() and len(reads) == 1
+    fresh = flows.refreshed(read, 0)
+    assert fresh() is not fresh() and len(reads) == 3
