@@ -12,7 +12,6 @@ from obslake.schemas import METRIC_EVENT_FIELDS
 
 # Fixed value: "<instant> [<level>] [<service>] <message>".
 LOG_PATTERN = r"(\d{4}-\d{2}-\d{2}T[\d:.]+Z)\s+\[(\w+)]\s+\[([^\]]+)]\s+(.*)"
-LOG_GROUPS = ("timestamp", "level", "service_id", "message")
 LOG_METRIC = "log.event"
 
 
@@ -21,15 +20,31 @@ def extract_log_fields(df: DataFrame, value: str = "value") -> DataFrame:
 
     The line is kept verbatim.  ``date`` is null when the text is no calendar date.
     """
-    groups = _log_groups(F.col(value), LOG_PATTERN)
-    found = df.select(F.col(value).alias("raw_line"), evaluated_once(groups).alias("_g"))
-    return found.filter(F.col("_g.timestamp") != "").select(
-        "_g.*", "raw_line", F.substring("_g.timestamp", 1, 10).try_cast("date").alias("date")
+    match = F.regexp_extract(F.col(value), LOG_PATTERN, 0)
+    found = df.select(F.col(value).alias("raw_line"), evaluated_once(match).alias("_match"))
+    fields = _match_fields("_match")
+    return found.filter(F.col("_match") != "").select(
+        *[c.alias(n) for n, c in fields.items()],
+        "raw_line",
+        F.substring("_match", 1, 10).try_cast("date").alias("date"),
     )
 
 
-def _log_groups(line: Column, pattern: str) -> Column:
-    return F.struct(*[F.regexp_extract(line, pattern, i).alias(n) for i, n in enumerate(LOG_GROUPS, 1)])
+def _match_fields(match: str) -> dict[str, Column]:
+    """The four fields of a text that matches the log pattern.
+
+    Each field ends at the first ``Z`` or ``]`` after it, so cutting there gives
+    the groups of the pattern without matching it once per group.
+    """
+    text = F.col(match)
+    tail = F.substring(text, F.length(F.substring_index(text, "]", 2)) + 2, F.length(text))
+    service = F.substring_index(F.substring_index(text, "]", 2), "]", -1)
+    return {
+        "timestamp": F.concat(F.substring_index(text, "Z", 1), F.lit("Z")),
+        "level": F.substring_index(F.substring_index(text, "]", 1), "[", -1),
+        "service_id": F.substring(service, F.instr(service, "[") + 1, F.length(service)),
+        "message": F.ltrim(tail, F.lit(" \t\n\x0b\f\r")),
+    }
 
 
 def parse_log_metrics(df: DataFrame, value: str = "value") -> DataFrame:
@@ -39,10 +54,11 @@ def parse_log_metrics(df: DataFrame, value: str = "value") -> DataFrame:
     """
     carried = [F.col(c) for c in df.columns if c != value]
     whole = rf"^(?:{LOG_PATTERN})\z"
-    groups = evaluated_once(_log_groups(trim_control(F.col(value)), whole)).alias("_g")
-    parsed = df.select(*carried, groups).filter(F.col("_g.timestamp") != "")
+    match = F.regexp_extract(trim_control(F.col(value)), whole, 0)
+    parsed = df.select(*carried, evaluated_once(match).alias("_match")).filter(F.col("_match") != "")
+    fields = _match_fields("_match")
     stamped = parsed.withColumn(
-        "timestamp", F.coalesce(parse_instant(F.col("_g.timestamp")), F.current_timestamp())
+        "timestamp", F.coalesce(parse_instant(fields["timestamp"]), F.current_timestamp())
     )
     unknown = F.lit("unknown")
     return stamped.select(
@@ -50,16 +66,16 @@ def parse_log_metrics(df: DataFrame, value: str = "value") -> DataFrame:
         F.lit(LOG_METRIC).alias("metric_name"),
         F.lit(1.0).alias("value"),
         F.lit("count").alias("unit"),
-        F.col("_g.service_id").alias("service_id"),
+        fields["service_id"].alias("service_id"),
         F.lit(None).cast("map<string,string>").alias("tags"),
         "timestamp",
         F.unix_millis("timestamp").alias("timestamp_ms"),
-        F.col("_g.service_id").alias("service_name"),
+        fields["service_id"].alias("service_name"),
         unknown.alias("team"),
         unknown.alias("environment"),
         unknown.alias("region"),
-        F.upper("_g.level").alias("parsed_level"),
-        F.col("_g.message").alias("log_message"),
+        F.upper(fields["level"]).alias("parsed_level"),
+        fields["message"].alias("log_message"),
     )
 
 

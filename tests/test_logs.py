@@ -3,7 +3,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from obslake.operators.logs import extract_log_fields, log_to_metric, parse_log_metrics
+from obslake.operators.logs import LOG_PATTERN, extract_log_fields, log_to_metric, parse_log_metrics
 from obslake.sources.tables import seed_metadata
 
 
@@ -34,6 +34,23 @@ def test_extract_drops_other_lines(spark):
     assert [r.level for r in extract_log_fields(mixed).orderBy("timestamp").collect()] == ["INFO", "WARN", "info"]
 
 
+def test_cutting_a_match_gives_the_groups_of_the_pattern(spark):
+    awkward = lines(
+        spark,
+        "x2024-01-15T10:30:00Z [INFO] [a[b] [c] [d] Z] e",
+        "2024-01-15T1:.Z\t[I_1]  [ ]\t \x0b [x] ",
+        "2024-01-15T10:30:00Z [INFO] [svc] ",
+        "2024-01-15T10:30:00Z [INFO] [svc] \u00a0m\u2028n",
+        "2024-01-15T10:30:00Z [IN FO] [svc] m 2024-01-15T10:30:00Z [OK] [Z] Z [y] z",
+        "2024-01-15T10:30:00Z [INFO] [] m",
+        "\u20ac 2024-01-15T10:30:00Z [INFO] [\u20ac] \U0001f600 m",
+    )
+    groups = [F.regexp_extract("value", LOG_PATTERN, i).alias(n) for i, n in enumerate(("timestamp", "level", "service_id", "message"), 1)]
+    plain = awkward.select(*groups, F.col("value").alias("raw_line")).filter("timestamp <> ''")
+    found = extract_log_fields(awkward).drop("date")
+    assert sorted(found.collect()) == sorted(plain.collect()) and found.count() == 6
+
+
 def test_extract_keeps_the_line_and_survives_bad_dates(spark):
     line = '2024-01-15T10:30:00Z [DEBUG] [svc-api] payload={"key":"value"}'
     assert extract_log_fields(lines(spark, line)).first().raw_line == line

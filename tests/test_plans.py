@@ -17,7 +17,7 @@ def test_text_is_parsed_once(spark):
     for decoded in (*decode_metric_events(df), decode_normalized(df), decode_cdc(df)):
         assert plan_of(decoded).count("from_json(") == 1
     for parsed in (extract_log_fields(df), parse_log_metrics(df)):
-        assert plan_of(parsed).count("regexp_extract(") == 4
+        assert plan_of(parsed).count("regexp_extract(") == 1
 
 
 def test_scans_read_only_the_columns_they_need(spark, sf_dir):
