@@ -27,8 +27,13 @@ def start(
     metadata: str | None = None,
     descriptor: str | None = None,
     source_options: dict[str, str] | None = None,
+    trigger: dict | None = None,
 ) -> list[StreamingQuery]:
-    """Start the named flows; returns their running queries."""
+    """Start the named flows; returns their running queries.
+
+    Each flow has its own default ``trigger``; ``{"availableNow": True}`` processes what is
+    there and stops.
+    """
     where = paths(lake)
     options = {"servers": servers, **(source_options or {})}
 
@@ -43,25 +48,25 @@ def start(
     )
     normalized = {"topic": TOPICS["normalized"], "servers": servers}
     starters: dict[str, Callable] = {
-        "structured": lambda c: flows.start_structured(topic("structured"), lookup, normalized, c, where["rejects"]),
-        "log-metrics": lambda c: flows.start_log_metrics(topic("logs"), lookup, normalized, c),
+        "structured": lambda c: flows.start_structured(topic("structured"), lookup, normalized, c, where["rejects"], trigger),
+        "log-metrics": lambda c: flows.start_log_metrics(topic("logs"), lookup, normalized, c, trigger),
         "snapshot": lambda c: start_cdc_snapshot(
             decode_cdc(topic("cdc").select("value", "partition", "offset")),
-            where["snapshot"], c, ["offset"],
+            where["snapshot"], c, ["offset"], trigger,
         ),
         "aggregates": lambda c: flows.start_aggregates(
             flows.normalized_stream(topic("normalized")), where["table"], where["aggregated"], c,
-            snapshot=lambda: latest_snapshot(spark, where["snapshot"]), order_by=("offset",),
+            snapshot=lambda: latest_snapshot(spark, where["snapshot"]), order_by=("offset",), trigger=trigger,
         ),
-        "log-archive": lambda c: flows.start_log_archive(topic("logs"), where["logs_raw"], c),
+        "log-archive": lambda c: flows.start_log_archive(topic("logs"), where["logs_raw"], c, trigger),
         "user-events": lambda c: print_user_events(
             read_user_events(
                 read_topic_bytes(spark, TOPICS["users"], **options).select("value"), descriptor_path=descriptor
             ),
-            checkpoint=c,
+            checkpoint=c, trigger=trigger,
         ),
         "external": lambda c: flows.start_external_landing(
-            topic("external"), where["external_raw"], c, where["external_rejects"]
+            topic("external"), where["external_raw"], c, where["external_rejects"], trigger
         ),
     }
     queries: list[StreamingQuery] = []
@@ -78,11 +83,19 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--metadata", default=env("OBSLAKE_METADATA") or None, help="Parquet folder or JDBC URL")
     p.add_argument("--descriptor", help="protobuf descriptor set of the user events")
     p.add_argument("--max-offsets", help="records per micro-batch and topic")
+    p.add_argument("--available-now", action="store_true", help="process what is there, then stop")
     args = p.parse_args(argv)
     spark = build_session("obslake-stream")
     options = {"maxOffsetsPerTrigger": args.max_offsets} if args.max_offsets else {}
-    start(spark, args.flows or list(FLOWS), args.lake, args.servers, args.metadata, args.descriptor, options)
-    spark.streams.awaitAnyTermination()
+    trigger = {"availableNow": True} if args.available_now else None
+    queries = start(
+        spark, args.flows or list(FLOWS), args.lake, args.servers, args.metadata, args.descriptor, options, trigger
+    )
+    if args.available_now:
+        for running in queries:
+            running.awaitTermination()
+    else:
+        spark.streams.awaitAnyTermination()
 
 
 if __name__ == "__main__":

@@ -31,13 +31,21 @@ def write_topic(
     )
 
 
-def print_user_events(events: DataFrame, format: str = "console", name: str = "user_events", checkpoint: str | None = None):
+def print_user_events(
+    events: DataFrame,
+    format: str = "console",
+    name: str = "user_events",
+    checkpoint: str | None = None,
+    trigger: dict | None = None,
+):
     """Print one line per user event of a stream."""
     writer = user_event_line(events).writeStream.format(format).queryName(name).outputMode("append")
     if format == "console":
         writer = writer.option("truncate", "false")
     if checkpoint:
         writer = writer.option("checkpointLocation", checkpoint)
+    if trigger:
+        writer = writer.trigger(**trigger)
     return writer.start()
 
 
