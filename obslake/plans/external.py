@@ -46,9 +46,13 @@ def wrapped_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return external.wrap_external(views.external_records(spark, sf_dir))
 
 
-def _landed(spark: SparkSession, records: DataFrame) -> DataFrame:
+def _landed(spark: SparkSession, records: DataFrame, tree: bool = False) -> DataFrame:
+    """Landing lines written and read back, in the hourly tree or in one folder."""
     raw = new_shared_path(spark, "external-raw")
-    land_external(records, raw)
+    if tree:
+        land_external(records, raw)
+    else:
+        external.wrap_external(records).select("value").write.text(raw)
     return read_external_ndjson(spark, raw)
 
 
@@ -89,7 +93,7 @@ def external_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
 def external_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole way: land, infer, transform, append to the partitioned table, read back."""
     target = new_shared_path(spark, "external")
-    rows = external.external_transform(_landed(spark, views.nested_records(spark, sf_dir)))
+    rows = external.external_transform(_landed(spark, views.nested_records(spark, sf_dir), tree=True))
     write_external_parquet(rows, target)
     return _plain(read_external_table(spark, target))
 
