@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from obslake.plans.catalog import QUERIES
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -24,10 +25,10 @@ def rows_of(columns, rows):
 
 
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(QUERIES) <= set(driver.queries()) and set(QUERIES) <= set(driver.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, sf_dir, name):
     con = duckdb.connect()
     for table in TABLES:
