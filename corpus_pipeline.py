@@ -6,16 +6,31 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from obslake.llm import sharding
+from obslake.llm import mixing, sharding
+from obslake.session import cut_lineage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix: each row as often as it is taken, with the columns of documents."""
+    return mixing.mix_documents(docs)
+
+
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The shard and slot of every row of the mix."""
     return sharding.shard_table(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("sharding", shard)]
+STAGES: list[tuple[str, Stage]] = [("mixing", mix), ("sharding", shard)]
 
+# The cube method draws, and components are walks of any length: there is no SQL for the rows of run().
 ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every stage over ``documents``, each written as Parquet to the shared folder and read again."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for _, stage in STAGES[:-1]:
+        docs = cut_lineage(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)
