@@ -6,12 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from obslake.llm import mixing, sharding
+from obslake.llm import decontaminate, mixing, sharding
+from obslake.llm.queries import table
 from obslake.session import cut_lineage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The rows that are not contaminated by the benchmark."""
+    return decontaminate.remove_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix: each row as often as it is taken, with the columns of documents."""
     return mixing.mix_documents(docs)
@@ -22,7 +28,11 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return sharding.shard_table(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("mixing", mix), ("sharding", shard)]
+STAGES: list[tuple[str, Stage]] = [
+    ("benchmark decontamination", decontaminated),
+    ("mixing", mix),
+    ("sharding", shard),
+]
 
 # The cube method draws, and components are walks of any length: there is no SQL for the rows of run().
 ORACLE_SQL = None

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from obslake.llm import mixing, sharding
+from obslake.llm import decontaminate, mixing, sharding
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +28,37 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+LOWERED = f"translate(coalesce(text, ''), '{CAPITALS}', '{CAPITALS.lower()}')"
+ITEM_WORDS = rf"regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+@query(
+    "op2_benchmark_decontamination",
+    f"""
+WITH docs AS (SELECT row_number() OVER () AS row, doc_id, {ITEM_WORDS} AS words FROM documents),
+items AS (SELECT item_id, {ITEM_WORDS} AS words FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, n, array_to_string(list_slice(words, k, k + n - 1), ' ') AS phrase
+  FROM (SELECT item_id, words, n, unnest(range(1, len(words) - n + 2)) AS k
+        FROM (SELECT *, least(13, len(words)) AS n FROM items WHERE len(words) > 0))),
+places AS (
+  SELECT row, n, k, array_to_string(list_slice(words, k, k + n - 1), ' ') AS phrase
+  FROM (SELECT row, words, n, unnest(range(1, len(words) - n + 2)) AS k
+        FROM docs, (SELECT DISTINCT n FROM windows) WHERE len(words) >= n)),
+found AS (SELECT row, places.n, k, item_id FROM places JOIN windows USING (n, phrase)),
+hits AS (SELECT row, count(DISTINCT w) AS n_hit FROM (SELECT row, unnest(range(k, k + n)) AS w FROM found) GROUP BY row),
+ids AS (
+  SELECT row, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT row, item_id::VARCHAR AS id FROM found WHERE item_id IS NOT NULL) GROUP BY row)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+FROM docs LEFT JOIN hits USING (row) LEFT JOIN ids USING (row)""",
+)
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination_table(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op4_source_mixing")
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_table(table(spark, sf_dir, "documents"))
