@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from obslake.llm import decontaminate, mixing, sharding
+from obslake.llm import decontaminate, mixing, sharding, topk
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -59,6 +59,24 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.contamination_table(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query(
+    "op3_exact_topk",
+    """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS cells FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT q.vec_id AS query_id, v.vec_id, list_dot_product(q.cells, v.cells)::BIGINT AS score
+  FROM v AS q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 20 = 0),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scores)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20""",
+)
+def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
 @query("op4_source_mixing")
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_table(table(spark, sf_dir, "documents"))
