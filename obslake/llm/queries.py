@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from obslake.llm import decontaminate, mixing, sharding, topk
+from obslake.llm import decontaminate, mixing, pii, sharding, topk
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -85,3 +85,8 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_sharding")
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_table(table(spark, sf_dir, "documents"))
+
+
+@query("op5_pii")
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data_table(table(spark, sf_dir, "documents"))
