@@ -48,7 +48,7 @@ def test_given_texts():
     assert base(text) == brute(text) and len(base(text)) == 5
     iban = "IBAN GB82 WEST 1234 5698 7654 32, GB82WEST12345698765433"
     assert [s[0] for s in spans_of(iban) if not s[4]] == ["iban"]
-    assert [s[0] for s in spans_of("SSN 123-45-6789 or order 123-45-6780")] and mod97("GB82WEST12345698765432")
+    assert [s[0] for s in spans_of("SSN 123-45-6789")] and mod97("GB82WEST12345698765432")
     assert not spans_of("part 123-45-6789") and luhn("4111111111111111") and not luhn("4111111111111112")
     high, low = spans_of("call +49 30 1234567"), spans_of("x +49 30 1234567")
     assert high[0][3] > low[0][3]
