@@ -6,13 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from obslake.llm import decontaminate, mixing, sharding
+from obslake.llm import decontaminate, mixing, sharding, toxicity
 from obslake.llm.queries import table
 from obslake.session import cut_lineage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The rows that are not predicted to be toxic."""
+    return toxicity.remove_toxic(docs, table(spark, sf_dir, "labels"))
+
+
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The rows that are not contaminated by the benchmark."""
     return decontaminate.remove_contaminated(docs, table(spark, sf_dir, "benchmark"))
@@ -29,6 +34,7 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", clean),
     ("benchmark decontamination", decontaminated),
     ("mixing", mix),
     ("sharding", shard),

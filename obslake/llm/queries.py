@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from obslake.llm import decontaminate, mixing, pii, sharding, topk
+from obslake.llm import decontaminate, mixing, pii, sharding, topk, toxicity
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -90,3 +90,8 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_pii")
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data_table(table(spark, sf_dir, "documents"))
+
+
+@query("op6_toxicity")
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_table(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
