@@ -19,8 +19,8 @@ from obslake.session import cut_lineage
 TRAIN_ROWS = 20_000
 MAX_CANDIDATES = 50_000
 MAX_TERMS = 2_000
-# A term occurs in so many toxic texts, and so many times as often as in others.
-MIN_SUPPORT, MIN_ODDS = 4, 8.0
+# A term occurs in so many toxic texts, in such a share of them, and so many times as often as in others.
+MIN_SUPPORT, MIN_SHARE, MIN_ODDS = 4, 0.02, 8.0
 STEMS = range(4, 9)
 
 # Letters of other scripts and signs that look like Latin letters.
@@ -193,7 +193,7 @@ def fit_lexicon(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS
         found = texts.where(F.col("toxic") == label).select("text").mapInPandas(_count(candidates), "term string, n long")
         return found.groupBy("term").agg(F.sum("n").alias("n"))
 
-    support = F.col("n") >= MIN_SUPPORT
+    support = F.col("n") >= max(MIN_SUPPORT, MIN_SHARE * numbers[1])
     toxic = {r.term: r.n for r in counts(1, None).where(support).orderBy(F.desc("n"), "term").limit(MAX_CANDIDATES).collect()}
     other = {r.term: r.n for r in counts(0, frozenset(toxic)).collect()}
     lexicon = Lexicon(_chosen(toxic, other, numbers[1], numbers[0]))
