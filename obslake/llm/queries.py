@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from obslake.llm import decontaminate, mixing, pii, sharding, topk, toxicity
+from obslake.llm import decontaminate, mixing, pii, sharding, topk, toxicity, url_lists
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -95,3 +95,70 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_toxicity")
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_table(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+# The tables have no times and no lists.  Fetch times follow from page ids, and every host and
+# its language folders have a history of list entries that follows from the ids of its pages.
+URL_PAGES = """
+SELECT page_id, url, CAST({epoch} + page_id % 400 * 86400 + page_id % 86400 AS BIGINT) AS fetched_s,
+       lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:@]+)', 1)) AS host,
+       regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^/?#]*)', 1) AS folder
+FROM pages"""
+URL_EPOCH = 1_704_067_200
+URL_LISTS = f"""
+SELECT 'spam' AS list, 'host' AS scope, host AS value, 'add' AS action, {URL_EPOCH} + min(page_id) % 200 * 86400 AS effective_s
+FROM captures WHERE host <> '' GROUP BY host
+UNION ALL
+SELECT 'spam', 'host', host, 'remove', {URL_EPOCH} + (min(page_id) % 200 + 30 + max(page_id) % 90) * 86400
+FROM captures WHERE host <> '' GROUP BY host
+UNION ALL
+SELECT 'spam', 'host', host, 'add', {URL_EPOCH} + (min(page_id) % 200 + 150 + max(page_id) % 90) * 86400
+FROM captures WHERE host <> '' GROUP BY host HAVING count(*) % 2 = 1
+UNION ALL
+SELECT 'adult', 'prefix', concat(host, '/', folder), 'add', {URL_EPOCH} + max(page_id) % 380 * 86400
+FROM captures WHERE host <> '' AND folder <> '' GROUP BY host, folder
+UNION ALL
+SELECT 'parked', 'domain', host, 'add', {URL_EPOCH} + (50 + min(page_id) % 120) * 86400
+FROM captures WHERE host <> '' GROUP BY host HAVING length(host) % 4 = 1"""
+
+
+@query(
+    "op7_url_filters",
+    f"""
+WITH captures AS ({URL_PAGES.format(epoch=URL_EPOCH)}),
+entries AS ({URL_LISTS}),
+events AS (SELECT list, scope, value, effective_s, max(action = 'add') AS added FROM entries GROUP BY ALL),
+turns AS (SELECT *, lag(added, 1, false) OVER (PARTITION BY list, scope, value ORDER BY effective_s) AS before FROM events),
+intervals AS (
+  SELECT * FROM (
+    SELECT *, lead(effective_s) OVER (PARTITION BY list, scope, value ORDER BY effective_s) AS until FROM turns WHERE added <> before)
+  WHERE added),
+paths AS (
+  SELECT page_id, url, fetched_s, host,
+         regexp_replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/+$', '') || '/' AS path FROM captures),
+found AS (
+  SELECT page_id, list, effective_s FROM paths JOIN intervals ON
+    CASE scope WHEN 'host' THEN host = value
+               WHEN 'domain' THEN host = value OR ends_with(host, '.' || value)
+               ELSE starts_with(host || path, value || '/') END
+    AND effective_s <= fetched_s AND (until IS NULL OR fetched_s < until))
+SELECT page_id, host, fetched_s, coalesce(lists, '') AS lists, since_s
+FROM captures LEFT JOIN (
+  SELECT page_id, string_agg(DISTINCT list, ',' ORDER BY list) AS lists, min(effective_s) AS since_s FROM found GROUP BY page_id)
+USING (page_id)""",
+)
+def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    named = {"pages": table(spark, sf_dir, "pages").select("page_id", "url")}
+    captures = spark.sql(URL_PAGES.replace("FROM pages", "FROM {pages}").format(epoch=URL_EPOCH, **{"pages": "{pages}"}), **named)
+    entries = spark.sql(URL_LISTS.replace("FROM captures", "FROM {captures}"), captures=captures)
+    found = url_lists.match_lists(
+        captures.withColumn("fetched_at", F.timestamp_seconds("fetched_s")),
+        entries.withColumn("effective_at", F.timestamp_seconds("effective_s")),
+    )
+    return found.select(
+        "page_id",
+        "host",
+        "fetched_s",
+        F.array_join("lists", ",").alias("lists"),
+        F.unix_seconds("listed_since").alias("since_s"),
+    )
