@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from obslake.llm import decontaminate, mixing, pii, sharding, topk, toxicity, url_lists
+from obslake.llm import decontaminate, mixing, pii, quality, sharding, topk, toxicity, url_lists
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -162,3 +162,8 @@ def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join("lists", ",").alias("lists"),
         F.unix_seconds("listed_since").alias("since_s"),
     )
+
+
+@query("op9_quality_classifier")
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_table(table(spark, sf_dir, "documents"))
