@@ -16,6 +16,7 @@ from obslake.session import cut_lineage
 TRAIN_ROWS = 10_000
 BUCKETS = 1 << 16
 STEPS = 60
+TRUST = 1.0
 
 GOOD, BAD, ABSTAIN = 2, 0, 1
 
@@ -135,10 +136,11 @@ class LabelModel:
         return 1 / (1 + np.exp(np.clip(bad - good, -500, 500)))
 
 
-def fit_label_model(patterns: dict[int, int], rounds: int = 200) -> LabelModel:
-    """Expectation-maximisation over the counts of vote patterns; it starts from the majority of votes.
+def fit_label_model(patterns: dict[int, int], trust: float = TRUST, rounds: int = 200) -> LabelModel:
+    """Expectation-maximisation over the counts of vote patterns; it starts from who has an objection.
 
-    Labellers count as independent given the label.  Chances carry one pseudo-count per vote.
+    Labellers count as independent given the label.  Chances carry one pseudo-count per vote, and
+    a labeller is trusted not to object to good texts by ``trust`` pseudo-votes per text.
     """
     if not patterns:
         return LabelModel(0.5, np.full((LABELLERS, 2, 3), 1 / 3))
@@ -151,6 +153,7 @@ def fit_label_model(patterns: dict[int, int], rounds: int = 200) -> LabelModel:
         for k in range(LABELLERS):
             chances[k, 1] += np.bincount(votes[:, k], counts * posterior, minlength=3)
             chances[k, 0] += np.bincount(votes[:, k], counts * (1 - posterior), minlength=3)
+        chances[:, 1, GOOD] += trust * counts.sum()
         # Abstaining says nothing.
         chances[:, :, ABSTAIN] = 0
         chances /= chances.sum(axis=2, keepdims=True)

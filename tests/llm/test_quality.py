@@ -33,7 +33,7 @@ def test_label_model_recovers_accuracies():
     accuracies = [0.9, 0.8, 0.7, 0.95, 0.6, 0.85, 0.75, 0.65]
     votes = np.stack([np.where(rng.random(20_000) < a, truth, ~truth) for a in accuracies], axis=1) * GOOD
     codes, n = np.unique(votes @ 3 ** np.arange(LABELLERS), return_counts=True)
-    model = fit_label_model(dict(zip(codes.tolist(), n.tolist())))
+    model = fit_label_model(dict(zip(codes.tolist(), n.tolist())), trust=0)
     assert abs(model.good - 0.7) < 0.03
     for k, a in enumerate(accuracies):
         assert abs(model.chances[k, 1, GOOD] - a) < 0.05 and abs(model.chances[k, 0, BAD] - a) < 0.05
