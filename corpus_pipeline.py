@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from obslake.llm import decontaminate, mixing, sharding, toxicity
+from obslake.llm import decontaminate, mixing, ngram_join, sharding, toxicity
 from obslake.llm.queries import table
 from obslake.session import cut_lineage
 
@@ -18,6 +18,11 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.remove_toxic(docs, table(spark, sf_dir, "labels"))
 
 
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each group of near copies: shingles of five words, a similarity of 0.8 or more."""
+    return ngram_join.one_of_each(docs)
+
+
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The rows that are not contaminated by the benchmark."""
     return decontaminate.remove_contaminated(docs, table(spark, sf_dir, "benchmark"))
@@ -35,6 +40,7 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES: list[tuple[str, Stage]] = [
     ("toxicity", clean),
+    ("n-gram Jaccard join", without_near_copies),
     ("benchmark decontamination", decontaminated),
     ("mixing", mix),
     ("sharding", shard),

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from obslake.llm import decontaminate, mixing, pii, quality, sharding, topk, toxicity, url_lists
+from obslake.llm import decontaminate, mixing, ngram_join, pii, quality, sharding, topk, toxicity, url_lists
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +28,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_ngram_jaccard_join")
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWERED = f"translate(coalesce(text, ''), '{CAPITALS}', '{CAPITALS.lower()}')"
 ITEM_WORDS = rf"regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
