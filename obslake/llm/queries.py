@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from obslake.llm import decontaminate, mixing, ngram_join, pii, quality, sharding, topk, toxicity, url_lists
+from obslake.llm import decontaminate, mixing, ngram_join, pii, quality, sharding, suffix_dedup, topk, toxicity, url_lists
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -172,3 +172,8 @@ def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_quality_classifier")
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_table(table(spark, sf_dir, "documents"))
+
+
+@query("op10_suffix_dedup")
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), with_text=False)
