@@ -34,21 +34,18 @@ def shingle_sets(texts: list[bytes], n: int = WORDS) -> list[np.ndarray]:
     """Each text's distinct shingles of ``n`` words, as sorted hashes; all words if there are fewer; none without words."""
     hashes, _, _, at = words(texts, NOT_SPACE)
     counts = np.diff(at)
-    sums, factor = np.zeros(len(hashes), dtype=U64), _ODD
+    factors = np.multiply.accumulate(np.full(n, _ODD))
+    sums = np.zeros(len(hashes), dtype=U64)
     for k in range(min(n, len(hashes))):
-        sums[: len(hashes) - k] += hashes[k:] * factor
-        factor = factor * _ODD
+        sums[: len(hashes) - k] += hashes[k:] * factors[k]
     sums = mix(sums)
     found = []
     for a, count in zip(at, counts):
         if count >= n:
             found.append(np.unique(sums[a : a + count - n + 1]))
         elif count:
-            own, total, factor = hashes[a : a + count], np.zeros(1, dtype=U64), _ODD
-            for h in own:
-                total += h * factor
-                factor = factor * _ODD
-            found.append(mix(total + U64(int(count))))
+            own = (hashes[a : a + count] * factors[:count]).sum(dtype=U64, keepdims=True)
+            found.append(mix(own + U64(int(count))))
         else:
             found.append(np.zeros(0, dtype=U64))
     return found
