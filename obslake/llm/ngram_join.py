@@ -326,12 +326,20 @@ def _grouped(sketches: DataFrame) -> DataFrame:
 
 
 def _qualifying(sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of groups (``a`` < ``b``) that share as many rare tokens as linked members would."""
+    """Pairs of groups that share as many rare tokens as linked members would: ``b``, the smaller one, asks ``a``."""
     rows = spread(sets.select("grp", "n", "tokens"), "grp").sortWithinPartitions("grp")
     matrix = rows.mapInPandas(_unions(percent), "token long, grp long, need int")
     met = spread(matrix, "token").sortWithinPartitions("token").mapInPandas(_pairs, "a long, b long, shared long, need long")
+    pairs = met.groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.min("need").alias("need")).where("shared >= need")
+    sizes = sets.groupBy("grp").agg(F.count("*").alias("size"))
+    of = lambda c: sizes.select(F.col("grp").alias(c), F.col("size").alias(f"size_{c}"))
+    turned = F.col("size_a") < F.col("size_b")
     return cut_lineage(
-        met.groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.min("need").alias("need")).where("shared >= need").select("a", "b")
+        pairs.join(of("a"), "a").join(of("b"), "b").select(
+            F.when(turned, F.col("b")).otherwise(F.col("a")).alias("a"),
+            F.when(turned, F.col("a")).otherwise(F.col("b")).alias("b"),
+            F.least("size_a", "size_b").alias("size"),
+        )
     )
 
 
@@ -342,7 +350,7 @@ def _routes(sets: DataFrame, pairs: DataFrame) -> DataFrame:
     """
     sets = sets.drop("tokens", "n")
     sizes = sets.groupBy("grp").agg(F.count("*").alias("size"))
-    asks = pairs.join(sizes.withColumnRenamed("grp", "b"), "b").groupBy("a").agg(F.ceil(F.sum("size") / ASKED_AT_ONCE).alias("parts"))
+    asks = pairs.groupBy("a").agg(F.ceil(F.sum("size") / ASKED_AT_ONCE).alias("parts"))
     opened = (
         sizes.join(asks.withColumnRenamed("a", "grp"), "grp", "left")
         .where("size > 1 or parts is not null")
