@@ -20,12 +20,13 @@ from obslake.session import cut_lineage
 
 WORDS, PERCENT = 3, 90
 # Counters of tokens, whatever the corpus: more tokens make them coarser, never wrong.
-COUNTERS, SLICES = 1 << 20, 64
+COUNTERS, SLICES = 1 << 22, 64
 # Tokens beyond the least prefix: so many must be shared, or all that a small set has to share.
 SHARED = 4
 GROUP_MEMBERS, GROUP_TOKENS = 128, 1 << 18
 ASKED_AT_ONCE = 2048
 
+_MOST = (1 << 31) - 1
 _ODD = U64(0x9FB21C651E98DF25)
 _SEEDS = [U64(0x2545F4914F6CDD1D), U64(0xD6E8FEB86659FD93), U64(0xA0761D6478BD642F)]
 
@@ -67,14 +68,19 @@ def _sets(frame: pd.DataFrame, n: int) -> Iterator[tuple[int, np.ndarray]]:
 
 def _count_tokens(n: int):
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts = np.zeros(COUNTERS, dtype=np.int64)
+        counts = np.zeros(COUNTERS, dtype=np.int32)
         for frame in frames:
             for _, tokens in _sets(frame, n):
                 np.add.at(counts, (tokens & U64(COUNTERS - 1)).astype(np.int64), 1)
         for k, own in enumerate(counts.reshape(SLICES, -1)):
             place = np.flatnonzero(own)
+            # A task counts up to 65535; full slices go without places.
+            if 2 * len(place) < len(own):
+                places, own = place.astype("<i4").tobytes(), own[place]
+            else:
+                places = b""
             if len(place):
-                yield pd.DataFrame({"slice": [k], "places": [place.astype("<i4").tobytes()], "counts": [own[place].astype("<i8").tobytes()]})
+                yield pd.DataFrame({"slice": [k], "places": [places], "counts": [np.minimum(own, 65_535).astype("<u2").tobytes()]})
 
     return count
 
@@ -84,18 +90,19 @@ def _add_slices(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
         for row in frame.itertuples(index=False):
             own = sums.setdefault(row.slice, np.zeros(COUNTERS // SLICES, dtype=np.int64))
-            own[np.frombuffer(row.places, dtype="<i4")] += np.frombuffer(row.counts, dtype="<i8")
+            places = np.frombuffer(row.places, dtype="<i4") if row.places else slice(None)
+            own[places] += np.frombuffer(row.counts, dtype="<u2")
     for k, own in sums.items():
-        yield pd.DataFrame({"slice": [k], "counts": [own.astype("<i8").tobytes()]})
+        yield pd.DataFrame({"slice": [k], "counts": [np.minimum(own, _MOST).astype("<i4").tobytes()]})
 
 
 def token_counts(docs: DataFrame, n: int) -> np.ndarray:
     """How many texts hold a token of each of a fixed number of counters: counted in tasks, summed by slices."""
     parts = docs.select("text").mapInPandas(_count_tokens(n), "slice int, places binary, counts binary")
     summed = spread(parts, "slice").mapInPandas(_add_slices, "slice int, counts binary")
-    counts = np.zeros((SLICES, COUNTERS // SLICES), dtype=np.int64)
+    counts = np.zeros((SLICES, COUNTERS // SLICES), dtype=np.int32)
     for row in summed.collect():
-        counts[row.slice] += np.frombuffer(bytes(row.counts), dtype="<i8")
+        counts[row.slice] = np.frombuffer(bytes(row.counts), dtype="<i4")
     return counts.reshape(-1)
 
 
