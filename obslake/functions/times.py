@@ -34,13 +34,15 @@ def epoch_seconds(c: Column) -> Column:
 
 
 def instant_from_ntz(c: Column) -> Column:
-    """Read a zone-less timestamp as UTC.
+    """Read a zone-less timestamp as UTC, by whole days and the time of day.
 
-    The difference of two zone-less timestamps is exact in every session zone.
+    The parts of a zone-less timestamp are the same in every session zone.
     """
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    seconds = (c - epoch).cast("interval second").cast("decimal(18,6)")
-    return F.timestamp_micros((seconds * F.lit(1_000_000)).cast("bigint"))
+    days = F.unix_date(c.cast("date")).cast("bigint")
+    of_day = (F.hour(c) * 60 + F.minute(c)).cast("bigint") * 60_000_000 + (
+        F.date_part(F.lit("SECOND"), c) * 1_000_000
+    ).cast("bigint")
+    return F.timestamp_micros(days * (MS_PER_DAY * 1000) + of_day)
 
 
 def utc_date(ms: Column) -> Column:

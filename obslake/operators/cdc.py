@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from obslake.functions.text import is_blank
 from obslake.operators.dimension import (
-    ROWS_PER_TASK, hot_keys, left_join_dimension, repeated_for_salts, with_salt,
+    ROWS_PER_TASK, hot_keys, left_join_dimension, per_row, repeated_for_salts, with_salt,
 )
 from obslake.schemas import METADATA
 
@@ -40,7 +40,7 @@ def cdc_enrich(metrics: DataFrame, snapshot: DataFrame, spread_by: list[str] | N
     targets = [c for c in METADATA if c in metrics.columns]
     dimension = snapshot.select("service_id", *[F.col(c).alias(f"_c_{c}") for c in targets])
     if spread_by is None:
-        spread_by = [c for c in ("timestamp_ms", "window_start", "metric_name") if c in metrics.columns]
+        spread_by = per_row(metrics.drop("service_id"))
     joined = left_join_dimension(metrics, dimension, "service_id", spread_by, **join)
     return joined.select(
         *[
@@ -66,7 +66,7 @@ def cdc_enrich_in_order(
     go to all of them, and the running frame keeps only the last change.
     """
     targets = [c for c in METADATA if c in metrics.columns]
-    spread_by = [c for c in ("timestamp_ms", "value", "metric_name") if c in metrics.columns]
+    spread_by = per_row(metrics.drop("service_id"))
     hot = hot_keys(metrics, "service_id", rows_per_task)
     rows = with_salt(metrics, "service_id", hot, spread_by).select(
         "*",

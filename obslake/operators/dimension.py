@@ -16,6 +16,11 @@ MAX_HOT_KEYS = 100_000
 NULL_SALTS = 65_536
 
 
+def per_row(df: DataFrame) -> list[str]:
+    """The columns that tell rows apart in a salt: all that can be hashed."""
+    return [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+
+
 def measured_bytes(df: DataFrame) -> int:
     """In-memory size estimate from one aggregation over the rows.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from obslake.operators.dimension import left_join_dimension
+from obslake.operators.dimension import left_join_dimension, per_row
 from obslake.schemas import METADATA
 
 # Fixed values used for services without a metadata row.
@@ -44,9 +44,10 @@ def to_normalized(events: DataFrame) -> DataFrame:
 
 def enrich_with_metadata(events: DataFrame, metadata: DataFrame, **join) -> DataFrame:
     """Normalized metrics: the event, its epoch milliseconds and its service metadata."""
-    return lookup_metadata(
-        to_normalized(events), metadata, spread_by=["timestamp_ms", "value", "metric_name"], **join
-    )
+    normalized = to_normalized(events)
+    # Events of one service may agree in time, value and name; their other columns tell them apart.
+    spread_by = per_row(normalized.drop("service_id", *METADATA))
+    return lookup_metadata(normalized, metadata, spread_by, **join)
 
 
 def union_normalized(structured: DataFrame, logs: DataFrame) -> DataFrame:

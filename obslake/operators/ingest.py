@@ -57,6 +57,7 @@ def _wire_double(text: Column) -> Column:
 
 def flag_metric_events(df: DataFrame) -> DataFrame:
     """Add ``reject_reason``: metric name and service id not blank, timestamp present."""
+    # The messages.
     return df.withColumn(
         "reject_reason",
         reasons(
@@ -164,56 +165,133 @@ def decode_cdc(df: DataFrame, value: str = "value") -> DataFrame:
 # --- batches ----------------------------------------------------------------------
 
 
+NOT_AN_ARRAY = "body is not a JSON array"
+
+
+def _elements(df: DataFrame, body: str, carried: list[Column], **arrays: Column) -> DataFrame:
+    """One row per element of a body that is an array, and one for a body that is not.
+
+    Adds ``raw_value`` (the body, only where it is no array), ``batch_pos`` (null there) and
+    ``_e`` with a field per entry of ``arrays``.  An empty array has no rows.
+    """
+    text = F.col(body)
+    zipped = F.when(trim_control(text).startswith("["), F.arrays_zip(*[c.alias(n) for n, c in arrays.items()]))
+    parsed = df.select(*carried, text.alias("_body"), evaluated_once(zipped).alias("_items"))
+    broken = F.col("_items").isNull()
+    return parsed.filter(broken | (F.size("_items") > 0)).select(
+        *carried,
+        F.when(broken, F.col("_body")).alias("raw_value"),
+        broken.alias("_broken"),
+        F.posexplode_outer("_items").alias("batch_pos", "_e"),
+    )
+
+
+def _variant_kind(item: Column) -> Column:
+    """First word of the element's type; null for a missing element."""
+    return F.regexp_extract(F.schema_of_variant(item), r"^\w+", 0)
+
+
 def flag_metric_batch(df: DataFrame, body: str = "body") -> DataFrame:
-    """One row per element of a JSON array of metric events, with a ``reject_reason``."""
+    """One row per element of a JSON array of metric events, with a ``reject_reason``.
+
+    Elements are decoded one by one: a bad one does not touch the others.  ``raw_value`` is the
+    text of a rejected element, or of a whole body that is no array.
+    """
     carried = [F.col(c) for c in df.columns if c != body and c not in METRIC_EVENT_FIELDS.values()]
-    exploded = df.select(
-        *carried, F.posexplode(F.from_json(F.col(body), f"array<{_EVENT_WIRE}>")).alias("batch_pos", "_event")
+    rows = _elements(df, body, carried, item=F.from_json(F.col(body), "array<variant>"))
+    item = F.col("_e.item")
+    text = F.to_json(item)
+    decoded = rows.select(
+        *carried,
+        "batch_pos",
+        "_broken",
+        F.coalesce("raw_value", F.when(~F.col("_broken"), F.coalesce(text, F.lit("null")))).alias("raw_value"),
+        F.coalesce(_variant_kind(item) == "OBJECT", F.lit(False)).alias("_object"),
+        evaluated_once(F.from_json(text, _EVENT_WIRE, _PERMISSIVE)).alias("_event"),
     )
     event = F.col("_event")
-    return exploded.select(
+    reason = (
+        F.when(F.col("_broken"), NOT_AN_ARRAY)
+        .when(~F.col("_object"), "element is not an object")
+        .otherwise(_event_problem(event))
+    )
+    return decoded.select(
         *carried,
         "batch_pos",
         *[c.alias(n) for n, c in _event_columns(event).items()],
-        _event_problem(event).alias("reject_reason"),
+        reason.alias("reject_reason"),
+        F.when(reason.isNotNull(), F.col("raw_value")).alias("raw_value"),
     )
 
 
-def explode_metric_batch(df: DataFrame, body: str = "body") -> DataFrame:
-    """JSON array of metric events to one row each; elements that do not decode are dropped."""
-    return split_rejects(flag_metric_batch(df, body))[0]
+def explode_metric_batch(df: DataFrame, body: str = "body") -> tuple[DataFrame, DataFrame]:
+    """``(events, rejected)`` from JSON arrays of metric events, one row per element."""
+    good, bad = split_rejects(flag_metric_batch(df, body))
+    return good.drop("raw_value"), bad
+
 
+def flag_log_batch(df: DataFrame, body: str = "body") -> DataFrame:
+    """One untrimmed log line per element of a JSON array, with a ``reject_reason``.
 
-def explode_log_batch(df: DataFrame, body: str = "body") -> DataFrame:
-    """JSON array of strings to one untrimmed log line per row."""
+    Numbers and truth values count as their text; null, objects and arrays are rejected.
+    """
     carried = [F.col(c) for c in df.columns if c not in (body, "value")]
-    return df.select(
-        *carried, F.posexplode(F.from_json(F.col(body), "array<string>")).alias("batch_pos", "value")
+    rows = _elements(
+        df, body, carried,
+        text=F.from_json(F.col(body), "array<string>"), item=F.from_json(F.col(body), "array<variant>"),
+    )
+    text, kind = F.col("_e.text"), _variant_kind(F.col("_e.item"))
+    reason = (
+        F.when(F.col("_broken"), NOT_AN_ARRAY)
+        .when(text.isNull(), "element is null")
+        .when(kind.isin("OBJECT", "ARRAY"), "element is not a line")
+    )
+    return rows.select(
+        *carried,
+        "batch_pos",
+        text.alias("value"),
+        reason.alias("reject_reason"),
+        F.when(reason.isNotNull(), F.coalesce("raw_value", text)).alias("raw_value"),
     )
 
 
+def explode_log_batch(df: DataFrame, body: str = "body") -> tuple[DataFrame, DataFrame]:
+    """``(lines, rejected)`` from JSON arrays of strings, one untrimmed line per row."""
+    good, bad = split_rejects(flag_log_batch(df, body))
+    return good.drop("raw_value"), bad
+
+
 def single_log_line(df: DataFrame, value: str = "value") -> DataFrame:
     """A line sent on its own is trimmed at both ends."""
     return df.withColumn(value, trim_control(F.col(value)))
 
 
-def explode_external_batch(df: DataFrame, body: str = "body") -> DataFrame:
-    """JSON array of anything to one JSON payload per element.
+def explode_external_batch(df: DataFrame, body: str = "body") -> tuple[DataFrame, DataFrame]:
+    """``(payloads, rejected)`` from JSON arrays of anything, one JSON payload per element.
 
     The text form keeps the key order of objects but drops the quotes of string
     elements; the variant form says which elements those are, so they are quoted again.
+    Only a body that is no array is rejected.
     """
     carried = [F.col(c) for c in df.columns if c not in (body, "payload")]
-    zipped = F.arrays_zip(
-        F.from_json(F.col(body), "array<string>").alias("text"),
-        F.from_json(F.col(body), "array<variant>").alias("item"),
+    rows = _elements(
+        df, body, carried,
+        text=F.from_json(F.col(body), "array<string>"), item=F.from_json(F.col(body), "array<variant>"),
     )
-    exploded = df.select(*carried, F.posexplode(zipped).alias("batch_pos", "_e"))
     text, item = F.col("_e.text"), F.col("_e.item")
     payload = F.when(F.schema_of_variant(item) == "STRING", F.to_json(item)).otherwise(
         F.coalesce(text, F.lit("null"))
     )
-    return exploded.select(*carried, "batch_pos", payload.alias("payload"))
+    good, bad = split_rejects(
+        rows.select(
+            *carried,
+            "batch_pos",
+            F.when(~F.col("_broken"), payload).alias("payload"),
+            F.when(F.col("_broken"), NOT_AN_ARRAY).alias("reject_reason"),
+            "raw_value",
+        )
+    )
+    return good.drop("raw_value"), bad
 
 
 def with_log_source(df: DataFrame, source: str = "source") -> DataFrame:

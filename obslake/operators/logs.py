@@ -12,7 +12,8 @@ from obslake.schemas import METRIC_EVENT_FIELDS
 
 # Fixed value: "<instant> [<level>] [<service>] <message>".
 LOG_PATTERN = r"(\d{4}-\d{2}-\d{2}T[\d:.]+Z)\s+\[(\w+)]\s+\[([^\]]+)]\s+(.*)"
-LOG_METRIC = "log.event"
+# Name, unit and placeholder of a log metric.
+LOG_METRIC, LOG_UNIT, LOG_PLACEHOLDER = "log.event", "count", "unknown"
 
 
 def extract_log_fields(df: DataFrame, value: str = "value") -> DataFrame:
@@ -47,10 +48,11 @@ def _match_fields(match: str) -> dict[str, Column]:
     }
 
 
-def parse_log_metrics(df: DataFrame, value: str = "value") -> DataFrame:
+def parse_log_metrics(df: DataFrame, value: str = "value", now: Column | None = None) -> DataFrame:
     """Trimmed lines that match the log pattern as a whole, as ``log.event`` metrics.
 
-    The level is upper-cased; a timestamp that is no instant becomes the current time.
+    The level is upper-cased; a timestamp that is no instant becomes ``now``, by
+    default the current time.
     """
     carried = [F.col(c) for c in df.columns if c != value]
     whole = rf"^(?:{LOG_PATTERN})\z"
@@ -58,14 +60,14 @@ def parse_log_metrics(df: DataFrame, value: str = "value") -> DataFrame:
     parsed = df.select(*carried, evaluated_once(match).alias("_match")).filter(F.col("_match") != "")
     fields = _match_fields("_match")
     stamped = parsed.withColumn(
-        "timestamp", F.coalesce(parse_instant(fields["timestamp"]), F.current_timestamp())
+        "timestamp", F.coalesce(parse_instant(fields["timestamp"]), F.current_timestamp() if now is None else now)
     )
-    unknown = F.lit("unknown")
+    unknown = F.lit(LOG_PLACEHOLDER)
     return stamped.select(
         *carried,
         F.lit(LOG_METRIC).alias("metric_name"),
         F.lit(1.0).alias("value"),
-        F.lit("count").alias("unit"),
+        F.lit(LOG_UNIT).alias("unit"),
         fields["service_id"].alias("service_id"),
         F.lit(None).cast("map<string,string>").alias("tags"),
         "timestamp",

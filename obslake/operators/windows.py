@@ -81,14 +81,15 @@ def window_aggregate(
 
 
 def _recency(*columns: str) -> Column:
-    """One number that orders like ``(event time, first tie-breaker)``."""
+    """One value that orders like the columns, nulls first; a number for event time and one tie-breaker."""
     if len(columns) == 1:
         return F.col(columns[0])
     if len(columns) > 2:
-        raise ValueError("at most one tie-breaking column")
-    shift = F.expr("cast(10000000000000000000 as decimal(20,0))")
-    tie = F.coalesce(F.col(columns[1]).cast("bigint"), F.lit(0)).cast("decimal(19,0)")
-    return F.col(columns[0]).cast("decimal(17,0)") * shift + tie
+        return F.struct(*columns)
+    # A step of event time is wider than the bigint range with one value below it for null.
+    step = F.expr("cast(20000000000000000000 as decimal(20,0))")
+    tie = F.coalesce(F.col(columns[1]).cast("bigint").cast("decimal(20,0)"), F.expr("cast(-9223372036854775809 as decimal(20,0))"))
+    return F.col(columns[0]).cast("decimal(17,0)") * step + tie
 
 
 def merge_aggregates(aggregates: DataFrame, window: str = "1 hour") -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from obslake.functions.times import instant_from_ntz
 from obslake.operators import external
 from obslake.plans import views
 from obslake.plans.registry import query
@@ -29,14 +30,11 @@ FROM events WHERE event_type NOT IN ('error', 'click')""")
 def topic_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keyed topic rows, some without a key, with an empty value or without a value."""
     kind = F.col("event_type")
-    topic = views.metrics(spark, sf_dir).join(
-        views.table(spark, sf_dir, "events").select("event_id", "props", "event_type"),
-        F.col("arrival") == F.col("event_id"),
-    ).select(
+    topic = views.table(spark, sf_dir, "events").select(
         F.when(kind != "view", kind).cast("binary").alias("key"),
         F.when(kind == "error", F.lit(" \n ")).when(kind != "click", F.concat(F.lit("\n\t"), "props", F.lit("  ")))
         .cast("binary").alias("value"),
-        "timestamp",
+        instant_from_ntz(F.col("ts")).alias("timestamp"),
     )
     return external.read_external(topic)
 
@@ -46,13 +44,10 @@ def wrapped_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return external.wrap_external(views.external_records(spark, sf_dir))
 
 
-def _landed(spark: SparkSession, records: DataFrame, tree: bool = False) -> DataFrame:
-    """Landing lines written and read back, in the hourly tree or in one folder."""
+def _landed(spark: SparkSession, records: DataFrame) -> DataFrame:
+    """Landing lines written to the hourly tree and read back."""
     raw = new_shared_path(spark, "external-raw")
-    if tree:
-        land_external(records, raw)
-    else:
-        external.wrap_external(records).select("value").write.text(raw)
+    land_external(records, raw)
     return read_external_ndjson(spark, raw)
 
 
@@ -93,7 +88,7 @@ def external_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
 def external_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole way: land, infer, transform, append to the partitioned table, read back."""
     target = new_shared_path(spark, "external")
-    rows = external.external_transform(_landed(spark, views.nested_records(spark, sf_dir), tree=True))
+    rows = external.external_transform(_landed(spark, views.nested_records(spark, sf_dir)))
     write_external_parquet(rows, target)
     return _plain(read_external_table(spark, target))
 

@@ -59,7 +59,7 @@ def validate_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT event_id // 5 AS batch, event_id % 5 AS batch_pos, metric_name, value, service_id, timestamp_ms
 FROM decoded_json WHERE number IS NULL OR number <> 'bad'"""))
 def explode_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = ingest.explode_metric_batch(views.json_batches(spark, sf_dir))
+    rows, _ = ingest.explode_metric_batch(views.json_batches(spark, sf_dir))
     return _with_ms(rows).select(
         "batch", F.col("batch_pos").cast("bigint").alias("batch_pos"),
         "metric_name", "value", "service_id", "timestamp_ms",
@@ -69,7 +69,7 @@ def explode_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("explode_log_batch", """
 SELECT conv_id, turn, unnest(string_split(' ' || text, chr(10))) AS value FROM conversations""")
 def explode_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ingest.explode_log_batch(views.log_batches(spark, sf_dir)).drop("batch_pos")
+    return ingest.explode_log_batch(views.log_batches(spark, sf_dir))[0].drop("batch_pos")
 
 
 @query("single_log_line", with_sql("log_lines", body="""
@@ -83,7 +83,51 @@ def single_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT event_id, coalesce(CAST(item AS VARCHAR), 'null') AS payload
 FROM (SELECT event_id, unnest(from_json(body, '["JSON"]')) AS item FROM mixed_batches)"""))
 def explode_external(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ingest.explode_external_batch(views.mixed_batches(spark, sf_dir)).drop("batch_pos")
+    return ingest.explode_external_batch(views.mixed_batches(spark, sf_dir))[0].drop("batch_pos")
+
+
+def _broken_sql(good: str, bad: str, reason: str) -> str:
+    """Rejects of bodies that are, in turn, good, with a bad element, cut off, not an array, and null."""
+    cut = f"CASE event_id % 5 WHEN 2 THEN '[' || {good} || ',{{\"a\":' WHEN 3 THEN '{{\"a\":' || event_id || '}}' END"
+    element = f"""
+SELECT event_id, 1::BIGINT AS batch_pos, '{bad}' AS raw_value, '{reason}' AS reject_reason FROM events WHERE event_id % 5 = 1
+UNION ALL""" if reason else ""
+    return f"""{element}
+SELECT event_id, CAST(NULL AS BIGINT) AS batch_pos, {cut} AS raw_value, 'body is not a JSON array' AS reject_reason
+FROM events WHERE event_id % 5 >= 2"""
+
+
+_EVENT_OBJECT = "'{\"metricName\":\"m' || event_id || '\",\"serviceId\":\"s\",\"timestamp\":1}'"
+
+
+def _rejects(rejected: DataFrame) -> DataFrame:
+    return rejected.select("event_id", F.col("batch_pos").cast("bigint").alias("batch_pos"), "raw_value", "reject_reason")
+
+
+@query("metric_batch_rejects", _broken_sql(_EVENT_OBJECT, "5", "element is not an object"))
+def metric_batch_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rejects(ingest.explode_metric_batch(views.broken_batches(spark, sf_dir, _EVENT_OBJECT, "5"))[1])
+
+
+@query("metric_batch_kept", """
+SELECT event_id, 0::BIGINT AS batch_pos, 'm' || event_id AS metric_name, 0.0::DOUBLE AS value, 1000::BIGINT AS timestamp_ms
+FROM events WHERE event_id % 5 < 2""")
+def metric_batch_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, _ = ingest.explode_metric_batch(views.broken_batches(spark, sf_dir, _EVENT_OBJECT, "5"))
+    return _with_ms(rows).select("event_id", F.col("batch_pos").cast("bigint").alias("batch_pos"), "metric_name", "value", "timestamp_ms")
+
+
+_LINE = "'\"line ' || event_id || '\"'"
+
+
+@query("log_batch_rejects", _broken_sql(_LINE, '{"k":1}', "element is not a line"))
+def log_batch_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rejects(ingest.explode_log_batch(views.broken_batches(spark, sf_dir, _LINE, '{"k":1}'))[1])
+
+
+@query("external_batch_rejects", _broken_sql(_EVENT_OBJECT, "", ""))
+def external_batch_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rejects(ingest.explode_external_batch(views.broken_batches(spark, sf_dir, _EVENT_OBJECT, "5"))[1])
 
 
 @query("encode_normalized", with_sql("metrics", "service_metadata", body="""

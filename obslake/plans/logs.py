@@ -25,11 +25,12 @@ SELECT g.timestamp AS timestamp, g.level AS level, g.service_id AS service_id, g
        value AS raw_line, TRY_CAST(left(g.timestamp, 10) AS DATE) AS date
 FROM (SELECT value, regexp_extract(value, '{_PATTERN}', {_GROUPS}) AS g FROM log_lines)
 WHERE g.timestamp <> ''"""
-# Lines whose timestamp is no calendar date get the current time, so they are left out of time columns.
+# A fixed time for lines whose timestamp is no calendar date; jobs use the current time.
+NOW_MS = 1_717_200_000_000
 SQL["parsed"] = f"""
 SELECT 'log.event' AS metric_name, 1.0::DOUBLE AS value, g.service_id AS service_id,
        upper(g.level) AS parsed_level, g.message AS log_message,
-       epoch_us(TRY_CAST(replace(g.timestamp, 'Z', '') AS TIMESTAMP)) // 1000 AS timestamp_ms
+       coalesce(epoch_us(TRY_CAST(replace(g.timestamp, 'Z', '') AS TIMESTAMP)) // 1000, {NOW_MS}) AS timestamp_ms
 FROM (SELECT value, regexp_extract({_TRIM}, '^(?:{_PATTERN})$', {_GROUPS}) AS g FROM log_lines)
 WHERE g.timestamp <> ''"""
 SQL["log_metrics"] = """
@@ -58,17 +59,15 @@ def archive_then_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(structured).select(*columns)
 
 
-def _known_time(column: str = "timestamp_ms"):
-    """The time of a parsed line; null where the parser put the current time."""
-    bad = (F.col("metric_name") == "log.event") & F.col("log_message").startswith("bad date")
-    return F.when(~bad, F.col(column)).alias(column)
+def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parse_log_metrics(views.log_lines(spark, sf_dir), now=F.timestamp_millis(F.lit(NOW_MS)))
 
 
 @query("parse_log_metrics", with_sql("log_lines", "parsed", body="""
 SELECT *, 'count' AS unit, service_id AS service_name, 'unknown' AS environment FROM parsed"""))
 def parse_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_log_metrics(views.log_lines(spark, sf_dir)).select(
-        "metric_name", "value", "service_id", "parsed_level", "log_message", _known_time(),
+    return _parsed(spark, sf_dir).select(
+        "metric_name", "value", "service_id", "parsed_level", "log_message", "timestamp_ms",
         "unit", "service_name", "environment",
     )
 
@@ -80,14 +79,12 @@ _LOG_COLUMNS = [
 
 
 def _log_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return log_to_metric(
-        parse_log_metrics(views.log_lines(spark, sf_dir)), views.service_metadata(spark, sf_dir)
-    )
+    return log_to_metric(_parsed(spark, sf_dir), views.service_metadata(spark, sf_dir))
 
 
 @query("log_to_metric", with_sql("log_lines", "service_metadata", "parsed", "log_metrics", body="SELECT * FROM log_metrics"))
 def log_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _log_metrics(spark, sf_dir).select(*_LOG_COLUMNS, _known_time())
+    return _log_metrics(spark, sf_dir).select(*_LOG_COLUMNS, "timestamp_ms")
 
 
 @query(
@@ -96,12 +93,11 @@ def log_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 {aggregate_output_sql(f'''(SELECT metric_name, service_id, sum(value) AS sum_value, min(value) AS min_value,
    max(value) AS max_value, count(value) AS count_value, sum(value) / count(value) AS avg_value,
    timestamp_ms // {HOUR} * {HOUR} AS window_start_ms, timestamp_ms // {HOUR} * {HOUR} + {HOUR} AS window_end_ms
- FROM parsed WHERE timestamp_ms IS NOT NULL GROUP BY metric_name, service_id, timestamp_ms // {HOUR})''')}"""),
+ FROM parsed GROUP BY metric_name, service_id, timestamp_ms // {HOUR})''')}"""),
 )
 def log_event_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = parse_log_metrics(views.log_lines(spark, sf_dir)).drop("service_name", "environment")
-    dated = rows.filter(~F.col("log_message").startswith("bad date"))
-    return aggregate_output(window_aggregate(dated, "1 hour"))
+    rows = _parsed(spark, sf_dir).drop("service_name", "environment")
+    return aggregate_output(window_aggregate(rows, "1 hour"))
 
 
 @query(
@@ -118,10 +114,7 @@ def union_all_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
         views.metrics(spark, sf_dir), views.service_metadata(spark, sf_dir)
     )
     rows = union_normalized(structured, _log_metrics(spark, sf_dir))
-    time = F.when(
-        F.col("log_message").isNull() | ~F.col("log_message").startswith("bad date"), F.col("timestamp_ms")
-    )
     return rows.select(
-        "metric_name", "value", "service_id", time.alias("timestamp_ms"),
+        "metric_name", "value", "service_id", "timestamp_ms",
         "service_name", "team", "environment", "region", "parsed_level", "log_message",
     )

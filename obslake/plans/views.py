@@ -193,11 +193,10 @@ FROM (SELECT *, make_timestamp((1704067200 + conv_id * 60 + turn) * 1000000) AS
 
 
 def _arrival_ms(ts):
-    """Time of day of the event on one fixed day."""
-    return F.lit(1704067200000) + F.pmod(F.unix_millis(instant_from_ntz(ts)), F.lit(86400000))
+    return F.unix_millis(instant_from_ntz(ts))
 
 
-SQL_ARRIVAL_MS = "(1704067200000 + epoch_us(ts) // 1000 % 86400000)"
+SQL_ARRIVAL_MS = "(epoch_us(ts) // 1000)"
 
 
 def external_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -311,6 +310,22 @@ SELECT event_id, '[{"id":' || event_id || ',"b":1,"a":"' || event_type || '"},"'
   || event_id || ',null,true,[1,' || event_id || ']]' AS body FROM events"""
 
 
+def broken_batches(spark: SparkSession, sf_dir: str, good: str, bad: str) -> DataFrame:
+    """Request bodies that are, in turn, good, with a bad element, cut off, not an array, and null.
+
+    ``good`` is a SQL expression for an element, ``bad`` the text of one.
+    """
+    n = F.col("event_id") % 5
+    element = F.expr(good)
+    body = (
+        F.when(n == 0, F.concat(F.lit("["), element, F.lit("]")))
+        .when(n == 1, F.concat(F.lit("["), element, F.lit(f",{bad}]")))
+        .when(n == 2, F.concat(F.lit("["), element, F.lit(',{"a":')))
+        .when(n == 3, F.concat(F.lit('{"a":'), F.col("event_id").cast("string"), F.lit("}")))
+    )
+    return table(spark, sf_dir, "events").select("event_id", body.alias("body"))
+
+
 def user_event_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as user-event requests; several fields are missing or blank on some of them."""
     status = F.col("o_orderstatus")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -33,13 +34,13 @@ def build_session(app_name: str, extra: dict[str, str] | None = None) -> SparkSe
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder: there the driver
+    Only a plain local master may fall back to a temporary folder: there the driver
     and the executors are one machine.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
     app = spark.sparkContext.applicationId
     if app not in _local_dirs:

@@ -24,6 +24,12 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(target))
 
 
+def modified_seconds(spark: SparkSession, path: str) -> float:
+    """When a file was last written, in seconds since the epoch."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(target).getModificationTime() / 1000
+
+
 def remove(spark: SparkSession, path: str) -> None:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

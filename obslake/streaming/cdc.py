@@ -1,21 +1,17 @@
-"""Change feed on a stream: a folded snapshot kept in files, and per-service state."""
+"""Change feed on a stream: a folded snapshot kept in files."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from typing import Any
+import time
 
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from obslake.functions.text import is_blank
 from obslake.operators.cdc import fold_cdc
 from obslake.schemas import METADATA, SERVICE_METADATA
-from obslake.sinks.paths import child_names, is_complete, remove
+from obslake.sinks.paths import child_names, is_complete, modified_seconds, remove
 
-KEEP_VERSIONS = 10
-# Tasks one service is spread over in the stateful query; fixed, as the state is laid out by it.
-SALTS = 32
+# A version goes this long after the next one replaced it: longer than any micro-batch that reads it may take.
+KEEP_SECONDS = 6 * 3600.0
 
 
 def _versions(spark: SparkSession, path: str) -> list[str]:
@@ -30,14 +26,24 @@ def latest_snapshot(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SERVICE_METADATA).parquet(f"{path}/{versions[-1]}")
 
 
-def apply_changes(batch: DataFrame, path: str, batch_id: int, order_by: list[str]) -> None:
+def apply_changes(
+    batch: DataFrame, path: str, batch_id: int, order_by: list[str], keep_seconds: float = KEEP_SECONDS
+) -> None:
     """Fold one micro-batch of changes into the next snapshot version.
 
     A repeated micro-batch rewrites its own version from the one before it.
     Snapshot rows enter the fold with null order columns, so any change beats them.
+    A version is deleted ``keep_seconds`` after the one that replaced it was complete.
     """
-    if batch.isEmpty():
-        return
+    cached = batch.persist()
+    try:
+        if not cached.isEmpty():
+            _fold_version(cached, path, batch_id, order_by, keep_seconds)
+    finally:
+        cached.unpersist()
+
+
+def _fold_version(batch: DataFrame, path: str, batch_id: int, order_by: list[str], keep_seconds: float) -> None:
     spark = batch.sparkSession
     name = f"version={batch_id:020d}"
     changes = batch.select("op", "service_id", *METADATA, *order_by)
@@ -46,8 +52,9 @@ def apply_changes(batch: DataFrame, path: str, batch_id: int, order_by: list[str
         known = spark.read.schema(SERVICE_METADATA).parquet(f"{path}/{before[-1]}")
         changes = changes.unionByName(known.withColumn("op", F.lit("r")), allowMissingColumns=True)
     fold_cdc(changes, order_by).write.mode("overwrite").parquet(f"{path}/{name}")
-    for old in before[:-KEEP_VERSIONS]:
-        remove(spark, f"{path}/{old}")
+    for old, newer in zip(before, before[1:]):
+        if time.time() - modified_seconds(spark, f"{path}/{newer}/_SUCCESS") > keep_seconds:
+            remove(spark, f"{path}/{old}")
 
 
 def start_cdc_snapshot(changes: DataFrame, path: str, checkpoint: str, order_by: list[str], trigger: dict | None = None):
@@ -58,71 +65,3 @@ def start_cdc_snapshot(changes: DataFrame, path: str, checkpoint: str, order_by:
         .trigger(**(trigger or {"processingTime": "10 seconds"}))
         .start()
     )
-
-
-_STATE = T.StructType([T.StructField(c, T.StringType()) for c in METADATA])
-
-
-class ChangeState(StatefulProcessor):
-    """Last change of one service; metrics that follow are overwritten with it."""
-
-    def __init__(self, columns: list[str]):
-        self.columns = columns
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last_change", _STATE)
-
-    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        state = self.last.get() if self.last.exists() else None
-        for row in rows:
-            if row["_kind"] == 0:
-                state = None if (row["op"] or "").lower() == "d" else tuple(row[c] for c in METADATA)
-                if state is None:
-                    self.last.clear()
-                else:
-                    self.last.update(state)
-                continue
-            fields = {c: row[c] for c in self.columns}
-            for name, value in zip(METADATA, state or ()):
-                if value is not None and name in fields:
-                    fields[name] = value
-            yield Row(**fields)
-
-    def close(self) -> None:
-        pass
-
-
-def cdc_enrich_stateful(metrics: DataFrame, changes: DataFrame, salts: int = SALTS) -> DataFrame:
-    """Apply changes to metrics in the order both streams arrive, inside one query.
-
-    Needed only where enriched metrics go on into a window of the same query;
-    otherwise the snapshot join is cheaper, as this one passes rows through
-    Python.  State is kept per (service, salt): metrics are spread over the
-    salts and each change goes to all of them, so no service is tied to one task.
-    """
-    columns = metrics.columns
-    spread = [c for c in ("timestamp_ms", "value", "metric_name") if c in columns]
-    rows = metrics.select(
-        "*",
-        F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int").alias("_salt"),
-        F.lit(1).alias("_kind"),
-        F.lit(None).cast("string").alias("op"),
-    )
-    feed = changes.filter(~is_blank(F.col("service_id"))).select(
-        "service_id",
-        "op",
-        *METADATA,
-        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"),
-        F.lit(0).alias("_kind"),
-    )
-    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in metrics.schema.fields])
-    return (
-        rows.unionByName(feed, allowMissingColumns=True)
-        .groupBy("service_id", "_salt")
-        .transformWithState(
-            statefulProcessor=ChangeState(columns),
-            outputStructType=schema,
-            outputMode="Append",
-            timeMode="None",
-        )
-    )

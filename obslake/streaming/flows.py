@@ -58,8 +58,13 @@ def start_aggregates(
     windows = window_aggregate(metrics, window, watermark, order_by)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = cdc_enrich(batch, snapshot()) if snapshot else batch
-        fan_out(rows, batch_id, table, parquet, f"{checkpoint}/stage", partitions)
+        # The closed windows are used more than once; they are read from the state once.
+        cached = batch.persist()
+        try:
+            rows = cdc_enrich(cached, snapshot()) if snapshot else cached
+            fan_out(rows, batch_id, table, parquet, f"{checkpoint}/stage", partitions)
+        finally:
+            cached.unpersist()
 
     return (
         windows.writeStream.outputMode("append")
@@ -83,7 +88,7 @@ def start_structured(topic: DataFrame, metadata: Lookup, sink: dict, checkpoint:
         try:
             good, bad = split_rejects(cached)
             _publish(enrich_with_metadata(good.drop("raw_value"), metadata()), sink)
-            if rejects:
+            if rejects and not bad.isEmpty():
                 bad.select("raw_value", "reject_reason").write.mode("overwrite").json(f"{rejects}/batch={batch_id}")
         finally:
             cached.unpersist()
@@ -94,7 +99,16 @@ def start_structured(topic: DataFrame, metadata: Lookup, sink: dict, checkpoint:
 def start_log_metrics(topic: DataFrame, metadata: Lookup, sink: dict, checkpoint: str, trigger: dict | None = None):
     """Log lines that parse to ``log.event`` metrics on the normalized topic."""
     parsed = parse_log_metrics(topic.select("value"))
-    return _foreach(parsed, lambda batch, _: _publish(log_to_metric(batch, metadata()), sink), checkpoint, trigger)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        # The lookup may measure and count the batch before it is joined.
+        cached = batch.persist()
+        try:
+            _publish(log_to_metric(cached, metadata()), sink)
+        finally:
+            cached.unpersist()
+
+    return _foreach(parsed, write, checkpoint, trigger)
 
 
 def _foreach(stream: DataFrame, write, checkpoint: str, trigger: dict | None):

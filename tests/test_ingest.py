@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from obslake.operators import ingest
 from obslake.schemas import METRIC_EVENT_FIELDS, NORMALIZED_FIELDS
 
-ISO, MS = "2024-01-15T10:30:00Z", 1705314600000
+ISO, MS = "2023-11-02T04:05:06Z", 1698897906000
 
 
 def texts(spark, *values):
@@ -15,8 +15,8 @@ def texts(spark, *values):
 
 def event(**changed):
     base = {
-        "metricName": "cpu.usage", "value": 75.5, "unit": "percent", "serviceId": "svc-api",
-        "tags": {"host": "host-01", "region": "us-east-1"}, "timestamp": ISO,
+        "metricName": "queue.depth", "value": 12.25, "unit": "items", "serviceId": "mailer",
+        "tags": {"zone": "b", "rack": "r7"}, "timestamp": ISO,
     }
     return {k: v for k, v in {**base, **changed}.items() if v != "absent"}
 
@@ -26,17 +26,17 @@ def test_decode_number_rules(spark):
         texts(
             spark, event(), event(value="absent"), event(value=None), event(value="5.5"), event(value=""),
             event(value="x"), event(value=True), "{broken", None, event(extra={"a": 1}), event(timestamp="junk"),
-            event(timestamp=1705314600.25), event(timestamp=None),
+            event(timestamp=1698897906.25), event(timestamp=None),
         )
     )
     values = {r.n: r.value for r in good.collect()}
-    assert values == {0: 75.5, 1: 0.0, 2: 0.0, 3: 5.5, 4: 0.0, 9: 75.5, 11: 75.5, 12: 75.5}
+    assert values == {0: 12.25, 1: 0.0, 2: 0.0, 3: 5.5, 4: 0.0, 9: 12.25, 11: 12.25, 12: 12.25}
     reasons = {r.n: r.reject_reason for r in bad.collect()}
     assert set(reasons) == {5, 6, 7, 8, 10}
     assert reasons[5] == "value is not a number" and reasons[7].startswith("malformed JSON")
     assert reasons[10] == "timestamp is not an instant"
     first = good.filter("n = 0").first()
-    assert first.tags == {"host": "host-01", "region": "us-east-1"} and first.unit == "percent"
+    assert first.tags == {"zone": "b", "rack": "r7"} and first.unit == "items"
     times = {r.n: r.t for r in good.select("n", F.unix_millis("timestamp").alias("t")).collect()}
     assert (times[0], times[11], times[12]) == (MS, MS + 250, None)
 
@@ -53,17 +53,44 @@ def test_validation(spark):
     assert reasons[4] == "serviceId must not be blank; timestamp must not be null"
 
 
+def bodies(spark, *texts):
+    return spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "n int, body string")
+
+
 def test_metric_batch(spark):
-    body = json.dumps([event(value=60.0), event(metricName="memory.usage", value=80.0), event(value="bad")])
-    df = spark.createDataFrame([(body,)], "body string")
-    rows = ingest.explode_metric_batch(df).orderBy("batch_pos").collect()
-    assert [(r.metric_name, r.value) for r in rows] == [("cpu.usage", 60.0), ("memory.usage", 80.0)]
-    assert ingest.flag_metric_batch(df).filter("reject_reason is not null").count() == 1
+    items = [event(value=3), event(metricName="queue.age", value=0.5), event(value="bad")]
+    good, bad = ingest.explode_metric_batch(bodies(spark, json.dumps(items)))
+    assert [(r.batch_pos, r.metric_name, r.value) for r in good.orderBy("batch_pos").collect()] == [
+        (0, "queue.depth", 3.0), (1, "queue.age", 0.5),
+    ]
+    row = bad.first()
+    assert bad.count() == 1 and (row.batch_pos, row.reject_reason) == (2, "value is not a number")
+    assert json.loads(row.raw_value) == items[2]
+
+
+def test_broken_batches_lose_nothing(spark):
+    one, text = json.dumps(event()), json.dumps(json.dumps(event()))
+    df = bodies(spark, f"[{one},5,{text},null,[{one}]]", f"[{one},{one[:-5]}", one, None, "[]", "{}", " ", f" [{one}] ")
+    good, bad = ingest.explode_metric_batch(df)
+    assert sorted((r.n, r.batch_pos) for r in good.collect()) == [(0, 0), (7, 0)]
+    rows = {(r.n, r.batch_pos): (r.raw_value, r.reject_reason) for r in bad.collect()}
+    whole = "body is not a JSON array"
+    assert set(rows) == {(0, 1), (0, 2), (0, 3), (0, 4), (1, None), (2, None), (3, None), (5, None), (6, None)}
+    assert rows[0, 1] == ("5", "element is not an object") and rows[0, 3][0] == "null"
+    assert rows[1, None] == (f"[{one},{one[:-5]}", whole) and rows[3, None] == (None, whole) and rows[5, None] == ("{}", whole)
+    lines, bad = ingest.explode_log_batch(bodies(spark, '["a",null,{"k":1},7]', '["cut', '"a"', None))
+    assert sorted(r.value for r in lines.collect()) == ["7", "a"]
+    assert sorted(((r.n, r.batch_pos or 0, r.raw_value) for r in bad.collect()), key=str) == [
+        (0, 1, None), (0, 2, '{"k":1}'), (1, 0, '["cut'), (2, 0, '"a"'), (3, 0, None),
+    ]
+    payloads, bad = ingest.explode_external_batch(bodies(spark, "[1,{}]", '{"a":1}', "[1,", None, "[]"))
+    assert sorted((r.n, r.payload) for r in payloads.collect()) == [(0, "1"), (0, "{}")]
+    assert sorted((r.n, r.raw_value) for r in bad.collect()) == [(1, '{"a":1}'), (2, "[1,"), (3, None)]
 
 
 def test_log_batch_is_not_trimmed_and_a_single_line_is(spark):
     df = spark.createDataFrame([(json.dumps([" a ", "b\tc"]),)], "body string")
-    assert [r.value for r in ingest.explode_log_batch(df).orderBy("batch_pos").collect()] == [" a ", "b\tc"]
+    assert [r.value for r in ingest.explode_log_batch(df)[0].orderBy("batch_pos").collect()] == [" a ", "b\tc"]
     one = spark.createDataFrame([("\t a \n",)], "value string")
     assert ingest.single_log_line(one).first().value == "a"
 
@@ -71,7 +98,7 @@ def test_log_batch_is_not_trimmed_and_a_single_line_is(spark):
 def test_external_batch_keeps_types_and_key_order(spark):
     items = [{"z": 1, "a": "x"}, "5", 5, None, True, [1, "2"], 'q"uote', {"s": "é"}, 1.50]
     body = json.dumps(items, ensure_ascii=False)
-    out = ingest.explode_external_batch(spark.createDataFrame([(body,)], "body string"))
+    out = ingest.explode_external_batch(spark.createDataFrame([(body,)], "body string"))[0]
     payloads = [r.payload for r in out.orderBy("batch_pos").collect()]
     assert [json.loads(p) for p in payloads] == items
     assert payloads[0].replace(" ", "") == '{"z":1,"a":"x"}' and payloads[1] == '"5"'
@@ -87,8 +114,8 @@ def test_encode_then_decode(spark):
     good, _ = ingest.decode_metric_events(texts(spark, event(unit=None)))
     sent = ingest.encode_json(good, "service_id", METRIC_EVENT_FIELDS)
     row = sent.first()
-    assert row.key == "svc-api" and json.loads(row.value)["unit"] is None
-    assert json.loads(row.value)["timestamp"] == 1705314600
+    assert row.key == "mailer" and json.loads(row.value)["unit"] is None
+    assert json.loads(row.value)["timestamp"] == 1698897906
     back, _ = ingest.decode_metric_events(sent)
     assert back.select(*METRIC_EVENT_FIELDS.values()).collect() == good.select(*METRIC_EVENT_FIELDS.values()).collect()
 
