@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, functions as F
 
 from obslake.functions.times import utc_date, utc_hour
@@ -17,6 +20,21 @@ BY_DATE = ("window_date",)
 _ROW = METRIC_AGGREGATE.names
 
 
+@dataclass(frozen=True)
+class JdbcTarget:
+    """An aggregate table in a database; each writing query has a staging table of its own."""
+
+    url: str
+    table: str
+    query: str
+    properties: dict[str, str]
+    writers: int = 8
+
+    @property
+    def staging(self) -> str:
+        return f"{self.table}_staging_{re.sub(r'[^a-z0-9]+', '_', self.query.lower())}"
+
+
 def with_window_partitions(df: DataFrame, partitions: tuple[str, ...] = BY_HOUR) -> DataFrame:
     ms = F.unix_millis("window_start")
     parts = {"window_date": utc_date(ms), "window_hour": utc_hour(ms)}
@@ -116,16 +134,25 @@ def fan_out(
     parquet: str,
     stage_root: str,
     partitions: tuple[str, ...] = BY_HOUR,
+    jdbc: JdbcTarget | None = None,
 ) -> None:
-    """One micro-batch of aggregates to the keyed table and to the Parquet copy."""
-    cached = batch.persist()
-    try:
-        upsert_aggregates(cached, table, stage=f"{stage_root}/batch={batch_id}", partitions=partitions)
-        write_aggregates_parquet(cached, parquet, batch_id)
-        # A running micro-batch means that the one before it is committed.
-        remove(batch.sparkSession, f"{stage_root}/batch={batch_id - 1}")
-    finally:
-        cached.unpersist()
+    """One micro-batch of aggregates to the keyed table, to the Parquet copy and, if named, to a database.
+
+    All sinks are written from one staged table, so they agree also when a repeated
+    micro-batch would join a newer lookup.
+    """
+    spark = batch.sparkSession
+    rows = f"{stage_root}/rows={batch_id}"
+    if not is_complete(spark, rows):
+        batch.select(*_ROW).write.mode("overwrite").parquet(rows)
+    staged = spark.read.schema(batch.select(*_ROW).schema).parquet(rows)
+    upsert_aggregates(staged, table, stage=f"{stage_root}/batch={batch_id}", partitions=partitions)
+    write_aggregates_parquet(staged, parquet, batch_id)
+    if jdbc:
+        upsert_aggregates_jdbc(staged, jdbc)
+    # A running micro-batch means that the one before it is committed.
+    for name in ("batch", "rows"):
+        remove(spark, f"{stage_root}/{name}={batch_id - 1}")
 
 
 # --- JDBC --------------------------------------------------------------------------
@@ -141,17 +168,18 @@ def upsert_statement(table: str, staging: str) -> str:
     )
 
 
-def upsert_aggregates_jdbc(batch: DataFrame, url: str, table: str, properties: dict[str, str], writers: int = 8) -> None:
-    """Write the batch to a staging table in parallel, then merge it with one statement."""
-    staging = f"{table}_staging"
-    rows = last_per_key(batch).repartition(writers, *AGGREGATE_KEY)
-    rows.write.option("truncate", "true").mode("overwrite").jdbc(url, staging, properties=properties)
+def upsert_aggregates_jdbc(batch: DataFrame, target: JdbcTarget) -> None:
+    """Write the batch to the target's staging table in parallel, merge it with one statement, empty it."""
+    rows = last_per_key(batch).repartition(target.writers, *AGGREGATE_KEY)
+    rows.write.option("truncate", "true").mode("overwrite").jdbc(target.url, target.staging, properties=target.properties)
     jvm = batch.sparkSession._jvm
     login = jvm.java.util.Properties()
-    for key, value in properties.items():
+    for key, value in target.properties.items():
         login.setProperty(key, value)
-    connection = jvm.java.sql.DriverManager.getConnection(url, login)
+    connection = jvm.java.sql.DriverManager.getConnection(target.url, login)
     try:
-        connection.createStatement().executeUpdate(upsert_statement(table, staging))
+        statement = connection.createStatement()
+        statement.executeUpdate(upsert_statement(target.table, target.staging))
+        statement.executeUpdate(f"DELETE FROM {target.staging}")
     finally:
         connection.close()

@@ -5,16 +5,18 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from obslake.operators.cdc import cdc_enrich
 from obslake.operators.enrich import enrich_with_metadata
 from obslake.operators.external import flag_external, read_external
-from obslake.operators.ingest import decode_normalized, encode_json, flag_decoded_metric_events, split_rejects
+from obslake.operators.ingest import (
+    decode_normalized, encode_json, flag_decoded_metric_events, flag_metric_batch, split_rejects, validate_metric_events,
+)
 from obslake.operators.logs import log_to_metric, parse_log_metrics
 from obslake.operators.windows import WATERMARK, WINDOW, window_aggregate
-from obslake.schemas import NORMALIZED_FIELDS
-from obslake.sinks.aggregates import BY_HOUR, fan_out
+from obslake.schemas import METRIC_EVENT_FIELDS, NORMALIZED_FIELDS
+from obslake.sinks.aggregates import BY_HOUR, JdbcTarget, fan_out
 from obslake.sinks.files import archive_raw_logs, land_external
 from obslake.sinks.topics import write_topic
 
@@ -49,8 +51,9 @@ def start_aggregates(
     trigger: dict | None = None,
     order_by: tuple[str, ...] = (),
     partitions: tuple[str, ...] = BY_HOUR,
+    jdbc: JdbcTarget | None = None,
 ):
-    """Normalized metrics to window aggregates, in the keyed table and in Parquet.
+    """Normalized metrics to window aggregates, in the keyed table, in Parquet and, if named, in a database.
 
     The change-feed ``snapshot`` is read again for every micro-batch and joined
     to the closed windows, which carry the same service as their events.
@@ -62,7 +65,7 @@ def start_aggregates(
         cached = batch.persist()
         try:
             rows = cdc_enrich(cached, snapshot()) if snapshot else cached
-            fan_out(rows, batch_id, table, parquet, f"{checkpoint}/stage", partitions)
+            fan_out(rows, batch_id, table, parquet, f"{checkpoint}/stage", partitions, jdbc)
         finally:
             cached.unpersist()
 
@@ -96,6 +99,31 @@ def start_structured(topic: DataFrame, metadata: Lookup, sink: dict, checkpoint:
     return _foreach(flagged, write, checkpoint, trigger)
 
 
+def start_metric_ingest(bodies: DataFrame, sink: dict, checkpoint: str, rejects: str, trigger: dict | None = None):
+    """Request bodies (JSON arrays of metric events) to valid events on a topic.
+
+    What does not decode or validate goes to ``rejects`` with its text and the reason.
+    """
+    flagged = flag_metric_batch(bodies.select("body"))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        cached = batch.persist()
+        try:
+            good, undecoded = split_rejects(cached)
+            valid, invalid = validate_metric_events(good.drop("raw_value"))
+            write_topic(encode_json(valid, "service_id", METRIC_EVENT_FIELDS), **sink)
+            text = F.to_json(F.struct(*METRIC_EVENT_FIELDS.values())).alias("raw_value")
+            bad = undecoded.select("batch_pos", "raw_value", "reject_reason").unionByName(
+                invalid.select("batch_pos", text, "reject_reason")
+            )
+            if not bad.isEmpty():
+                bad.write.mode("overwrite").json(f"{rejects}/batch={batch_id}")
+        finally:
+            cached.unpersist()
+
+    return _foreach(flagged, write, checkpoint, trigger)
+
+
 def start_log_metrics(topic: DataFrame, metadata: Lookup, sink: dict, checkpoint: str, trigger: dict | None = None):
     """Log lines that parse to ``log.event`` metrics on the normalized topic."""
     parsed = parse_log_metrics(topic.select("value"))

@@ -1,5 +1,5 @@
 import os
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -147,3 +147,22 @@ def test_jdbc_modes():
     assert jdbc_mode("append") == "append"
     with pytest.raises(ValueError):
         jdbc_mode("errorifexists")
+
+
+def test_each_query_has_a_staging_table():
+    targets = [agg.JdbcTarget("jdbc:x:y", "metric_aggregates", q, {}) for q in ("aggregates", "Back-Fill 2")]
+    assert [t.staging for t in targets] == ["metric_aggregates_staging_aggregates", "metric_aggregates_staging_back_fill_2"]
+
+
+def test_sinks_agree_after_a_repeat(spark, tmp_path):
+    schema = "metric_name string, service_id string, service_name string, environment string, sum_value double, min_value double, max_value double, count_value long, avg_value double, window_start timestamp, window_end timestamp"
+    start, end = datetime(2024, 3, 1, 10, 0), datetime(2024, 3, 1, 10, 1)
+    row = lambda name: spark.createDataFrame([("m", "s", name, "e", 1.0, 1.0, 1.0, 1, 1.0, start, end)], schema)
+    table, copy, stage = (str(tmp_path / n) for n in ("table", "copy", "stage"))
+    agg.fan_out(row("old"), 4, table, copy, stage)
+    # The repeat of a micro-batch joined a newer lookup: both sinks keep the rows staged first.
+    agg.fan_out(row("new"), 4, table, copy, stage)
+    assert [r.service_name for r in spark.read.parquet(table).collect()] == ["old"]
+    assert [r.service_name for r in spark.read.parquet(copy).collect()] == ["old"]
+    agg.fan_out(row("new"), 5, table, copy, stage)
+    assert [r.service_name for r in spark.read.parquet(table).collect()] == ["new"]

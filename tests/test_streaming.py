@@ -1,6 +1,7 @@
 import itertools
 import json
 import os
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -153,6 +154,19 @@ def test_structured_and_log_metrics_reach_the_normalized_topic(spark, tmp_path):
     ]
 
 
+def test_metric_ingest(spark, tmp_path):
+    bodies, out, bad = (str(tmp_path / n) for n in ("bodies", "out", "bad"))
+    os.makedirs(bodies)
+    good = '{"metricName":"m","value":2,"serviceId":"s","timestamp":5}'
+    Path(bodies, "a.txt").write_text(f'[{good},7]\n[{good},{{"metricName":" ","serviceId":"s","timestamp":5}}]\n{good}\n')
+    source = spark.readStream.text(bodies).withColumnRenamed("value", "body")
+    sink = {"topic": "t", "format": "json", "path": out}
+    flows.start_metric_ingest(source, sink, str(tmp_path / "ck"), bad, ONCE).awaitTermination()
+    assert [json.loads(r.value)["metricName"] for r in spark.read.json(out).collect()] == ["m", "m"]
+    reasons = sorted(r.reject_reason for r in spark.read.json(bad).collect())
+    assert reasons == ["body is not a JSON array", "element is not an object", "metricName must not be blank"]
+
+
 def test_archive_and_landing_streams(spark, tmp_path):
     logs, raw = str(tmp_path / "logs"), str(tmp_path / "raw")
     flows.start_log_archive(topic(spark, logs, "line one", " two "), raw, str(tmp_path / "ck1"), ONCE).awaitTermination()
