@@ -192,7 +192,7 @@ SELECT unnest(string_split({_SQL_ISO} || ' [' || role || '] [chat-' || conv_id |
 FROM (SELECT *, make_timestamp((1704067200 + conv_id * 60 + turn) * 1000000) AS ts FROM conversations)"""
 
 
-def _arrival_ms(ts):
+def arrival_ms(ts):
     return F.unix_millis(instant_from_ntz(ts))
 
 
@@ -204,7 +204,7 @@ def external_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         F.concat("event_type", F.lit('"api\\1')).alias("source_api"),
         F.col("props").alias("payload"),
-        _arrival_ms(F.col("ts")).alias("received_at"),
+        arrival_ms(F.col("ts")).alias("received_at"),
     )
 
 
@@ -218,7 +218,7 @@ def array_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         F.concat("event_type", F.lit("-api")).alias("source_api"),
         F.to_json(F.array("event_id", "user_id")).alias("payload"),
-        _arrival_ms(F.col("ts")).alias("received_at"),
+        arrival_ms(F.col("ts")).alias("received_at"),
     )
 
 
@@ -235,7 +235,7 @@ def nested_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         F.concat("event_type", F.lit("-api")).alias("source_api"),
         payload.alias("payload"),
-        _arrival_ms(F.col("ts")).alias("received_at"),
+        arrival_ms(F.col("ts")).alias("received_at"),
     )
 
 

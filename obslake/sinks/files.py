@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from obslake.functions.times import hour_partitions
 from obslake.operators.external import wrap_external
 from obslake.sinks.layout import append_partitioned
+from obslake.sinks.shapes import with_kept_types
 
 HOUR = ["year", "month", "day", "hour"]
 ROLL_INTERVAL = "5 minutes"
@@ -29,6 +30,7 @@ def _write_lines(lines: DataFrame, path: str, columns: list[str], checkpoint: st
     return (
         lines.writeStream.format("text")
         .partitionBy(*columns)
+        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
         .option("checkpointLocation", checkpoint)
         .option("path", path)
         .trigger(**(trigger or {"processingTime": ROLL_INTERVAL}))
@@ -52,6 +54,10 @@ def write_logs_parquet(rows: DataFrame, path: str, rebalance: bool = False) -> N
 
 
 def write_external_parquet(rows: DataFrame, path: str, copy_to: str | None = None, rebalance: bool = False) -> None:
-    """Append structured external rows under ``_source_api=/_date=``, to a second place too if given."""
+    """Append structured external rows under ``_source_api=/_date=``, to a second place too if given.
+
+    A column may change its type between runs and sources (see ``sinks.shapes``).
+    """
+    partitions = ["_source_api", "_date"]
     for target in filter(None, (path, copy_to)):
-        append_partitioned(rows, target, ["_source_api", "_date"], rebalance)
+        append_partitioned(with_kept_types(rows, target, partitions), target, partitions, rebalance)

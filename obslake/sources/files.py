@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from obslake.sinks.paths import exists
+from obslake.sinks.shapes import read_kept
+
+EXTERNAL_PARTITIONS = T.StructType([T.StructField("_source_api", T.StringType()), T.StructField("_date", T.DateType())])
 
 _FILES = "path string, modificationTime timestamp, length bigint, content binary"
 _RECURSIVE = {"recursiveFileLookup": "true"}
@@ -28,8 +31,12 @@ def read_external_ndjson(spark: SparkSession, path: str, schema=None) -> DataFra
 
 
 def read_external_table(spark: SparkSession, path: str) -> DataFrame:
-    """Structured external rows written over several runs, with the union of their columns."""
-    return spark.read.option("mergeSchema", "true").parquet(path)
+    """Structured external rows written over several runs, with the union of their columns.
+
+    The columns and types come from what the writers kept; a column that changed its type is read
+    as the widest number, or as text.
+    """
+    return read_kept(spark, path, EXTERNAL_PARTITIONS)
 
 
 def list_data_files(spark: SparkSession, root: str, prefix: str = "") -> DataFrame:

@@ -166,3 +166,18 @@ def test_sinks_agree_after_a_repeat(spark, tmp_path):
     assert [r.service_name for r in spark.read.parquet(copy).collect()] == ["old"]
     agg.fan_out(row("new"), 5, table, copy, stage)
     assert [r.service_name for r in spark.read.parquet(table).collect()] == ["new"]
+
+
+def test_external_columns_may_change_their_type(spark, tmp_path):
+    raw, out = str(tmp_path / "raw"), str(tmp_path / "out")
+    schema = "source_api string, payload string, received_at long"
+    payloads = ['{"x":1,"y":1,"z":{"k":{"m":1}}}', '{"x":2.5,"y":"t","z":3}', '{"x":7,"y":[1],"w":true}', '{"y":2}']
+    for k, payload in enumerate(payloads):
+        files.land_external(spark.createDataFrame([("s", payload, k)], schema), f"{raw}{k}")
+        files.write_external_parquet(external_transform(read_external_ndjson(spark, f"{raw}{k}")), out)
+    table = read_external_table(spark, out)
+    rows = {r._received_at: r for r in table.collect()}
+    assert [rows[k].x for k in range(4)] == [1.0, 2.5, 7.0, None]
+    assert [rows[k].y for k in range(4)] == ["1", "t", "[1]", "2"]
+    assert rows[2].w is True and rows[0].w is None and rows[1].z == 3
+    assert {f.name: f.dataType.simpleString() for f in table.schema.fields}["x"] == "double"
