@@ -28,7 +28,7 @@ ASKED_AT_ONCE = 2048
 
 _MOST = (1 << 31) - 1
 _ODD = U64(0x9FB21C651E98DF25)
-_SEEDS = [U64(0x2545F4914F6CDD1D), U64(0xD6E8FEB86659FD93), U64(0xA0761D6478BD642F)]
+_SEED = U64(0x2545F4914F6CDD1D)
 
 
 def shingle_sets(texts: list[bytes], n: int = WORDS) -> list[np.ndarray]:
@@ -121,7 +121,7 @@ def _sketch(n: int, percent: int, shared):
                     continue
                 mixed = mix(tokens)
                 digests[i] = mix(np.array([mixed.sum(dtype=U64) ^ U64(int(size))]))[0]
-                keys[i] = mix(np.array([sum((mix(tokens ^ s).min() for s in _SEEDS), start=U64(0))]))[0]
+                keys[i] = mix(tokens ^ _SEED).min()
                 least = _least_shared(size, percent)
                 length = min(size, size - least + min(SHARED, least))
                 order = np.lexsort((tokens, counts[(tokens & U64(COUNTERS - 1)).astype(np.int64)]))
@@ -384,7 +384,7 @@ def jaccard_components(docs: DataFrame, n: int = WORDS, percent: int = PERCENT)
     1. Tokens are counted in a fixed number of counters.  By (count, hash) all tokens have one
        order, in which a set's rare tokens come first.  Linked sets share tokens of their
        prefixes, whatever the order is; a good one makes others share none.
-    2. Copies are folded into one set.  Sets that agree in three minima of hashes form a group of
+    2. Copies are folded into one set.  Sets with the same least hash of a token form a group of
        at most about 128.  The matrix holds the tokens of each group's prefixes, once.
     3. Groups that share enough of the matrix are paired.  In a task, the members of a group are
        indexed by token; a set that overlaps with the union of their tokens by less than the
@@ -405,6 +405,7 @@ def jaccard_components(docs: DataFrame, n: int = WORDS, percent: int = PERCENT)
     sketches = cut_lineage(
         texts.mapInPandas(_sketch(n, percent, counts), "doc_id long, n long, digest long, key long, tokens array<bigint>")
     )
+    counts.destroy()
     sets = _grouped(sketches)
     routes = _routes(sets, _qualifying(sets, percent))
     opened = routes.join(texts.withColumnRenamed("doc_id", "least"), "least").drop("least")
