@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BooleanType, LongType, StringType, StructField, StructType
 
-from obslake.llm.columns import without
+from obslake.functions.names import quoted
 from obslake.llm.hashing import ALPHANUMERIC, words
 from obslake.session import cut_lineage
 
@@ -283,20 +283,22 @@ def contamination(
     letters = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-letters // (2 * max_windows)))  # a word and what parts it are two bytes at least
     types = {f.name: f for f in docs.schema.fields}
-    carried = [c for c in keep if c != "text"]
-    own = [StructField("text", StringType()), *(types[c] for c in carried)]
+    # Columns to keep go under names of their own meanwhile, whatever they are called.
+    carried = {c: f"_kept_{k}" for k, c in enumerate(keep) if c != "text"}
+    own = [StructField("text", StringType()), *(StructField(a, types[c].dataType) for c, a in carried.items())]
     added = [*FOUND[:4], StructField("hit_words", ArrayType(LongType()))]
-    found = docs.select("text", *carried)
+    found = docs.select("text", *[F.col(quoted(c)).alias(a) for c, a in carried.items()])
     for k in range(blocks):
         # At most about 2 * max_windows bytes of text.
         block = items.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == k).collect()
         shared = spark.sparkContext.broadcast(phrases_of([tuple(r) for r in block], window))
         if k:
             before = F.struct("item_ids", "hit_words").alias("_before")
-            found = cut_lineage(found).select("text", *carried, before)
+            found = cut_lineage(found).select("text", *carried.values(), before)
         found = found.mapInPandas(_search(shared), StructType([*own, *added]))
     result = (F.col("n_hit") > 0) & (F.col("n_hit") * MIN_SHARE >= F.col("n_words"))
-    return found.select(*keep, *[f.name for f in FOUND[:4]], result.alias("contaminated"))
+    kept = [F.col(carried.get(c, "text")).alias(c) for c in keep]
+    return found.select(*kept, *[f.name for f in FOUND[:4]], result.alias("contaminated"))
 
 
 def contamination_table(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -314,6 +316,6 @@ def contamination_table(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows that are not contaminated, with their own columns."""
-    columns = without(docs, *[f.name for f in FOUND])
-    assert len(columns) == len(docs.columns), "columns named like the results"
-    return contamination(docs, benchmark, columns).where(~F.col("contaminated")).select(*columns)
+    names = [f"_own_{k}" if c != "text" else c for k, c in enumerate(docs.columns)]
+    clean = contamination(docs.toDF(*names), benchmark).where(~F.col("contaminated"))
+    return clean.select(*names).toDF(*docs.columns)
