@@ -21,7 +21,9 @@ LENGTH = 100
 TRIGGER = 24
 # Filters have so many bits whatever the corpus: more keys let more through, and never drop one.
 FILTER_BITS, SLICES = 1 << 27, 64
-COMPARE_BYTES = 2 << 20
+COMPARE_BYTES, SPLIT_BYTES = 2 << 20, 512 << 10
+# Strings of one trigger that a task may compare; those of triggers with more are dealt by their hash.
+TOGETHER = 1 << 18
 
 _LAST = (1 << 63) - 1
 
@@ -144,9 +146,24 @@ def _parse_rows(length: int):
     return rows
 
 
+def _origins(same: np.ndarray, columns: tuple[np.ndarray, ...], first: tuple[int, ...] | None) -> list[np.ndarray]:
+    """For each row the values of the first row of its run; a run that began in an earlier batch has ``first``."""
+    start = np.maximum.accumulate(np.where(same, -1, np.arange(len(same))))
+    return [np.where(start < 0, f, c[np.maximum(start, 0)]) for f, c in zip(first or (0,) * len(columns), columns)]
+
+
 def _dictionary(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """For rows sorted by trigger, phrase and place: starts whose phrase came before, and triggers with several phrases."""
+    """For rows sorted by trigger, phrase and place.
+
+    Kind 1: starts whose phrase came before.  Kind 2: triggers with several phrases (``doc``) and
+    how many strings their rows have (``low``).
+    """
     last = first = None
+    strings = further = 0
+
+    def several(triggers, numbers) -> pd.DataFrame:
+        return pd.DataFrame({"doc": triggers, "digest": 0, "low": numbers, "high": 0, "kind": np.int8(2)})
+
     for frame in frames:
         passed = frame["kind"].to_numpy() == 1
         yield frame.loc[passed, ["doc", "digest", "low", "high"]].assign(kind=np.int8(1))
@@ -160,15 +177,26 @@ def _dictionary(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         if last is not None:
             same_trigger[0] = trigger[0] == last[0]
             same_phrase[0] = same_trigger[0] and phrase[0] == last[1]
-        start = np.maximum.accumulate(np.where(same_phrase, -1, np.arange(len(frame))))
-        origin = [np.where(start < 0, f, c[np.maximum(start, 0)]) for f, c in zip(first or (0, 0, 0), (doc, digest, low))]
+        origin = _origins(same_phrase, (doc, digest, low), first)
         itself = (doc == origin[0]) & (digest == origin[1]) & (low == origin[2])
         again = np.flatnonzero(same_phrase & ~itself)
         again = again[np.lexsort((low[again], digest[again], doc[again]))]
-        yield _intervals(doc[again], digest[again], low[again], frame["high"].to_numpy()[again]).assign(kind=np.int8(1))
-        several = np.unique(trigger[same_trigger & ~same_phrase])
-        yield pd.DataFrame({"doc": several, "digest": 0, "low": 0, "high": 0, "kind": np.int8(2)})
+        high = frame["high"].to_numpy()
+        yield _intervals(doc[again], digest[again], low[again], high[again]).assign(kind=np.int8(1))
+        runs = np.union1d(0, np.flatnonzero(~same_trigger))
+        own = np.add.reduceat(high - low + 1, runs)
+        others = np.add.reduceat((same_trigger & ~same_phrase).astype(np.int64), runs)
+        if same_trigger[0]:
+            own[0] += strings
+            others[0] += further
+        elif further:
+            yield several([last[0]], [strings])
+        closed = np.flatnonzero(others[:-1])
+        yield several(trigger[runs[closed]], own[closed])
+        strings, further = int(own[-1]), int(others[-1])
         last, first = (trigger[-1], phrase[-1]), tuple(int(o[-1]) for o in origin)
+    if further:
+        yield several([last[0]], [strings])
 
 
 def _bits(keys: np.ndarray) -> np.ndarray:
@@ -212,11 +240,43 @@ def _passes(held: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return ((held[bits >> 3] >> (bits & 7).astype(np.uint8)) & 1 == 1).reshape(2, -1).all(axis=0)
 
 
-def _open_rows(length: int, shared):
-    """Phrases whose trigger has other phrases as well, with their bytes."""
+def _strings(frame: pd.DataFrame, length: int) -> tuple[np.ndarray, ...]:
+    """Each string of phrases sorted by trigger and place, as (row, start in the phrase, hash, if it came before)."""
+    parts = frame["bytes"].tolist()
+    sizes = np.array([len(p) for p in parts], dtype=np.int64)
+    counts = sizes - length + 1
+    row = np.repeat(np.arange(len(frame)), counts)
+    inside = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+    start = np.repeat(np.cumsum(sizes) - sizes, counts) + inside
+    data = np.frombuffer(b"".join(parts), dtype=np.uint8)
+    hashes = Rolling(data).of(start, start + length) if len(start) else np.zeros(0, dtype=U64)
+    again = np.ones(len(hashes), dtype=bool)
+    again[np.unique(hashes, return_index=True)[1]] = False
+    return row, inside, hashes, again
+
+
+def _split(frame: pd.DataFrame, length: int) -> Iterator[pd.DataFrame]:
+    """Kind 1: a string where a block of phrases has it first, keyed by its hash.  Kind 2: starts whose string came before in it."""
+    frame = frame.sort_values(["key", "doc", "digest", "low"], ignore_index=True)
+    blocks = np.cumsum([len(b) for b in frame["bytes"]]) // SPLIT_BYTES
+    for _, part in frame.groupby(blocks, sort=True):
+        row, inside, hashes, again = _strings(part, length)
+        doc, digest, low = (part[c].to_numpy()[row] for c in ("doc", "digest", "low"))
+        low = low + inside
+        new = np.flatnonzero(~again)
+        found = pd.DataFrame({"key": hashes[new].astype(np.int64), "doc": doc[new], "digest": digest[new], "low": low[new], "high": low[new]})
+        yield found.assign(kind=np.int8(1), bytes=None)
+        old = np.flatnonzero(again)
+        old = old[np.lexsort((low[old], digest[old], doc[old]))]
+        found = _intervals(doc[old], digest[old], low[old], low[old])
+        yield found.assign(key=found["digest"], kind=np.int8(2), bytes=None)
+
+
+def _open_rows(length: int, shared, crowded):
+    """Phrases whose trigger has other phrases as well, with their bytes (kind 0); single strings of crowded triggers."""
 
     def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = shared.value
+        held, many = shared.value, crowded.value
         for frame in map(_distinct_rows, frames):
             doc, digest = frame["doc"].to_numpy(), frame["digest"].to_numpy()
             row, low, _, count, trigger, _, again = _phrases(frame, length, lambda keys: _passes(held, keys))
@@ -229,7 +289,11 @@ def _open_rows(length: int, shared):
                 if r != of:
                     text, of = frame["text"].iat[r].encode(), r
                 cut.append(text[a : a + k + length - 1])
-            yield pd.DataFrame({"trigger": trigger.astype(np.int64), "doc": doc[row], "digest": digest[row], "low": low, "bytes": cut})
+            opened = pd.DataFrame({"key": trigger.astype(np.int64), "doc": doc[row], "digest": digest[row], "low": low, "bytes": cut})
+            split = _passes(many, trigger)
+            yield opened[~split].assign(high=low[~split], kind=np.int8(0))
+            if split.any():
+                yield from _split(opened[split], length)
 
     return rows
 
@@ -240,22 +304,13 @@ def _same_strings(frame: pd.DataFrame, length: int) -> pd.DataFrame:
     Every string of every phrase is put into the order of its hash, in which equal strings stand
     together and the earliest is first.
     """
-    frame = frame.drop_duplicates(["trigger", "doc", "digest", "low"], ignore_index=True)
-    trigger = frame["trigger"].to_numpy()
+    frame = frame.drop_duplicates(["key", "doc", "digest", "low"], ignore_index=True)
+    trigger = frame["key"].to_numpy()
     alone = np.ones(len(frame), dtype=bool)
     alone[1:] &= trigger[1:] != trigger[:-1]
     alone[:-1] &= trigger[1:] != trigger[:-1]
     frame = frame[~alone]
-    parts = frame["bytes"].tolist()
-    sizes = np.array([len(p) for p in parts], dtype=np.int64)
-    counts = sizes - length + 1
-    row = np.repeat(np.arange(len(frame)), counts)
-    inside = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
-    start = np.repeat(np.cumsum(sizes) - sizes, counts) + inside
-    data = np.frombuffer(b"".join(parts), dtype=np.uint8)
-    hashes = Rolling(data).of(start, start + length) if len(start) else np.zeros(0, dtype=U64)
-    again = np.ones(len(hashes), dtype=bool)
-    again[np.unique(hashes, return_index=True)[1]] = False
+    row, inside, _, again = _strings(frame, length)
     row, low = row[again], frame["low"].to_numpy()[row[again]] + inside[again]
     doc, digest = frame["doc"].to_numpy()[row], frame["digest"].to_numpy()[row]
     order = np.lexsort((low, digest, doc))
@@ -263,27 +318,40 @@ def _same_strings(frame: pd.DataFrame, length: int) -> pd.DataFrame:
 
 
 def _compare(length: int):
+    """For rows sorted by kind, key and place: starts whose string came before."""
+
     def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []
-        size = 0
+        last_string = first = None
 
         def settle(complete: pd.DataFrame) -> Iterator[pd.DataFrame]:
             # As many whole triggers at once as fill a few megabytes.
             ends = np.cumsum([len(b) for b in complete["bytes"]]) // COMPARE_BYTES
-            block = pd.Series(ends).groupby(complete["trigger"].to_numpy()).transform("min").to_numpy()
+            block = pd.Series(ends).groupby(complete["key"].to_numpy()).transform("min").to_numpy()
             for _, part in complete.groupby(block, sort=True):
                 yield _same_strings(part, length)
 
         for frame in frames:
+            kind = frame["kind"].to_numpy()
+            yield frame.loc[kind == 2, ["doc", "digest", "low", "high"]]
+            strings = frame[kind == 1]
+            if len(strings):
+                key, doc, digest, low = (strings[c].to_numpy() for c in ("key", "doc", "digest", "low"))
+                same = np.append(key[0] == last_string if first else False, key[1:] == key[:-1])
+                origin = _origins(same, (doc, digest, low), first)
+                again = np.flatnonzero(same & ~((doc == origin[0]) & (digest == origin[1]) & (low == origin[2])))
+                again = again[np.lexsort((low[again], digest[again], doc[again]))]
+                yield _intervals(doc[again], digest[again], low[again], low[again])
+                last_string, first = key[-1], tuple(int(o[-1]) for o in origin)
+            frame = frame[kind == 0]
             if not len(frame):
                 continue
             held.append(frame)
-            size += len(frame)
-            last = frame["trigger"].iat[-1]
-            if frame["trigger"].iat[0] == last and (len(held) == 1 or held[0]["trigger"].iat[0] == last):
+            last = frame["key"].iat[-1]
+            if frame["key"].iat[0] == last and (len(held) == 1 or held[0]["key"].iat[0] == last):
                 continue  # one trigger so far
             whole = pd.concat(held, ignore_index=True)
-            open_from = int(np.flatnonzero(whole["trigger"].to_numpy() != last)[-1]) + 1
+            open_from = int(np.flatnonzero(whole["key"].to_numpy() != last)[-1]) + 1
             yield from settle(whole.iloc[:open_from].reset_index(drop=True))
             held = [whole.iloc[open_from:].reset_index(drop=True)]
         if held:
@@ -292,6 +360,14 @@ def _compare(length: int):
     return compare
 
 
+def _opened(texts: DataFrame, found: DataFrame, length: int) -> DataFrame:
+    """What is left to compare: phrases by their trigger or, of crowded triggers, strings by their hash."""
+    several = found.where("kind = 2").select(F.col("doc").alias("key"), F.col("low").alias("strings"))
+    shared, crowded = _filter(several.select("key")), _filter(several.where(F.col("strings") > TOGETHER).select("key"))
+    columns = "key long, kind byte, doc long, digest long, low long, high long, bytes binary"
+    return texts.mapInPandas(_open_rows(length, shared, crowded), columns)
+
+
 def repeated_starts(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """Intervals of starts (``doc``, ``digest``, ``low``, ``high``) whose string of ``length`` bytes starts earlier as well."""
     texts = docs.select(*identity(docs))
@@ -300,9 +376,7 @@ def repeated_starts(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     )
     ordered = spread(phrases, "trigger").sortWithinPartitions("trigger", "phrase", "doc", "digest", "low")
     found = cut_lineage(ordered.mapInPandas(_dictionary, "doc long, digest long, low long, high long, kind byte"))
-    shared = _filter(found.where("kind = 2").select(F.col("doc").alias("key")))
-    opened = texts.mapInPandas(_open_rows(length, shared), "trigger long, doc long, digest long, low long, bytes binary")
-    ordered = spread(opened, "trigger").sortWithinPartitions("trigger", "doc", "digest", "low")
+    ordered = spread(_opened(texts, found, length), "key").sortWithinPartitions("kind", "key", "doc", "digest", "low")
     compared = ordered.mapInPandas(_compare(length), "doc long, digest long, low long, high long")
     return cut_lineage(found.where("kind = 1").drop("kind").unionByName(compared))
 
@@ -359,7 +433,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = True
     2. What is left is the dictionary.  Triggers with a single phrase have no repeats.  The
        others are noted in a filter of a fixed size, and their phrases are read once more, now
        with their bytes, and brought together by trigger.
-    3. Their strings are ordered; all but the earliest of equal ones are removed.
+    3. Their strings are ordered; all but the earliest of equal ones are removed.  A trigger with
+       more than ``TOGETHER`` strings is not brought together: its strings go by their own hash,
+       each once per block of phrases, and are told apart in sorted order without being held.
 
     A phrase that many texts hold crosses the shuffle once per batch of rows.  Phrases and
     strings are compared by hashes of 64 bits.

@@ -3,7 +3,9 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.accumulators import AccumulatorParam
 
+from obslake.llm import suffix_dedup
 from obslake.llm.suffix_dedup import parse, remove_repeats
 
 SCHEMA = "doc_id long, text string, low string, Digest int"
@@ -76,3 +78,53 @@ def test_nulls_and_repeats(spark):
     assert sorted(tuple(r)[:5] if r.doc_id is not None else (-1, *tuple(r)[1:5]) for r in found.collect()) == brute(rows, 100)
     assert {r.kept_text for r in found.where("doc_id is null and n_bytes > 0").collect()} == {""}
     assert remove_repeats(docs.limit(0)).collect() == []
+
+
+def test_no_task_gets_all_strings_of_a_passage(spark, monkeypatch):
+    rng = random.Random(9)
+    word = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage = word(150)
+    rows = [(i, word(150) + passage + word(150), "x", 1) for i in range(300)] + [(7, None, "x", 1), (9, word(90), "x", 1)]
+    rows += rows[:20]
+    monkeypatch.setattr(suffix_dedup, "TOGETHER", 2000, raising=False)
+    whole = suffix_dedup._compare
+
+    def noted(length):
+        compare, seen = whole(length), total
+
+        def run(frames):
+            def watch():
+                for frame in frames:
+                    opened = frame[frame["bytes"].notna()]
+                    key = opened["key" if "key" in opened else "trigger"]
+                    strings = opened["bytes"].map(len) - length + 1
+                    seen.add({int(k): int(n) for k, n in strings.groupby(key).sum().items()})
+                    yield frame
+
+            return compare(watch())
+
+        return run
+
+    total = spark.sparkContext.accumulator({}, _Sums())
+    monkeypatch.setattr(suffix_dedup, "_compare", noted)
+    found = remove_repeats(spark.createDataFrame(rows, SCHEMA).repartition(5), 100, with_text=False)
+    assert sorted(map(tuple, found.collect())) == brute(rows, 100)
+    assert max(total.value.values(), default=0) <= 2000
+
+
+class _Sums(AccumulatorParam):
+    def zero(self, value):
+        return {}
+
+    def addInPlace(self, a, b):
+        return {k: a.get(k, 0) + b.get(k, 0) for k in a.keys() | b.keys()}
+
+
+@pytest.mark.parametrize("together", [0, 300])
+def test_matches_brute_force_with_crowded_triggers(spark, monkeypatch, together):
+    monkeypatch.setattr(suffix_dedup, "TOGETHER", together)
+    rows = corpus(150, 3)
+    rows += [rows[5], (None, rows[8][1], "x", 1), (None, None, "x", 1)]
+    found = remove_repeats(spark.createDataFrame(rows, SCHEMA).repartition(6), 40, with_text=False)
+    key = lambda r: (-1 if r[0] is None else r[0], *r[1:])
+    assert sorted(key(tuple(r)) for r in found.collect()) == brute(rows, 40)
