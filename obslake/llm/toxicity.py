@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -19,8 +20,11 @@ from obslake.session import cut_lineage
 TRAIN_ROWS = 20_000
 MAX_CANDIDATES = 50_000
 MAX_TERMS = 2_000
-# A term occurs in so many toxic texts, in such a share of them, and so many times as often as in others.
-MIN_SUPPORT, MIN_SHARE, MIN_ODDS = 4, 0.02, 8.0
+# A term occurs in so many toxic texts, and so many times as often as in others.
+MIN_SUPPORT, MIN_ODDS = 4, 8.0
+# The terms expected to pass by chance, among all that are tested.
+BY_CHANCE = 0.05
+COUNTED_AT_ONCE = 1 << 18
 STEMS = range(4, 9)
 
 # Letters of other scripts and signs that look like Latin letters.
@@ -111,27 +115,56 @@ def _stems(text: str) -> set[str]:
     return whole | {w[:n] for w in whole for n in STEMS if len(w) > n}
 
 
-def _count(candidates: frozenset | None):
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """In how many texts of each label a term occurs; a term can come several times."""
+    seen: tuple[Counter, Counter] = (Counter(), Counter())
+
+    def counted() -> pd.DataFrame:
+        terms = list(seen[0].keys() | seen[1].keys())
+        other, toxic = (np.array([c[t] for t in terms], dtype=np.int64) for c in seen)
+        return pd.DataFrame({"term": terms, "toxic": toxic, "other": other})
+
+    for frame in frames:
+        for label, text in zip(frame["toxic"], frame["text"]):
+            seen[label].update(_stems(text))
+            if len(seen[0]) + len(seen[1]) > COUNTED_AT_ONCE:
+                yield counted()
+                seen = (Counter(), Counter())
+    if seen[0] or seen[1]:
+        yield counted()
+
+
+def _odds(toxic, other, n_toxic: int, n_other: int):
+    return ((toxic + 0.5) / (n_toxic + 1)) / ((other + 1.0) / (n_other + 1))
+
+
+def _log_chance(toxic: np.ndarray, other: np.ndarray, share: float) -> np.ndarray:
+    """Logarithm of the chance that of ``toxic`` + ``other`` texts as many or more are toxic, if ``share`` of all texts is.
+
+    The first term of the binomial tail and a geometric series for the rest, which is no less.
+    """
+    log_factorial = np.frompyfunc(lambda x: math.lgamma(x + 1), 1, 1)
+    first = (log_factorial(toxic + other) - log_factorial(toxic) - log_factorial(other)).astype(float)
+    first += toxic * math.log(share) + other * math.log1p(-share)
+    ratio = other / (toxic + 1) * share / (1 - share)
+    return np.where(ratio < 1, np.minimum(first - np.log1p(-np.minimum(ratio, 1 - 1e-9)), 0.0), 0.0)
+
+
+def _telling(n_toxic: int, n_other: int, tested: int):
+    """Terms that are no chance find, however many are tested."""
+
+    def telling(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            seen: Counter = Counter()
-            for text in frame["text"]:
-                own = _stems(text)
-                seen.update(own if candidates is None else own & candidates)
-            yield pd.DataFrame({"term": list(seen), "n": np.array(list(seen.values()), dtype=np.int64)})
+            toxic, other = frame["toxic"].to_numpy(), frame["other"].to_numpy()
+            chance = _log_chance(toxic, other, n_toxic / (n_toxic + n_other))
+            yield frame[(_odds(toxic, other, n_toxic, n_other) >= MIN_ODDS) & (chance <= math.log(BY_CHANCE / tested))]
 
-    return count
+    return telling
 
 
 def _chosen(toxic: dict[str, int], other: dict[str, int], n_toxic: int, n_other: int) -> dict[str, float]:
     """Terms with the most weight; of a term and a stem of it that is about as telling, the stem."""
-    weights = {}
-    for term, n in toxic.items():
-        odds = ((n + 0.5) / (n_toxic + 1)) / ((other.get(term, 0) + 1.0) / (n_other + 1))
-        # Terms rarely seen could be chance: what is kept stands out by three deviations.
-        expected = n_toxic * (other.get(term, 0) + 1.0) / (n_other + 1)
-        if odds >= MIN_ODDS and n - expected >= 3 * np.sqrt(expected):
-            weights[term] = float(np.log(odds))
+    weights = {t: math.log(_odds(n, other.get(t, 0), n_toxic, n_other)) for t, n in toxic.items()}
     for term in sorted(weights, key=len):
         stems = [term[:n] for n in range(3, len(term)) if term[:n] in weights]
         if any(weights[s] >= weights[term] - 0.7 for s in stems):
@@ -173,7 +206,9 @@ def fit_lexicon(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS
     ``train_rows`` bounds the labelled rows that are used, half of them of each label; they are
     taken by a hash of the id and joined by broadcast.  Near copies count once: of the texts of
     one label with the same smallest word hash one is used.  Terms are words and their first
-    letters; their counts come from all texts used.  Labels other than 0 and 1, or without id or
+    letters; their counts come from all texts used.  A term is taken if it is ``MIN_ODDS`` times as
+    frequent in toxic texts as in others, and if ``BY_CHANCE`` terms at most would stand out like
+    that by chance among all that are tested; no share of the toxic texts is asked for.  Labels other than 0 and 1, or without id or
     text, are not used.  Without a toxic or another text the lexicon is empty and no text is toxic.
     """
     rows = labels.where("toxic in (0, 1) and doc_id is not null").where(~held_out(F.col("doc_id")))
@@ -189,13 +224,11 @@ def fit_lexicon(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS
     if len(numbers) < 2:
         return Lexicon()
 
-    def counts(label: int, candidates: frozenset | None) -> DataFrame:
-        found = texts.where(F.col("toxic") == label).select("text").mapInPandas(_count(candidates), "term string, n long")
-        return found.groupBy("term").agg(F.sum("n").alias("n"))
-
-    support = F.col("n") >= max(MIN_SUPPORT, MIN_SHARE * numbers[1])
-    toxic = {r.term: r.n for r in counts(1, None).where(support).orderBy(F.desc("n"), "term").limit(MAX_CANDIDATES).collect()}
-    other = {r.term: r.n for r in counts(0, frozenset(toxic)).collect()}
+    counts = texts.mapInPandas(_count, "term string, toxic long, other long").groupBy("term")
+    counts = cut_lineage(counts.agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")).where(F.col("toxic") >= MIN_SUPPORT))
+    telling = counts.mapInPandas(_telling(numbers[1], numbers[0], max(1, counts.count())), counts.schema)
+    found = telling.orderBy(F.desc("toxic"), "term").limit(MAX_CANDIDATES).collect()
+    toxic, other = {r.term: r.toxic for r in found}, {r.term: r.other for r in found}
     lexicon = Lexicon(_chosen(toxic, other, numbers[1], numbers[0]))
     rows = texts.mapInPandas(_measure(lexicon), "toxic int, weight double, density double").collect()
     y = np.array([r.toxic for r in rows], dtype=float)

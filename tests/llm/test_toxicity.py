@@ -64,3 +64,21 @@ def test_nulls_and_empty_tables(spark):
     assert len(toxicity_table(frame, marks).collect()) == 65
     assert toxicity_table(frame.limit(0), marks).collect() == []
     assert {r.predicted for r in toxicity_table(frame, marks.limit(0)).collect()} == {0}
+
+
+def test_rare_telling_terms_are_learned(spark):
+    rng = random.Random(8)
+    word = lambda n: "".join(rng.choice("abcdeilmnorstu") for _ in range(n))
+    insults = ["zq" + word(6) for _ in range(60)]
+    docs, labels = [], []
+    for i in range(4000):
+        toxic = int(i % 5 == 0)
+        docs.append((i, " ".join([word(8) for _ in range(12)] + [insults[i // 5 % 60]] * toxic), "en", "x"))
+        labels.append((i, 1, toxic))
+    frame, marks = spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, LABELS)
+    # Each insult is in one of sixty toxic texts and in no other; all other words are there once.
+    found = fit_lexicon(frame, marks).weights
+    assert sum(any(w.startswith(t) for t in found) for w in insults) >= 55
+    assert all(any(w.startswith(t) for w in insults) for t in found)
+    wordless = spark.createDataFrame([(i, "!?", "en", "x") for i in range(20)], DOCS)
+    assert fit_lexicon(wordless, marks.where("doc_id < 20")).weights == {}
