@@ -10,10 +10,11 @@ from dataclasses import dataclass, field
 import ahocorasick
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from obslake.llm.columns import unused
-from obslake.llm.hashing import NOT_SPACE, words
+from obslake.llm.hashing import U64, mix, packs
+from obslake.llm.ngram_join import shingle_sets
 from obslake.session import cut_lineage
 
 # At most this many labelled rows are fitted, half of each label, taken by a hash of the id.
@@ -26,6 +27,8 @@ MIN_SUPPORT, MIN_ODDS = 4, 8.0
 BY_CHANCE = 0.05
 COUNTED_AT_ONCE = 1 << 18
 STEMS = range(4, 9)
+# Copies agree in so many of so many least hashes of their shingles of three words: a similarity of about 0.8.
+AGREE, MINIMA = 26, 32
 
 # Letters of other scripts and signs that look like Latin letters.
 LOOKALIKES = {
@@ -103,11 +106,34 @@ def held_out(doc_id: Column) -> Column:
 
 
 def _prepare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Folded texts with the least hashes of their shingles, each under another order."""
+    seeds = mix(np.arange(1, MINIMA + 1, dtype=U64))
     for frame in frames:
-        texts = [folded(t) for t in frame["text"]]
-        hashes, _, _, at = words([t.encode() for t in texts], NOT_SPACE)
-        keys = [int(hashes[a:b].min().astype(np.int64)) if b > a else 0 for a, b in zip(at[:-1], at[1:])]
-        yield frame[["toxic"]].assign(key=keys, text=texts)
+        texts, minima = [folded(t) for t in frame["text"]], []
+        for _, pack in packs(t.encode() for t in texts):
+            for own in shingle_sets(pack, 3):
+                least = [mix(own ^ seed).min() for seed in seeds] if len(own) else [U64(0)] * MINIMA
+                minima.append((np.array(least, dtype=U64) >> U64(32)).astype("<u4").tobytes())
+        yield frame[["toxic"]].assign(minima=minima, text=texts)
+
+
+def _first_copies(rows: list) -> list[tuple[int, int]]:
+    """Label and key of the texts that are no near copies of one with a smaller key and the same label."""
+    kept = []
+    for label in (0, 1):
+        own = sorted((r.key, bytes(r.minima)) for r in rows if r.toxic == label)
+        held, n, seen = np.zeros((len(own), MINIMA), dtype="<u4"), 0, set()
+        for key, minima in own:
+            if minima in seen:
+                continue
+            seen.add(minima)
+            mine = np.frombuffer(minima, dtype="<u4")
+            if n and np.count_nonzero(held[:n] == mine, axis=1).max() >= AGREE:
+                continue
+            held[n] = mine
+            n += 1
+            kept.append((label, key))
+    return kept
 
 
 def _stems(text: str) -> set[str]:
@@ -205,7 +231,7 @@ def fit_lexicon(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS
 
     ``train_rows`` bounds the labelled rows that are used, half of them of each label; they are
     taken by a hash of the id and joined by broadcast.  Near copies count once: of the texts of
-    one label with the same smallest word hash one is used.  Terms are words and their first
+    one label whose shingles of three words agree by about 0.8 or more one is used.  Terms are words and their first
     letters; their counts come from all texts used.  A term is taken if it is ``MIN_ODDS`` times as
     frequent in toxic texts as in others, and if ``BY_CHANCE`` terms at most would stand out like
     that by chance among all that are tested; no share of the toxic texts is asked for.  Labels other than 0 and 1, or without id or
@@ -217,9 +243,11 @@ def fit_lexicon(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS
     by_hash = rows.orderBy(F.xxhash64("doc_id"), "doc_id")
     rows = by_hash.where("toxic = 1").limit(train_rows // 2).union(by_hash.where("toxic = 0").limit(train_rows // 2))
     texts = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(rows), "doc_id")
-    texts = texts.select("toxic", "text").mapInPandas(_prepare, "toxic int, key long, text string")
-    once = Window.partitionBy("toxic", "key").orderBy("text")
-    texts = cut_lineage(texts.withColumn("nth", F.row_number().over(once)).where("nth = 1").select("toxic", "text"))
+    texts = texts.select("toxic", "text").mapInPandas(_prepare, "toxic int, minima binary, text string")
+    texts = cut_lineage(texts.withColumn("key", F.xxhash64("text")).dropDuplicates(["toxic", "key"]))
+    once = _first_copies(texts.select("toxic", "key", "minima").collect())
+    once = docs.sparkSession.createDataFrame(once, "toxic int, key long")
+    texts = cut_lineage(texts.join(F.broadcast(once), ["toxic", "key"]).select("toxic", "text"))
     numbers = {r.toxic: r["count"] for r in texts.groupBy("toxic").count().collect()}
     if len(numbers) < 2:
         return Lexicon()

@@ -82,3 +82,21 @@ def test_rare_telling_terms_are_learned(spark):
     assert all(any(w.startswith(t) for w in insults) for t in found)
     wordless = spark.createDataFrame([(i, "!?", "en", "x") for i in range(20)], DOCS)
     assert fit_lexicon(wordless, marks.where("doc_id < 20")).weights == {}
+
+
+def test_only_copies_count_once(spark):
+    rng = random.Random(6)
+    word = lambda n: "".join(rng.choice("abcdeilmnorstu") for _ in range(n))
+    common, same = [word(5) for _ in range(40)], [word(8) for _ in range(60)]
+    docs, labels = [], []
+    for i in range(600):
+        toxic = int(i % 5 == 0)
+        text = rng.sample(common, 35) + [word(8) for _ in range(20)] + ["zqinsult"] * toxic
+        if i % 10 == 5:
+            text = [*same[: i % 7], word(8), *same[i % 7 :], "zqcopied"]
+        docs.append((i, " ".join(text), "en", "x"))
+        labels.append((i, 1, toxic))
+    found = fit_lexicon(spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, LABELS)).weights
+    # Texts that share common words are all learned from; what only copies of one text hold is no evidence.
+    assert any("zqinsult".startswith(t) for t in found)
+    assert not any("zqcopied".startswith(t) for t in found)
