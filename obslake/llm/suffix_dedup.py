@@ -1,7 +1,8 @@
 """Removal of repeated byte strings by prefix-free parsing.
 
 A rolling hash cuts texts into phrases, the dictionary holds each phrase once, and only phrases
-that another one resembles are brought into the order of their bytes.
+that another one resembles are opened.  No suffix array of dictionary or parse is built: strings
+have one fixed length, so hashes of 64 bits tell which are equal, and their order is not needed.
 """
 
 from __future__ import annotations
