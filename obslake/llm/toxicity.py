@@ -24,7 +24,7 @@ MAX_TERMS = 2_000
 # A term occurs in so many toxic texts, and so many times as often as in others.
 MIN_SUPPORT, MIN_ODDS = 4, 8.0
 # The terms expected to pass by chance, among all that are tested.
-BY_CHANCE = 0.05
+BY_CHANCE = 1.0
 COUNTED_AT_ONCE = 1 << 18
 STEMS = range(4, 9)
 # Copies agree in so many of so many least hashes of their shingles of three words: a similarity of about 0.8.
