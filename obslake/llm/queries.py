@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from obslake.llm import decontaminate, mixing, ngram_join, pii, quality, sharding, suffix_dedup, topk, toxicity, url_lists
+from obslake.llm import (
+    decontaminate, mixing, ngram_join, pii, quality, sharding, suffix_dedup, topk, toxicity, url_lists, vector_codes,
+)
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -177,3 +179,45 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_suffix_dedup")
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), with_text=False)
+
+
+# One pair of steps per round: the nearest entry of every part, then the entries' new places.
+CODE_ROUNDS = ",\n".join(
+    f"""
+assigned{n} AS MATERIALIZED (
+  SELECT r, p, min({{'d': list_dot_product(b.c, b.c) - 2 * list_dot_product(a.c, b.c), 'e': e}}) AS best, any_value(a.c) AS c
+  FROM parts AS a JOIN book{n} AS b USING (p) GROUP BY r, p),
+book{n + 1} AS MATERIALIZED (
+  SELECT p, e, coalesce(moved.c, old.c) AS c FROM book{n} AS old LEFT JOIN (
+    SELECT p, e, list(x ORDER BY i) AS c FROM (
+      SELECT p, best.e AS e, i, floor(sum(c[i]) / count(*)) AS x
+      FROM (SELECT p, best, c, unnest(range(1, len(c) + 1)) AS i FROM assigned{n}) GROUP BY p, best.e, i)
+    GROUP BY p, e) AS moved USING (p, e))"""
+    for n in range(vector_codes.ROUNDS)
+)
+FINAL = f"book{vector_codes.ROUNDS}"
+
+
+@query(
+    "op11_vector_codes",
+    f"""
+WITH v AS (
+  SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label,
+         list_transform(embedding, lambda x: floor({vector_codes.SCALE} * x::DOUBLE)) AS cells FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (
+  SELECT r, p, cells[p * (len(cells) // 4) + 1 : (p + 1) * (len(cells) // 4)] AS c FROM v, range(4) AS t(p)),
+book0 AS MATERIALIZED (SELECT p, r - 1 AS e, c FROM parts WHERE r <= 256),
+{CODE_ROUNDS},
+last AS (
+  SELECT r, p, min({{'d': list_dot_product(b.c, b.c) - 2 * list_dot_product(a.c, b.c), 'e': e}}) AS best,
+         list_dot_product(any_value(a.c), any_value(a.c)) AS own
+  FROM parts AS a JOIN {FINAL} AS b USING (p) GROUP BY r, p),
+coded AS (
+  SELECT r, string_agg(format('{{:02x}}', best.e), '' ORDER BY p) AS code, sum(own + best.d)::BIGINT AS error FROM last GROUP BY r)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+       (SELECT sha256(string_agg(array_to_string(list_transform(c, lambda x: x::BIGINT), ','), ',' ORDER BY p, e)) FROM {FINAL}) AS codebooks_sha256
+FROM v JOIN coded USING (r)""",
+)
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.code_table(table(spark, sf_dir, "embeddings"))

@@ -13,4 +13,4 @@ def test_query_matches_sql(spark, sf_dir, name):
 
 def test_every_operator_is_registered():
     names = {n.split("_")[0] for n in driver.queries() if n.startswith("op")}
-    assert names == {f"op{n}" for n in range(1, 11)} and "pipeline" in driver.queries()
+    assert names == {f"op{n}" for n in range(1, 14)} and "pipeline" in driver.queries()
