@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from obslake.llm import (
-    decontaminate, mixing, ngram_join, pii, quality, sharding, suffix_dedup, topk, toxicity, url_lists, vector_codes,
+    decontaminate, filter_audit, mixing, ngram_join, pii, quality, sharding, suffix_dedup, topk, toxicity, url_lists,
+    vector_codes,
 )
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -221,3 +222,43 @@ FROM v JOIN coded USING (r)""",
 )
 def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.code_table(table(spark, sf_dir, "embeddings"))
+
+
+@query(
+    "op12_filter_audit",
+    r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+masks AS (
+  SELECT doc_id, part,
+         (len(words) < 200)::INTEGER
+         + 2 * (100 * len(list_distinct(words)) < 50 * len(words))::INTEGER
+         + 4 * (100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text))::INTEGER
+         + 8 * (regexp_matches(text, '[#$%&*|]'))::INTEGER
+         + 16 * coalesce(doc_id > min(doc_id) OVER same, min(doc_id) OVER same IS NOT NULL)::INTEGER AS mask
+  FROM docs WINDOW same AS (PARTITION BY text)),
+marks AS (SELECT doc_id, max((quality = 1)::INTEGER) AS good, max((toxic = 1)::INTEGER) AS toxic FROM labels GROUP BY doc_id),
+counts AS (
+  SELECT part, mask, count(*) AS n, count(*) FILTER (good = 1) AS good, count(*) FILTER (toxic = 1) AS toxic
+  FROM masks LEFT JOIN marks USING (doc_id) GROUP BY part, mask),
+names AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) AS t(name, bit)),
+orders AS (
+  SELECT a.name || b.name || c.name || d.name || e.name AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM names a, names b, names c, names d, names e WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31
+   AND len(list_distinct([a.bit, b.bit, c.bit, d.bit, e.bit])) = 5),
+steps AS (
+  SELECT filter_order, step::INTEGER AS step, bits[step] AS bit, coalesce(list_sum(bits[1 : step - 1]), 0)::INTEGER AS prior
+  FROM orders, range(1, 6) AS t(step))
+SELECT part, filter_order, step,
+       coalesce(sum(n) FILTER (mask & (bit | prior) = 0), 0)::BIGINT AS kept,
+       coalesce(sum(n) FILTER (mask & bit > 0 AND mask & prior = 0), 0)::BIGINT AS removed,
+       coalesce(sum(n) FILTER (mask & bit > 0 AND mask & prior > 0), 0)::BIGINT AS redundant,
+       coalesce(sum(n) FILTER (mask = bit), 0)::BIGINT AS unique_fails,
+       coalesce(sum(good) FILTER (mask & bit > 0 AND mask & prior = 0), 0)::BIGINT AS good_lost,
+       coalesce(sum(toxic) FILTER (mask & bit > 0 AND mask & prior = 0), 0)::BIGINT AS toxic_lost,
+       coalesce(sum(n * 120 // greatest(bit_count(mask), 1)) FILTER (mask & bit > 0), 0)::BIGINT AS shapley
+FROM counts, steps GROUP BY part, filter_order, step""",
+)
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_table(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
