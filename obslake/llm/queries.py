@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from obslake.llm import (
-    decontaminate, filter_audit, mixing, ngram_join, pii, quality, sharding, suffix_dedup, topk, toxicity, url_lists,
+    decontaminate, filter_audit, mixing, neighbour_graph, ngram_join, pii, quality, sharding, suffix_dedup, topk, toxicity, url_lists,
     vector_codes,
 )
 
@@ -262,3 +262,9 @@ FROM counts, steps GROUP BY part, filter_order, step""",
 )
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit_table(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+# The graph search may miss a link, so there is no SQL for its rows.
+@query("op13_embedding_near_dedup")
+def op13_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbour_graph.near_duplicates(table(spark, sf_dir, "embeddings"))
