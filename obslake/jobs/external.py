@@ -9,14 +9,7 @@ from obslake.operators.external import external_transform
 from obslake.session import build_session, cut_lineage
 from obslake.sinks.files import write_external_parquet
 from obslake.sinks.jdbc import MODES, write_jdbc
-from obslake.sinks.paths import child_names
-from obslake.sources.files import read_external_ndjson
-
-
-def inputs(spark: SparkSession, source: str, per_source: bool) -> list[str]:
-    """The folders to read: the whole tree, or one per source so that each keeps its own shape."""
-    folders = [n for n in child_names(spark, source) if n.startswith("source=")]
-    return [f"{source.rstrip('/')}/{n}" for n in folders] if per_source and folders else [source]
+from obslake.sources.files import read_external_ndjson, read_external_sources
 
 
 def run(
@@ -30,14 +23,17 @@ def run(
     properties: dict[str, str] | None = None,
     per_source: bool = True,
 ) -> None:
-    for folder in inputs(spark, source, per_source):
-        rows: DataFrame = external_transform(read_external_ndjson(spark, folder))
-        to_database = jdbc_url is not None and jdbc_table is not None
-        if copy_to or to_database:
-            # Parse the JSON once for all sinks; they also get the same load time.
-            rows = cut_lineage(rows)
-        write_external_parquet(rows, target, copy_to)
-        if to_database:
+    """Every landed line once; with ``per_source`` each source keeps its own shape, and one job writes them all."""
+    read = read_external_sources(spark, source) if per_source else [read_external_ndjson(spark, source)]
+    parts: list[DataFrame] = [external_transform(rows) for rows in read]
+    to_database = jdbc_url is not None and jdbc_table is not None
+    if copy_to or to_database:
+        # All sinks get the same load time.
+        parts = [cut_lineage(rows) for rows in parts]
+    if parts:
+        write_external_parquet(parts, target, copy_to)
+    if to_database:
+        for rows in parts:
             write_jdbc(rows, jdbc_url, jdbc_table, jdbc_mode, properties)
 
 

@@ -97,17 +97,19 @@ def external_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT event_id AS id,
        CASE event_id % 3 WHEN 0 THEN user_id::VARCHAR WHEN 1 THEN (user_id + 0.5)::DOUBLE::VARCHAR ELSE 'n' || user_id END AS amount,
        CASE event_id % 3 WHEN 1 THEN user_id + 0.25 ELSE user_id END::DOUBLE AS level,
+       CASE event_id % 3 WHEN 1 THEN (user_id + 0.5)::DOUBLE::VARCHAR ELSE (9007199254740993 + user_id)::VARCHAR END AS ident,
        CASE WHEN event_id % 3 = 0 THEN 'x' END AS removed, CASE WHEN event_id % 3 = 2 THEN user_id END AS added
 FROM events""")
 def external_table_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three runs into one table: a number becomes fractional and then text, fields come and go."""
+    """Three runs into one table: a number becomes fractional and then text, large integers stay exact, fields come and go."""
     target = new_shared_path(spark, "external")
     events = views.table(spark, sf_dir, "events")
     user = F.col("user_id")
+    large = F.lit((1 << 53) + 1) + user
     shapes = [
-        {"amount": user, "level": user, "removed": F.lit("x")},
-        {"amount": user + F.lit(0.5), "level": user + F.lit(0.25)},
-        {"amount": F.concat(F.lit("n"), user.cast("string")), "level": user, "added": user},
+        {"amount": user, "level": user, "ident": large, "removed": F.lit("x")},
+        {"amount": user + F.lit(0.5), "level": user + F.lit(0.25), "ident": user + F.lit(0.5)},
+        {"amount": F.concat(F.lit("n"), user.cast("string")), "level": user, "ident": large, "added": user},
     ]
     for k, fields in enumerate(shapes):
         payload = F.to_json(F.struct(F.col("event_id").alias("id"), *[c.alias(n) for n, c in fields.items()]))
@@ -115,7 +117,7 @@ def external_table_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit("shop").alias("source_api"), payload.alias("payload"), views.arrival_ms(F.col("ts")).alias("received_at")
         )
         write_external_parquet(external.external_transform(_landed(spark, records)), target)
-    return read_external_table(spark, target).select("id", "amount", "level", "removed", "added")
+    return read_external_table(spark, target).select("id", "amount", "level", "ident", "removed", "added")
 
 
 @query("external_array_payload", f"""

@@ -4,11 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from obslake.functions.shapes import ddl, type_of_shape
+from obslake.session import new_shared_path
 from obslake.sinks.paths import exists
 from obslake.sinks.shapes import read_kept
 
 EXTERNAL_PARTITIONS = T.StructType([T.StructField("_source_api", T.StringType()), T.StructField("_date", T.DateType())])
 
+# Columns of a landing tree without readable lines.
+LANDED = T.StructType(
+    [T.StructField("_source_api", T.StringType()), T.StructField("_received_at", T.LongType()), T.StructField("_data", T.StringType())]
+)
 _FILES = "path string, modificationTime timestamp, length bigint, content binary"
 _RECURSIVE = {"recursiveFileLookup": "true"}
 
@@ -18,16 +24,46 @@ def read_log_text(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.options(**_RECURSIVE).text(path)
 
 
+def _staged(spark: SparkSession, path: str) -> tuple[DataFrame, str]:
+    """Every line below ``path`` parsed once: ``value`` (variant, null for bad JSON) per ``source`` folder, and where it is."""
+    lines = read_log_text(spark, path).where(F.trim("value") != "")
+    folder = F.regexp_extract(F.col("_metadata.file_path"), r"/source=([^/]*)/", 1)
+    parsed = lines.select(F.try_parse_json("value").alias("value"), F.concat(F.lit("s-"), folder).alias("source"))
+    where = new_shared_path(spark, "parsed")
+    parsed.write.partitionBy("source").parquet(where)
+    return spark.read.schema("value variant, source string").parquet(where), where
+
+
+def _shaped(rows: DataFrame, shape: str | None) -> DataFrame:
+    kind = type_of_shape(shape)
+    kind = kind if isinstance(kind, T.StructType) else LANDED
+    typed = F.try_variant_get("value", "$", ddl(kind))
+    return rows.select(typed.alias("row")).select("row.*")
+
+
 def read_external_ndjson(spark: SparkSession, path: str, schema=None) -> DataFrame:
     """Landed JSON lines below ``path``.
 
-    Without ``schema`` one extra pass over the data infers it; a job that runs
-    on a schedule should pass the schema it found before.
+    Without ``schema`` the lines are parsed once, into variants that are kept in the shared
+    folder; their shape is an aggregate over those, and the columns are taken from them.  A line
+    that is no JSON is a row of nulls.  Fractions are doubles, a field with values of several
+    kinds is text, and so is one that is null throughout.
     """
-    reader = spark.read.options(**_RECURSIVE).option("multiLine", "false")
     if schema is not None:
-        reader = reader.schema(schema)
-    return reader.json(path)
+        return spark.read.options(**_RECURSIVE).option("multiLine", "false").schema(schema).json(path)
+    rows, _ = _staged(spark, path)
+    return _shaped(rows, rows.agg(F.schema_of_variant_agg("value").alias("shape")).first()["shape"])
+
+
+def read_external_sources(spark: SparkSession, path: str) -> list[DataFrame]:
+    """Landed JSON lines below ``path``, a DataFrame for each ``source=`` folder, with the shape of its own lines.
+
+    All sources are parsed by one job and their shapes found by another; only names and shapes
+    reach the driver.
+    """
+    rows, where = _staged(spark, path)
+    shapes = rows.groupBy("source").agg(F.schema_of_variant_agg("value").alias("shape")).orderBy("source").collect()
+    return [_shaped(spark.read.schema("value variant").parquet(f"{where}/source={r['source']}"), r["shape"]) for r in shapes]
 
 
 def read_external_table(spark: SparkSession, path: str) -> DataFrame:

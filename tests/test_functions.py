@@ -1,8 +1,9 @@
 from datetime import date, datetime
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from obslake.functions.names import normalize_col_name, quoted, unique_names
+from obslake.functions.shapes import ddl, type_of_shape
 from obslake.functions.text import fails_not_blank, is_blank, strip_whitespace, trim_control
 from obslake.functions.times import (
     epoch_seconds, hour_partitions, instant_from_ntz, parse_instant, utc_date, wire_timestamp,
@@ -83,3 +84,12 @@ def test_names():
     assert unique_names(["id", "id", "a", "id"]) == ["id", "id_2", "a", "id_3"]
     assert unique_names(["a", "a", "a_2"]) == ["a", "a_3", "a_2"]
     assert quoted("_data", "a.b", "c`d") == "`_data`.`a.b`.`c``d`"
+
+
+def test_types_of_shapes(spark):
+    shape = "OBJECT<_data: OBJECT<`Order-Id`: BIGINT, `a``b: OBJECT<`: VOID, e: OBJECT<>, l: ARRAY<OBJECT<p: DECIMAL(3,1), q: DECIMAL(30,0)>>, m: VARIANT>>"
+    kind = type_of_shape(shape)
+    data = {f.name: f.dataType.simpleString() for f in kind["_data"].dataType.fields}
+    assert data == {"Order-Id": "bigint", "a`b: OBJECT<": "string", "l": "array<struct<p:double,q:decimal(30,0)>>", "m": "string"}
+    assert T._parse_datatype_string(ddl(kind)) == kind
+    assert type_of_shape("VOID") is None and type_of_shape(None) is None and type_of_shape("VARIANT") == T.StringType()

@@ -6,6 +6,7 @@ import pytest
 
 from obslake.jobs import config, external, logs, query, stream
 from obslake.sinks.aggregates import upsert_aggregates, write_aggregates_parquet
+from obslake.sources.files import read_external_table
 from tests.test_serving import aggregates
 
 
@@ -27,7 +28,28 @@ def test_external_job_infers_per_source(spark, tmp_path):
     for path in (out, copy):
         rows = {r._source_api: r for r in spark.read.option("mergeSchema", "true").parquet(path).collect()}
         assert (rows["a"].id, rows["c"].id, rows["c"].n_x, rows["b"].data_payload) == (1, 2, "y", "[1,2]")
-    assert external.inputs(spark, str(raw), per_source=False) == [str(raw)]
+    external.run(spark, str(raw), str(tmp_path / "one"), per_source=False)
+    texts = {r._source_api: r.data_payload for r in spark.read.parquet(str(tmp_path / "one")).collect()}
+    assert {k: json.loads(v) for k, v in texts.items()} == {"a": {"id": 1}, "b": [1, 2], "c": {"id": 2, "n": {"x": "y"}}}
+
+
+def test_external_job_writes_sources_of_unlike_types_together(spark, tmp_path):
+    raw, out = tmp_path / "raw", str(tmp_path / "out")
+    data = {"a": ['{"v":1}', "{broken"], "b": ['{"v":1.5}', '{"v":2.0}'], "c": ['{"v":"x"}', "  "], "d": ["{broken"]}
+    for source, payloads in data.items():
+        folder = raw / f"source={source}" / "year=2024"
+        folder.mkdir(parents=True)
+        lines = [f'{{"_source_api":"{source}","_received_at":1714478400000,"_data":{d}}}' for d in payloads if d.strip()]
+        (folder / "data.json").write_text("\n".join([*lines, "  "]))
+    external.run(spark, str(raw), out)
+    rows = read_external_table(spark, out).collect()
+    assert sorted((r._source_api, r.v) for r in rows if r._source_api) == [
+        ("a", "1"), ("b", "1.5"), ("b", "2.0"), ("c", "x")
+    ]
+    # Lines that are no JSON stay as rows of nulls.
+    assert len(rows) == 6
+    external.run(spark, str(tmp_path / "raw" / "source=a"), str(tmp_path / "single"))
+    assert read_external_table(spark, str(tmp_path / "single")).filter("v = 1").count() == 1
 
 
 def test_query_job(spark, tmp_path):

@@ -2,13 +2,15 @@ import os
 from datetime import datetime, timedelta
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from obslake.operators.external import external_transform
 from obslake.operators.logs import extract_log_fields
 from obslake.schemas import METRIC_AGGREGATE
 from obslake.sinks import aggregates as agg, files
+from obslake.sinks.files import land_external, write_external_parquet
 from obslake.sinks.jdbc import jdbc_mode
+from obslake.sinks.shapes import read_kept
 from obslake.sinks.topics import insert_if_absent, write_topic
 from obslake.sources.files import list_data_files, read_external_ndjson, read_external_table, read_log_text
 from obslake.sources.tables import SEED_METADATA, read_service_metadata, seed_metadata
@@ -181,3 +183,42 @@ def test_external_columns_may_change_their_type(spark, tmp_path):
     assert [rows[k].y for k in range(4)] == ["1", "t", "[1]", "2"]
     assert rows[2].w is True and rows[0].w is None and rows[1].z == 3
     assert {f.name: f.dataType.simpleString() for f in table.schema.fields}["x"] == "double"
+
+
+def test_landing_writes_a_file_per_directory_and_splits_a_hot_one(spark, tmp_path):
+    hot = [("hot", '{"n":%d,"pad":"%s"}' % (i, "x" * 80), 1714478400000) for i in range(3000)]
+    cold = [(f"s{i % 30}", "%d" % i, 1714478400000 + i % 2 * 3_600_000) for i in range(300)]
+    records = spark.createDataFrame(hot + cold, "source_api string, payload string, received_at long").repartition(6)
+    path = str(tmp_path / "raw")
+    land_external(records, path, file_bytes=100_000)
+    files = [f for f in (tmp_path / "raw").rglob("*.txt")]
+    sizes = {}
+    for f in files:
+        sizes.setdefault(str(f.parent.relative_to(tmp_path / "raw")), []).append(f.stat().st_size)
+    warm = [v for k, v in sizes.items() if k.startswith("source=hot")]
+    assert len(sizes) == 31 and all(len(v) == 1 for k, v in sizes.items() if not k.startswith("source=hot"))
+    # About 140 bytes a line: five pieces, each near the target.
+    assert [len(v) for v in warm] == [5] and all(60_000 < n < 120_000 for n in warm[0])
+    assert spark.read.option("recursiveFileLookup", "true").text(path).count() == 3300
+    land_external(records.limit(0), str(tmp_path / "none"))
+    assert spark.read.schema("value string").text(str(tmp_path / "none")).count() == 0
+
+
+def test_large_integers_stay_exact_beside_fractions(spark, tmp_path):
+    path, partitions = str(tmp_path / "t"), T.StructType([T.StructField("_source_api", T.StringType()), T.StructField("_date", T.DateType())])
+    at = "'s' AS _source_api, DATE '2024-01-15' AS _date"
+    for row in ("9007199254740993L AS id, 7L AS n, 3 AS small", "1.5D AS id, 0.25D AS n, 1.5F AS small", "5L AS id, 2L AS n, 16777217 AS small"):
+        write_external_parquet(spark.sql(f"SELECT {row}, {at}"), path)
+    table = read_kept(spark, path, partitions)
+    assert {f.name: f.dataType.simpleString() for f in table.schema.fields}["id"] == "string"
+    assert sorted(r.id for r in table.collect()) == ["1.5", "5", "9007199254740993"]
+    assert sorted(r.n for r in table.collect()) == [0.25, 2.0, 7.0] and sorted(r.small for r in table.collect()) == [1.5, 3.0, 16777217.0]
+
+
+def test_a_column_named_like_a_second_part(spark, tmp_path):
+    path, partitions = str(tmp_path / "t"), T.StructType([T.StructField("_source_api", T.StringType()), T.StructField("_date", T.DateType())])
+    at = "'s' AS _source_api, DATE '2024-01-15' AS _date"
+    write_external_parquet(spark.sql(f"SELECT 1L AS x, {at}"), path)
+    write_external_parquet(spark.sql(f"SELECT 1.5D AS x, 'other' AS x__double, {at}"), path)
+    rows = read_kept(spark, path, partitions).orderBy("x").collect()
+    assert [(r.x, r.x__double) for r in rows] == [(1.0, None), (1.5, "other")]
