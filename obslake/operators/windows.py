@@ -45,6 +45,8 @@ def window_aggregate(
     by event time and then ``order_by`` (a bigint column such as the offset);
     when ``metrics`` lacks them they are null and can be joined afterwards.  On a
     stream the watermark closes windows and drops late events; a batch keeps all.
+    A stream runs the same two aggregations one after the other, both in append
+    mode, so the state per event-level window holds numbers only.
     """
     event_time = F.timestamp_millis("timestamp_ms")
     measures = [
@@ -55,16 +57,12 @@ def window_aggregate(
     ]
     meta = [c for c in _META if c in metrics.columns]
     if metrics.isStreaming:
-        rows = metrics.withColumn("_event_time", event_time).withWatermark("_event_time", watermark)
-        last = [F.max_by(F.struct(*meta), F.struct("timestamp_ms", *order_by)).alias("_last")] if meta else []
-        grouped = rows.groupBy(F.window("_event_time", window), *_KEYS).agg(*measures, *last)
-        if meta:
-            grouped = grouped.select("*", *[F.col(f"_last.{c}").alias(c) for c in meta])
-        return _columns(grouped)
+        metrics = metrics.withColumn("_event_time", event_time).withWatermark("_event_time", watermark)
+        event_time = F.col("_event_time")
 
     # Only numbers in the first aggregation buffer: Spark hashes it, where text
     # in the buffer would sort the whole input.  The few rows left per window
-    # then pick the metadata of the last event.
+    # then pick the metadata of the last event, equal ones by their text.
     slot = F.window(event_time, window).alias("window")
     if not meta:
         return _columns(metrics.groupBy(slot, *_KEYS).agg(*measures))
@@ -75,7 +73,8 @@ def window_aggregate(
         F.min("min_value").alias("min_value"),
         F.max("max_value").alias("max_value"),
         F.sum("count_value").alias("count_value"),
-        F.max_by(F.struct(*meta), "_recency").alias("_last"),
+        # A list is hashed as well, where a maximum of text would sort; it is as long as a window has metadata.
+        F.array_max(F.collect_list(F.struct("_recency", *meta))).alias("_last"),
     )
     return _columns(merged.select("*", *[F.col(f"_last.{c}").alias(c) for c in meta]))
 

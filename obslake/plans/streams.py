@@ -2,25 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from obslake.operators.windows import window_aggregate
 from obslake.plans import metrics as _metrics  # noqa: F401  (defines the window views)
 from obslake.plans import views
-from obslake.plans.registry import DAY, aggregate_output, aggregate_output_sql, aggregate_sql, query
+from obslake.plans.registry import HOUR, aggregate_output, aggregate_output_sql, aggregate_sql, query
 from obslake.plans.views import SQL, with_sql
 from obslake.schemas import METRIC_AGGREGATE
 from obslake.session import new_shared_path
-from obslake.sinks.aggregates import BY_DATE
 from obslake.sources.tables import read_aggregates
 from obslake.streaming.cdc import latest_snapshot, start_cdc_snapshot
 from obslake.streaming.flows import start_aggregates
+from obslake.streaming.ordered import cdc_enrich_stream
 
 _ONCE = {"availableNow": True}
-SQL["labelled_1d"] = aggregate_sql(
-    "labelled_metrics", DAY,
-    "arg_max(struct_pack(s := service_name, e := environment), (timestamp_ms, arrival)) AS last,",
-)
 _CLOSED = "window_end_ms <= (SELECT max(timestamp_ms) FROM labelled_metrics) - 5000"
 
 
@@ -32,15 +31,15 @@ def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 @query(
     "streaming_window_aggregate",
-    with_sql("labelled_metrics", "labelled_1d", body=aggregate_output_sql(
-        f"(SELECT * FROM labelled_1d WHERE {_CLOSED})", "last.s AS service_name", "last.e AS environment")),
+    with_sql("labelled_metrics", "labelled_1m", body=aggregate_output_sql(
+        f"(SELECT * FROM labelled_1m WHERE {_CLOSED})", "last.s AS service_name", "last.e AS environment")),
 )
 def streaming_window_aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows closed by the watermark, appended to files."""
     out = new_shared_path(spark, "stream-out")
     metrics = views.labelled_metrics(spark, sf_dir, stream(spark, sf_dir, "events"))
     running = (
-        window_aggregate(metrics, "1 day", order_by=("arrival",))
+        window_aggregate(metrics, order_by=("arrival",))
         .writeStream.outputMode("append").format("parquet")
         .option("path", out).option("checkpointLocation", new_shared_path(spark, "stream-state"))
         .trigger(**_ONCE).start()
@@ -67,10 +66,10 @@ def _fold_stream(spark: SparkSession, sf_dir: str) -> str:
 
 @query(
     "streaming_aggregates_table",
-    with_sql("labelled_metrics", "labelled_1d", "cdc_changes", "cdc_snapshot", body=f"""
+    with_sql("labelled_metrics", "labelled_1m", "cdc_changes", "cdc_snapshot", body=f"""
 SELECT * FROM ({aggregate_output_sql('''(
   SELECT w.*, coalesce(c.service_name, w.last.s) AS service_name, coalesce(c.environment, w.last.e) AS environment
-  FROM labelled_1d w LEFT JOIN cdc_snapshot c ON w.service_id = c.service_id)''', "service_name", "environment")})
+  FROM labelled_1m w LEFT JOIN cdc_snapshot c ON w.service_id = c.service_id)''', "service_name", "environment")})
 WHERE {_CLOSED}"""),
 )
 def streaming_aggregates_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,9 +82,105 @@ def streaming_aggregates_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         new_shared_path(spark, "copy"),
         new_shared_path(spark, "stream-state"),
         snapshot=lambda: latest_snapshot(spark, snapshot),
-        window="1 day",
         trigger=_ONCE,
         order_by=("arrival",),
-        partitions=BY_DATE,
     ).awaitTermination()
     return aggregate_output(read_aggregates(spark, table), "service_name", "environment")
+
+
+# --- Several micro-batches ---------------------------------------------------------
+
+SLICES = 3
+
+
+def replayed(
+    spark: SparkSession, inputs: list[DataFrame], slices: int, start: Callable[[list[DataFrame]], StreamingQuery]
+) -> None:
+    """Deliver each input slice by slice (column ``slice``), with a run of the stream for each.
+
+    Every run starts anew from the checkpoint of the last one, takes what is new as one
+    micro-batch, and closes what its watermark allows.
+    """
+    folders = [new_shared_path(spark, "replay") for _ in inputs]
+    for n in range(slices):
+        for rows, folder in zip(inputs, folders):
+            rows.where(F.col("slice") == n).drop("slice").write.mode("append").parquet(folder)
+        start([spark.readStream.schema(rows.drop("slice").schema).parquet(f) for rows, f in zip(inputs, folders)]).awaitTermination()
+
+
+def _sliced(rows: DataFrame, of: DataFrame, slices: int = SLICES) -> DataFrame:
+    """Slices of equal length in event time, over the span of ``of``."""
+    span = of.agg(F.min("timestamp_ms").alias("lo"), F.max("timestamp_ms").alias("hi")).first()
+    width = (span["hi"] - span["lo"]) // slices + 1
+    return rows.withColumn("slice", F.greatest(F.lit(0), F.least(F.lit(slices - 1), F.expr(f"(timestamp_ms - {span['lo']}) div {width}"))))
+
+
+@query(
+    "streaming_cdc_in_order",
+    with_sql("sales_metrics", "cdc_changes", body="""
+, last_changes AS (
+  SELECT service_id, timestamp_ms, arg_max(struct_pack(
+           op := op, service_name := service_name, team := team, environment := environment), seq) AS c
+  FROM cdc_changes GROUP BY service_id, timestamp_ms)
+SELECT m.metric_name, m.value, m.service_id, m.timestamp_ms,
+       CASE WHEN coalesce(l.c.op, '') <> 'd' THEN l.c.service_name END AS service_name,
+       coalesce(CASE WHEN coalesce(l.c.op, '') <> 'd' THEN l.c.team END, 'none') AS team,
+       CASE WHEN coalesce(l.c.op, '') <> 'd' THEN l.c.environment END AS environment
+FROM sales_metrics m ASOF LEFT JOIN last_changes l
+  ON m.service_id = l.service_id AND m.timestamp_ms >= l.timestamp_ms
+WHERE m.timestamp_ms <= least((SELECT max(timestamp_ms) FROM sales_metrics), (SELECT max(timestamp_ms) FROM cdc_changes)) - 5000"""),
+)
+def streaming_cdc_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics and changes as streams in several runs; each metric meets the state of its arrival."""
+    text = F.lit(None).cast("string")
+    metrics = views.sales_metrics(spark, sf_dir).select(
+        "*", text.alias("service_name"), F.lit("none").alias("team"), text.alias("environment")
+    )
+    changes = views.cdc_changes(spark, sf_dir)
+    out, state = new_shared_path(spark, "stream-out"), new_shared_path(spark, "stream-state")
+
+    def start(streams: list[DataFrame]) -> StreamingQuery:
+        enriched = cdc_enrich_stream(*streams, "timestamp_ms", "seq")
+        writer = enriched.writeStream.format("parquet").option("path", out).option("checkpointLocation", state)
+        return writer.trigger(**_ONCE).start()
+
+    replayed(spark, [_sliced(metrics, metrics), _sliced(changes, metrics)], SLICES, start)
+    return spark.read.schema(metrics.schema).parquet(out)
+
+
+# Events at whole hours, so that windows end exactly at the watermark; some arrive one or two slices late.
+_LATE = 2 * HOUR
+SQL["late_metrics"] = f"""
+SELECT *, least({SLICES - 1}, (timestamp_ms - lo) // ((hi - lo) // {SLICES} + 1))
+       + CASE WHEN arrival % 7 = 0 THEN 1 ELSE 0 END + CASE WHEN arrival % 11 = 0 THEN 1 ELSE 0 END AS slice
+FROM (SELECT metric_name, value, service_id, timestamp_ms // {HOUR} * {HOUR} AS timestamp_ms, arrival,
+             min(timestamp_ms // {HOUR} * {HOUR}) OVER () AS lo, max(timestamp_ms // {HOUR} * {HOUR}) OVER () AS hi FROM metrics)"""
+SQL["late_watermarks"] = f"""
+SELECT slice, max(max(timestamp_ms)) OVER (ORDER BY slice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - {_LATE} AS passed
+FROM late_metrics GROUP BY slice"""
+SQL["late_kept"] = f"""
+SELECT m.* FROM late_metrics m JOIN late_watermarks w USING (slice)
+WHERE w.passed IS NULL OR m.timestamp_ms // {HOUR} * {HOUR} + {HOUR} > w.passed"""
+SQL["late_1h"] = aggregate_sql("late_kept", HOUR)
+
+
+@query(
+    "streaming_late_events",
+    with_sql("metrics", "late_metrics", "late_watermarks", "late_kept", "late_1h", body=aggregate_output_sql(
+        f"(SELECT * FROM late_1h WHERE window_end_ms <= (SELECT max(timestamp_ms) FROM late_metrics) - {_LATE})")),
+)
+def streaming_late_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events that come after their window was closed are dropped, also those at the very watermark."""
+    hours = F.expr(f"timestamp_ms div {HOUR} * {HOUR}")
+    metrics = views.metrics(spark, sf_dir).withColumn("timestamp_ms", hours)
+    late = F.when(F.col("arrival") % 7 == 0, 1).otherwise(0) + F.when(F.col("arrival") % 11 == 0, 1).otherwise(0)
+    rows = _sliced(metrics, metrics).withColumn("slice", F.col("slice") + late)
+    out, state = new_shared_path(spark, "stream-out"), new_shared_path(spark, "stream-state")
+
+    def start(streams: list[DataFrame]) -> StreamingQuery:
+        windows = window_aggregate(streams[0], "1 hour", f"{_LATE} milliseconds")
+        writer = windows.writeStream.outputMode("append").format("parquet").option("path", out)
+        return writer.option("checkpointLocation", state).trigger(**_ONCE).start()
+
+    replayed(spark, [rows], SLICES + 2, start)
+    return aggregate_output(spark.read.schema(METRIC_AGGREGATE).parquet(out))
