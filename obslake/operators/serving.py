@@ -40,6 +40,11 @@ def _in_range(df: DataFrame, metric: str, service: str, frm: datetime, to: datet
     if "window_date" in df.columns:
         # Implied by the filter above; stated so that the scan skips other days.
         out = out.filter(F.col("window_date").between(_utc(frm).date(), _utc(to).date()))
+    if "window_hour" in df.columns:
+        # Hours outside the range on its first and last day; a table by date has none.
+        day, hour = F.col("window_date"), F.coalesce("window_hour", F.lit(-1))
+        out = out.filter((hour < 0) | (day > _utc(frm).date()) | (hour >= _utc(frm).hour))
+        out = out.filter((hour < 0) | (day < _utc(to).date()) | (hour <= _utc(to).hour))
     return out
 
 

@@ -11,10 +11,10 @@ from obslake.operators.windows import window_aggregate
 from obslake.plans import metrics as _metrics  # noqa: F401  (defines the window views)
 from obslake.plans import views
 from obslake.plans.compose import enriched_windows
-from obslake.plans.registry import HOUR, aggregate_output, aggregate_output_sql, aggregate_sql, query
+from obslake.plans.registry import MINUTE, aggregate_output, aggregate_output_sql, aggregate_sql, query
 from obslake.plans.views import SQL, with_sql
 from obslake.session import new_shared_path
-from obslake.sinks.aggregates import BY_DATE, upsert_aggregates, write_aggregates_parquet
+from obslake.sinks.aggregates import compact_aggregates, upsert_aggregates, write_aggregates_parquet
 from obslake.sinks.topics import insert_if_absent
 from obslake.sources.files import list_data_files
 from obslake.sources.tables import read_aggregates, read_service_metadata
@@ -32,10 +32,6 @@ def _daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return window_aggregate(views.sales_metrics(spark, sf_dir), "1 day")
 
 
-def _hourly(rows: DataFrame) -> DataFrame:
-    return window_aggregate(rows, "1 hour")
-
-
 @query("query_aggregates", with_sql("sales_metrics", "sales_1d", body=f"""
 SELECT metric_name, service_id, round(avg_value, 8) AS avg_value, min_value, max_value, count_value,
        window_start_ms, window_end_ms FROM sales_1d {_where(*SALES)} ORDER BY window_start_ms"""))
@@ -63,27 +59,42 @@ def range_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _points(query_series(_daily(spark, sf_dir), *SALES))
 
 
-@query("query_series_stored", with_sql("metrics", "windows_1h", body=_series_sql("windows_1h", VIEWS)))
+@query("query_series_stored", with_sql("metrics", "windows_1m", body=_series_sql("windows_1m", VIEWS)))
 def range_series_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A series from the partitioned table."""
     path = new_shared_path(spark, "aggregates")
-    upsert_aggregates(_hourly(views.metrics(spark, sf_dir)), path, partitions=BY_DATE)
+    upsert_aggregates(window_aggregate(views.metrics(spark, sf_dir)), path)
     return _points(query_series(read_aggregates(spark, path), *VIEWS))
 
 
-SQL["large_1h"] = aggregate_sql("(SELECT * FROM metrics WHERE value > 100)", HOUR)
+SQL["large_1m"] = aggregate_sql("(SELECT * FROM metrics WHERE value > 100)", MINUTE)
 
 
-@query("upsert_aggregates", with_sql("metrics", "windows_1h", "large_1h", body=aggregate_output_sql("""(
-SELECT * FROM large_1h UNION ALL
-SELECT * FROM windows_1h a WHERE NOT EXISTS (SELECT 1 FROM large_1h b
-  WHERE a.metric_name = b.metric_name AND a.service_id = b.service_id AND a.window_start_ms = b.window_start_ms))""")))
-def upserted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All hourly windows, then a second set that replaces those it has in common."""
+_UPSERTED = with_sql("metrics", "windows_1m", "large_1m", body=aggregate_output_sql("""(
+SELECT * FROM large_1m UNION ALL
+SELECT * FROM windows_1m a WHERE NOT EXISTS (SELECT 1 FROM large_1m b
+  WHERE a.metric_name = b.metric_name AND a.service_id = b.service_id AND a.window_start_ms = b.window_start_ms))"""))
+
+
+def _upserted_table(spark: SparkSession, sf_dir: str) -> str:
     path = new_shared_path(spark, "upserted")
     rows = views.metrics(spark, sf_dir)
-    upsert_aggregates(_hourly(rows), path, partitions=BY_DATE)
-    upsert_aggregates(_hourly(rows.filter("value > 100")), path, partitions=BY_DATE)
+    upsert_aggregates(window_aggregate(rows), path)
+    upsert_aggregates(window_aggregate(rows.filter("value > 100")), path)
+    return path
+
+
+@query("upsert_aggregates", _UPSERTED)
+def upserted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All minute windows, then a second set that replaces those it has in common."""
+    return aggregate_output(read_aggregates(spark, _upserted_table(spark, sf_dir)))
+
+
+@query("compact_aggregates", _UPSERTED)
+def compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same table after its hours were brought down to one version each."""
+    path = _upserted_table(spark, sf_dir)
+    compact_aggregates(spark, path, keep_seconds=0)
     return aggregate_output(read_aggregates(spark, path))
 
 

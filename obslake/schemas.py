@@ -52,6 +52,8 @@ METRIC_AGGREGATE = _struct(
     sum_value=D, min_value=D, max_value=D, count_value=L, avg_value=D,
     window_start=TS, window_end=TS,
 )
+# Directories of the aggregate table; one kept by date alone has no hour.
+WINDOW_PARTITIONS = _struct(window_date=T.DateType(), window_hour=T.IntegerType())
 USER_EVENT = _struct(
     user_id=S, event_type=S, timestamp_ms=L, service_id=S, session_id=S,
     environment=S, properties=_TAGS,

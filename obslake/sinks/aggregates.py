@@ -8,13 +8,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from obslake.functions.times import utc_date, utc_hour
-from obslake.schemas import AGGREGATE_KEY, METRIC_AGGREGATE
-from obslake.session import new_shared_path
+from obslake.schemas import AGGREGATE_KEY, METRIC_AGGREGATE, WINDOW_PARTITIONS
+from obslake.sinks.keyed import KEEP_SECONDS, compact, next_version, publish
 from obslake.sinks.layout import rebalanced
-from obslake.sinks.paths import exists, is_complete, remove
+from obslake.sinks.paths import is_complete, remove
 
 # Directories of the keyed table.  Minute windows are kept by hour, so that a
-# micro-batch rewrites an hour and not a day; coarse windows need dates only.
+# range query opens few files; coarse windows need dates only.
 BY_HOUR = ("window_date", "window_hour")
 BY_DATE = ("window_date",)
 _ROW = METRIC_AGGREGATE.names
@@ -61,48 +61,21 @@ def upsert_aggregates(
 ) -> None:
     """Insert rows, or replace all non-key columns of those already in the Parquet table.
 
-    Only the directories present in the batch are rewritten.  The merged rows are
-    written to ``stage`` first and published from there, so a job that dies
-    while publishing repeats that step with the same rows: pass a ``stage`` path that is
-    the same for every attempt of one micro-batch.
+    The rows become a new version beside those that are stored (see ``sinks.keyed``), so a
+    micro-batch writes what it brings and nothing else, and reads nothing of the table.  Pass a
+    ``stage`` path that is the same for every attempt of one micro-batch: a repeat then replaces
+    the version of the attempt before.
     """
     spark = batch.sparkSession
-    keep_stage = stage is not None
-    stage = stage or new_shared_path(spark, "upsert")
-    if not is_complete(spark, stage):
-        fresh = with_window_partitions(last_per_key(batch, order_by), partitions).persist()
-        try:
-            merged = fresh
-            if exists(spark, table):
-                merged = fresh.unionByName(_kept_rows(fresh, table, partitions))
-            merged.write.mode("overwrite").parquet(stage)
-        finally:
-            fresh.unpersist()
-    staged = spark.read.schema(with_window_partitions(batch, partitions).schema).parquet(stage)
-    (
-        rebalanced(staged, *partitions)
-        .sortWithinPartitions(*partitions, *AGGREGATE_KEY)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partitions)
-        .parquet(table)
-    )
-    if not keep_stage:
-        remove(spark, stage)
-
-
-def _kept_rows(fresh: DataFrame, table: str, partitions: tuple[str, ...]) -> DataFrame:
-    """Rows of the touched directories that the batch does not replace."""
-    spark = fresh.sparkSession
-    stored = spark.read.schema(fresh.schema).parquet(table)
-    span = fresh.agg(F.min("window_date").alias("lo"), F.max("window_date").alias("hi")).first()
-    if span["lo"] is None:
-        return stored.limit(0)
-    near = stored.filter(F.col("window_date").between(span["lo"], span["hi"]))
-    touched = near.join(fresh.select(*partitions).distinct(), list(partitions), "left_semi")
-    replaced = fresh.select(*[F.col(c).alias(f"_k_{c}") for c in AGGREGATE_KEY])
-    same = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in AGGREGATE_KEY]
-    return touched.join(replaced, on=same, how="left_anti")
+    rows = with_window_partitions(last_per_key(batch, order_by), partitions)
+    publish(rows, table, partitions, AGGREGATE_KEY, next_version(spark, f"{stage}/version" if stage else None))
+
+
+def compact_aggregates(
+    spark: SparkSession, table: str, partitions: tuple[str, ...] = BY_HOUR, keep_seconds: float = KEEP_SECONDS
+) -> int:
+    """One version for every hour (or date) that has several; returns how many there were."""
+    return compact(spark, table, METRIC_AGGREGATE, WINDOW_PARTITIONS, AGGREGATE_KEY, partitions, keep_seconds)
 
 
 def write_aggregates_parquet(batch: DataFrame, path: str, batch_id: int | None = None) -> None:

@@ -53,3 +53,10 @@ def read_text(spark: SparkSession, path: str) -> str:
 def remove(spark: SparkSession, path: str) -> None:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def matching(spark: SparkSession, pattern: str) -> list[tuple[str, float]]:
+    """Paths that match a pattern, and when each was last written, in seconds since the epoch."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = target.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(target)
+    return [(s.getPath().toString(), s.getModificationTime() / 1000) for s in found or []]

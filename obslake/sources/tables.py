@@ -6,7 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from obslake.schemas import SERVICE_METADATA
+from obslake.schemas import AGGREGATE_KEY, METRIC_AGGREGATE, SERVICE_METADATA, WINDOW_PARTITIONS
+from obslake.sinks.keyed import read_keyed
 
 # The first rows of a new metadata table.
 SEED_METADATA = [
@@ -20,17 +21,17 @@ def seed_metadata(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(SEED_METADATA, SERVICE_METADATA)
 
 
-def _read(spark: SparkSession, src: str, table: str, predicates: Sequence[str] | None, properties: dict | None) -> DataFrame:
-    if src.startswith("jdbc:"):
-        if predicates:
-            return spark.read.jdbc(src, table, predicates=list(predicates), properties=properties or {})
-        return spark.read.jdbc(src, table, properties=properties or {})
-    return spark.read.parquet(src)
+def _read_jdbc(spark: SparkSession, url: str, table: str, predicates: Sequence[str] | None, properties: dict | None) -> DataFrame:
+    if predicates:
+        return spark.read.jdbc(url, table, predicates=list(predicates), properties=properties or {})
+    return spark.read.jdbc(url, table, properties=properties or {})
 
 
 def read_service_metadata(spark: SparkSession, src: str, properties: dict | None = None) -> DataFrame:
     """The service-metadata table, one row per service."""
-    return _read(spark, src, "service_metadata", None, properties).select(*SERVICE_METADATA.names)
+    if src.startswith("jdbc:"):
+        return _read_jdbc(spark, src, "service_metadata", None, properties).select(*SERVICE_METADATA.names)
+    return spark.read.schema(SERVICE_METADATA).parquet(src)
 
 
 def read_aggregates(
@@ -39,5 +40,10 @@ def read_aggregates(
     predicates: Sequence[str] | None = None,
     properties: dict | None = None,
 ) -> DataFrame:
-    """The aggregate table; ``predicates`` split a JDBC read into parallel range scans."""
-    return _read(spark, src, "metric_aggregates", predicates, properties)
+    """The aggregate table; ``predicates`` split a JDBC read into parallel range scans.
+
+    A Parquet table has the last version of each row, and the columns of its directories.
+    """
+    if src.startswith("jdbc:"):
+        return _read_jdbc(spark, src, "metric_aggregates", predicates, properties)
+    return read_keyed(spark, src, METRIC_AGGREGATE, WINDOW_PARTITIONS, AGGREGATE_KEY)

@@ -1,25 +1,28 @@
 import os
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F, types as T
 
 from obslake.operators.external import external_transform
 from obslake.operators.logs import extract_log_fields
+from obslake.operators.serving import query_series
 from obslake.schemas import METRIC_AGGREGATE
-from obslake.sinks import aggregates as agg, files
+from obslake.sinks import aggregates as agg, files, keyed
 from obslake.sinks.files import land_external, write_external_parquet
 from obslake.sinks.jdbc import jdbc_mode
 from obslake.sinks.shapes import read_kept
 from obslake.sinks.topics import insert_if_absent, write_topic
 from obslake.sources.files import list_data_files, read_external_ndjson, read_external_table, read_log_text
-from obslake.sources.tables import SEED_METADATA, read_service_metadata, seed_metadata
+from obslake.sources.tables import SEED_METADATA, read_aggregates, read_service_metadata, seed_metadata
 from obslake.sources.topics import read_topic, topic_options
+from tests.conftest import plan_of
 from tests.test_serving import AT, MINUTE, aggregates
 
 
 def rows_of(spark, table):
-    df = spark.read.parquet(table).orderBy("metric_name", "window_start")
+    df = read_aggregates(spark, table).orderBy("metric_name", "window_start")
     return [(r.metric_name, r.avg_value) for r in df.collect()]
 
 
@@ -48,16 +51,62 @@ def test_upsert_handles_null_keys_and_doubles_in_one_batch(spark, tmp_path):
     assert rows_of(spark, str(tmp_path / "u")) == [("cpu.usage", 6.0)]
 
 
-def test_upsert_repeats_publishing_from_its_stage(spark, tmp_path):
+def test_an_attempt_that_stopped_is_not_read_and_its_repeat_replaces_it(spark, tmp_path, monkeypatch):
     table, stage = str(tmp_path / "t"), str(tmp_path / "stage")
     agg.upsert_aggregates(aggregates(spark, 1.0, 2.0), table)
-    agg.upsert_aggregates(aggregates(spark, 5.0), table, stage=stage)
-    # The hour is lost between removal and publication; the next attempt brings it back whole.
-    spark.createDataFrame([], METRIC_AGGREGATE)
-    hour = f"{table}/window_date=2024-01-15/window_hour=10"
-    os.rename(hour, str(tmp_path / "lost"))
-    agg.upsert_aggregates(aggregates(spark, 5.0), table, stage=stage)
-    assert rows_of(spark, table) == [("cpu.usage", 5.0), ("cpu.usage", 2.0)]
+    monkeypatch.setattr(keyed, "remove", lambda *_: (_ for _ in ()).throw(OSError("stopped")))
+    with pytest.raises(OSError):
+        agg.upsert_aggregates(aggregates(spark, 5.0), table, stage=stage)
+    monkeypatch.undo()
+    assert rows_of(spark, table) == [("cpu.usage", 1.0), ("cpu.usage", 2.0)]
+    agg.upsert_aggregates(aggregates(spark, 6.0), table, stage=stage)
+    assert rows_of(spark, table) == [("cpu.usage", 6.0), ("cpu.usage", 2.0)]
+    hour = os.listdir(f"{table}/window_date=2024-01-15/window_hour=10")
+    assert len(hour) == 2 and os.listdir(f"{table}/_pending") == []
+
+
+def test_a_small_batch_writes_little_and_compaction_changes_no_result(spark, tmp_path, monkeypatch):
+    table = str(tmp_path / "t")
+
+    def size():
+        return sum(f.stat().st_size for f in Path(table).rglob("*.parquet"))
+
+    def names(hour):
+        return sorted(n for n in os.listdir(f"{table}/window_date=2024-01-15/window_hour={hour}"))
+
+    agg.upsert_aggregates(aggregates(spark, *[float(i % 997) * 1.37 for i in range(20_000)], start=AT - timedelta(days=3)), table)
+    agg.upsert_aggregates(aggregates(spark, 1.0, 2.0, start=AT), table)
+    before = size()
+    agg.upsert_aggregates(aggregates(spark, 3.0, start=AT), table)
+    assert size() - before < before / 20
+    expected = sorted(map(tuple, read_aggregates(spark, table).collect()))
+    assert agg.compact_aggregates(spark, table) == 1 and len(names(10)) == 4
+    # Both states are there, and the table reads the same; a second run has nothing to do.
+    assert sorted(map(tuple, read_aggregates(spark, table).collect())) == expected
+    assert agg.compact_aggregates(spark, table) == 0 and len(names(10)) == 4
+    assert agg.compact_aggregates(spark, table, keep_seconds=0) == 0 and len(names(10)) == 1
+    assert sorted(map(tuple, read_aggregates(spark, table).collect())) == expected
+    agg.upsert_aggregates(aggregates(spark, 4.0, start=AT), table)
+    monkeypatch.setattr(keyed, "remove", lambda *_: (_ for _ in ()).throw(OSError("stopped")))
+    with pytest.raises(OSError):
+        agg.compact_aggregates(spark, table)
+    monkeypatch.undo()
+    changed = [r.avg_value for r in read_aggregates(spark, table).filter(F.col("window_start") == AT).collect()]
+    assert changed == [4.0]
+    assert agg.compact_aggregates(spark, table, keep_seconds=0) == 1 and len(names(10)) == 1
+    assert read_aggregates(spark, table).filter(F.col("window_start") == AT).first().avg_value == 4.0
+    assert read_aggregates(spark, table).count() == len(expected)
+
+
+def test_range_queries_open_the_hours_of_their_range(spark, tmp_path):
+    table = str(tmp_path / "t")
+    agg.upsert_aggregates(aggregates(spark, *[float(i) for i in range(600)], start=AT), table)
+    found = query_series(read_aggregates(spark, table), "cpu.usage", "svc-api", AT + timedelta(hours=2), AT + timedelta(hours=3, minutes=30))
+    assert [r.value for r in found.collect()] == [float(i) for i in range(120, 210)]
+    files = {f.split("/window_hour=")[1][:2] for f in read_aggregates(spark, table).inputFiles()}
+    scan = [line for line in plan_of(found).splitlines() if "PartitionFilters" in line]
+    assert len(files) == 10 and any("window_hour" in line and "window_date" in line for line in scan)
+    assert any("PushedFilters" in line and "service_id" in line for line in plan_of(found).splitlines())
 
 
 def test_empty_batch_changes_nothing(spark, tmp_path):
@@ -164,10 +213,10 @@ def test_sinks_agree_after_a_repeat(spark, tmp_path):
     agg.fan_out(row("old"), 4, table, copy, stage)
     # The repeat of a micro-batch joined a newer lookup: both sinks keep the rows staged first.
     agg.fan_out(row("new"), 4, table, copy, stage)
-    assert [r.service_name for r in spark.read.parquet(table).collect()] == ["old"]
+    assert [r.service_name for r in read_aggregates(spark, table).collect()] == ["old"]
     assert [r.service_name for r in spark.read.parquet(copy).collect()] == ["old"]
     agg.fan_out(row("new"), 5, table, copy, stage)
-    assert [r.service_name for r in spark.read.parquet(table).collect()] == ["new"]
+    assert [r.service_name for r in read_aggregates(spark, table).collect()] == ["new"]
 
 
 def test_external_columns_may_change_their_type(spark, tmp_path):

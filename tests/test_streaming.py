@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 from obslake.operators.windows import window_aggregate
 from obslake.schemas import METRIC_AGGREGATE
 from obslake.sinks.topics import print_user_events
-from obslake.sources.tables import seed_metadata
+from obslake.sources.tables import read_aggregates, seed_metadata
 from obslake.sources.topics import read_topic
 from obslake.streaming import flows
 from obslake.streaming.cdc import apply_changes, latest_snapshot, start_cdc_snapshot
+from obslake.streaming.ordered import cdc_enrich_stream
 
 ONCE = {"availableNow": True}
 T0 = 1705312800000
@@ -122,7 +123,7 @@ def test_aggregates_to_both_sinks_with_a_snapshot_read_per_batch(spark, tmp_path
     run = lambda: flows.start_aggregates(
         stream(spark, src), table, copy, ck, snapshot=lambda: latest_snapshot(spark, snap), trigger=ONCE, order_by=("offset",)
     ).awaitTermination()
-    names = lambda: [(r.service_name, r.sum_value) for r in spark.read.parquet(table).orderBy("window_start").collect()]
+    names = lambda: [(r.service_name, r.sum_value) for r in read_aggregates(spark, table).orderBy("window_start").collect()]
     put(src, "1", metric(1.0, 0, 1), metric(2.0, 70_000, 2))
     run()
     assert names() == [("orig", 1.0)]
@@ -211,3 +212,66 @@ def test_lookup_is_read_again_after_its_time(spark):
     assert held() is held() and len(reads) == 1
     fresh = flows.refreshed(read, 0)
     assert fresh() is not fresh() and len(reads) == 3
+
+
+ORDERED = "service_id string, team string, value double, tags map<string,string>, timestamp timestamp, timestamp_ms long, offset long"
+FEED = "op string, service_id string, team string, timestamp_ms long, seq long"
+
+
+def test_changes_in_arrival_order_over_restarts(spark, tmp_path):
+    def event(at, value, service="a", offset=0):
+        tags = {"x": "y"} if value != 3.0 else None
+        return {"service_id": service, "team": "own", "value": value, "tags": tags, "timestamp": "2024-01-15T10:00:00.123456Z", "timestamp_ms": T0 + at, "offset": offset}
+
+    def update(at, seq, team, op="u", service="a"):
+        return {"op": op, "service_id": service, "team": team, "timestamp_ms": None if at is None else T0 + at, "seq": seq}
+
+    src, feed, out, ck = (str(tmp_path / n) for n in ("in", "feed", "out", "ck"))
+
+    def run():
+        metrics, changes = (spark.readStream.schema(k).json(p) for k, p in ((ORDERED, src), (FEED, feed)))
+        cdc_enrich_stream(metrics, changes, "timestamp_ms", "seq", "offset").writeStream.format("parquet").option("path", out).option(
+            "checkpointLocation", ck
+        ).trigger(**ONCE).start().awaitTermination()
+        rows = spark.read.schema(ORDERED).parquet(out).collect()
+        assert all(r.tags == ({"x": "y"} if r.value != 3.0 else None) and r.timestamp.microsecond == 123456 for r in rows)
+        return sorted((r.timestamp_ms - T0, r.value, r.team) for r in rows)
+
+    # The watermark is 5000 after the first run; what comes after it waits, also at a service of its own.
+    put(src, "1", event(10_000, 9.0), event(1000, 1.0), event(5001, 5.0), event(3000, 2.0), event(5000, 4.0), event(5000, 3.0, "b"))
+    put(feed, "1", update(5000, 3, "C"), update(2000, 1, "A"), update(5000, 2, "B"), update(10_000, 9, None, "D"), update(None, 0, "early", "c", "b"), update(4000, 5, "x", "u", " "))
+    first = [(1000, 1.0, "own"), (3000, 2.0, "A"), (5000, 3.0, "early"), (5000, 4.0, "C")]
+    assert run() == first
+    # Later than the watermark is late, on either stream; a service that is null passes unchanged.
+    put(src, "2", event(5000, 4.5), event(20_000, 7.0), event(9000, 6.0, None))
+    put(feed, "2", update(5000, 4, "late"), update(20_000, 10, "Z"))
+    second = first + [(5001, 5.0, "C"), (9000, 6.0, "own"), (10_000, 9.0, "own")]
+    assert run() == second
+    put(src, "3", event(40_000, 8.0), event(20_000, 7.5, offset=1))
+    put(feed, "3", update(40_000, 11, "Y"))
+    assert run() == second + [(20_000, 7.0, "Z"), (20_000, 7.5, "Z")]
+
+
+def test_stream_aggregation_is_hashed(spark, tmp_path):
+    src = str(tmp_path / "in")
+    put(src, "1", metric(1.0, 0), metric(2.0, 500_000))
+    query = (
+        window_aggregate(stream(spark, src), order_by=("offset",))
+        .writeStream.outputMode("append").format("memory").queryName("hashed").option("checkpointLocation", str(tmp_path / "ck")).start()
+    )
+    query.processAllAvailable()
+    plan = query._jsq.explainInternal(False)
+    query.stop()
+    assert "SortAggregate" not in plan and "ObjectHashAggregate" in plan and plan.count("StateStoreSave") >= 2
+
+
+def test_metadata_of_equal_events_is_the_same_in_batch_and_stream(spark, tmp_path):
+    src = str(tmp_path / "in")
+    put(src, "1", metric(1.0, 1000, 1, service_name="x"), metric(2.0, 1000, 1, service_name="y", environment=None), metric(3.0, 900_000, 9, service="close"))
+    out = str(tmp_path / "out")
+    (
+        window_aggregate(stream(spark, src), order_by=("offset",)).writeStream.format("parquet")
+        .option("path", out).option("checkpointLocation", str(tmp_path / "ck")).trigger(**ONCE).start().awaitTermination()
+    )
+    batch = window_aggregate(spark.read.schema(NORMALIZED).json(src), order_by=("offset",)).filter("service_id = 's'").collect()
+    assert spark.read.schema(METRIC_AGGREGATE).parquet(out).collect() == batch and batch[0].service_name == "y"
