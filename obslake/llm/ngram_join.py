@@ -13,7 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from obslake.llm.columns import spread
+from obslake.llm.columns import spread, unused
 from obslake.llm.components import components
 from obslake.llm.hashing import NOT_SPACE, U64, mix, packs, words
 from obslake.session import cut_lineage
@@ -440,10 +440,21 @@ def jaccard_components(docs: DataFrame, n: int = WORDS, percent: int = PERCENT)
 
 
 def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` without those linked to a smaller id: of each component the row with the smallest stays.
+    """One row of each component of near copies, the one with the smallest id, and all rows that are linked with none.
 
-    Rows that repeat an id go or stay together; rows without id or words stay.
+    Rows are told apart by id and text, so a text that shares its id with another one's copy stays.
+    Rows without id count as well and come after all others; of equal ids the text's hash decides.
+    Of rows that repeat id and text one stays, any of them.  Rows without words are linked with none.
     """
-    found = jaccard_components(docs, n, percent)
-    gone = found.where("component_id < doc_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    (row,) = unused(docs.columns, "row")
+    keyed = docs.withColumn(row, F.xxhash64(F.col("doc_id").isNull(), "doc_id", F.col("text").isNull(), "text"))
+    found = jaccard_components(keyed.select(F.col(row).alias("doc_id"), "text"), n, percent)
+    ids = keyed.groupBy(F.col(row).alias("row")).agg(F.min("doc_id").alias("id"), F.count("*").alias("rows"))
+    linked = found.where("n_links > 0").groupBy(F.col("doc_id").alias("row")).agg(F.min("component_id").alias("component"))
+    linked = cut_lineage(linked.join(ids, "row"))
+    order = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("first")
+    first = linked.groupBy("component").agg(order).select(F.col("first.row").alias("row"), F.lit(True).alias("stays"))
+    marked = cut_lineage(linked.join(first, "row", "left").select(F.col("row").alias(row), "stays", "rows"))
+    single = keyed.join(marked.where("stays is null or rows > 1").select(row), row, "left_anti")
+    repeated = keyed.join(marked.where("stays and rows > 1").select(row), row, "left_semi").dropDuplicates([row])
+    return single.select(*docs.columns).unionByName(repeated.select(*docs.columns))

@@ -19,8 +19,6 @@ from obslake.session import cut_lineage
 
 # At most this many labelled rows are fitted, half of each label, taken by a hash of the id.
 TRAIN_ROWS = 20_000
-MAX_CANDIDATES = 50_000
-MAX_TERMS = 2_000
 # A term occurs in so many toxic texts, and so many times as often as in others.
 MIN_SUPPORT, MIN_ODDS = 4, 8.0
 # The terms expected to pass by chance, among all that are tested.
@@ -189,7 +187,7 @@ def _telling(n_toxic: int, n_other: int, tested: int):
 
 
 def _chosen(toxic: dict[str, int], other: dict[str, int], n_toxic: int, n_other: int) -> dict[str, float]:
-    """Terms with the most weight; of a term and a stem of it that is about as telling, the stem."""
+    """The weights of all terms; of a term and a stem of it that is about as telling, the stem."""
     weights = {t: math.log(_odds(n, other.get(t, 0), n_toxic, n_other)) for t, n in toxic.items()}
     for term in sorted(weights, key=len):
         stems = [term[:n] for n in range(3, len(term)) if term[:n] in weights]
@@ -198,8 +196,7 @@ def _chosen(toxic: dict[str, int], other: dict[str, int], n_toxic: int, n_other:
         else:
             for s in stems:
                 del weights[s]
-    by_support = sorted(weights, key=lambda t: (-toxic[t] * weights[t], t))
-    return {t: weights[t] for t in by_support[:MAX_TERMS]}
+    return dict(sorted(weights.items()))
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, ...]:
@@ -234,7 +231,8 @@ def fit_lexicon(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS
     one label whose shingles of three words agree by about 0.8 or more one is used.  Terms are words and their first
     letters; their counts come from all texts used.  A term is taken if it is ``MIN_ODDS`` times as
     frequent in toxic texts as in others, and if ``BY_CHANCE`` terms at most would stand out like
-    that by chance among all that are tested; no share of the toxic texts is asked for.  Labels other than 0 and 1, or without id or
+    that by chance among all that are tested; no share of the toxic texts is asked for, and every
+    such term is taken.  A few phrases in which a term is no insult (``EXCEPTIONS``) do not count.  Labels other than 0 and 1, or without id or
     text, are not used.  Without a toxic or another text the lexicon is empty and no text is toxic.
     """
     rows = labels.where("toxic in (0, 1) and doc_id is not null").where(~held_out(F.col("doc_id")))
@@ -255,7 +253,8 @@ def fit_lexicon(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS
     counts = texts.mapInPandas(_count, "term string, toxic long, other long").groupBy("term")
     counts = cut_lineage(counts.agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")).where(F.col("toxic") >= MIN_SUPPORT))
     telling = counts.mapInPandas(_telling(numbers[1], numbers[0], max(1, counts.count())), counts.schema)
-    found = telling.orderBy(F.desc("toxic"), "term").limit(MAX_CANDIDATES).collect()
+    # Each is in MIN_SUPPORT or more of a bounded number of texts.
+    found = telling.collect()
     toxic, other = {r.term: r.toxic for r in found}, {r.term: r.other for r in found}
     lexicon = Lexicon(_chosen(toxic, other, numbers[1], numbers[0]))
     rows = texts.mapInPandas(_measure(lexicon), "toxic int, weight double, density double").collect()

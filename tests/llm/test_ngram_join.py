@@ -84,11 +84,22 @@ def test_nulls_and_repeats(spark):
     docs = spark.createDataFrame(rows, SCHEMA)
     found = jaccard_components(docs).collect()
     assert sorted(map(tuple, found), key=repr) == brute(rows, 3, 90)
-    assert sorted((r.doc_id or 0) for r in one_of_each(docs, 3, 90).collect()) == [0, 2, 3, 4, 5, 7, 7, 8, 8]
+    assert sorted((r.doc_id or 0) for r in one_of_each(docs, 3, 90).collect()) == [2, 3, 4, 5, 7, 8, 8]
     assert one_of_each(docs).columns == docs.columns
     assert jaccard_components(docs.limit(0)).collect() == []
 
 
+def test_one_row_of_each_group_and_every_clean_one(spark):
+    text, other = " ".join(f"w{k}" for k in range(40)), " ".join(f"v{k}" for k in range(40))
+    rows = [(1, text, 1, "x"), (2, text, 1, "x"), (2, other, 1, "x"), (3, other + " more words", 1, "x"), (None, text, 1, "x"),
+            (None, "alone " * 9, 1, "x"), (None, "alone " * 9, 1, "x"), (4, "single row", 1, "x"), (5, "same row", 1, "x"), (5, "same row", 1, "x")]
+    kept = one_of_each(spark.createDataFrame(rows, "doc_id long, text string, row int, rows string").repartition(3))
+    assert kept.columns == ["doc_id", "text", "row", "rows"]
+    assert sorted((r.doc_id or 0, r.text) for r in kept.collect()) == sorted(
+        [(1, text), (2, other), (0, "alone " * 9), (4, "single row"), (5, "same row")]
+    )
+
+
 def test_components(spark):
     rng = random.Random(3)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(k, k + 1) for k in range(400, 500)] + [(1, 1), (None, 2)]
