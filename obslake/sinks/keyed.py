@@ -13,7 +13,8 @@ from collections import defaultdict
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from obslake.sinks.layout import rebalanced
+from obslake.session import cut_lineage
+from obslake.sinks.layout import clustered
 from obslake.sinks.paths import child_names, exists, matching, read_text, remove, write_text
 
 VERSION = "version"
@@ -39,8 +40,11 @@ def publish(rows: DataFrame, table: str, partitions: tuple[str, ...], key: list[
     pending = f"{table}/{_PENDING}/{version}"
     if not exists(spark, pending):
         write_text(spark, pending, "")
+    # Measured and then dealt by directory: a batch may touch many hours, each with few rows.
+    rows = cut_lineage(rows)
+    size = sum((F.coalesce(F.octet_length(f.name), F.lit(0)) if isinstance(f.dataType, T.StringType) else F.lit(8) for f in rows.schema.fields), F.lit(0))
     writer = (
-        rebalanced(rows, *partitions)
+        clustered(rows, list(partitions), size)
         .sortWithinPartitions(*partitions, *key)
         .withColumn(VERSION, F.lit(version))
         .write.mode("overwrite")
