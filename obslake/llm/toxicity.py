@@ -24,6 +24,7 @@ MIN_SUPPORT, MIN_ODDS = 4, 8.0
 # The terms expected to pass by chance, among all that are tested.
 BY_CHANCE = 1.0
 COUNTED_AT_ONCE = 1 << 18
+SCORED_AT_ONCE = 1024
 STEMS = range(4, 9)
 # Copies agree in so many of so many least hashes of their shingles of three words: a similarity of about 0.8.
 AGREE, MINIMA = 26, 32
@@ -270,8 +271,11 @@ def _score(lexicon: Lexicon, column: str):
     def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         automaton = lexicon.automaton()
         for frame in frames:
-            measures = np.array([measured(folded(t), automaton) for t in frame["text"]]).reshape(-1, 2)
-            yield frame.assign(**{column: lexicon.score(measures)})
+            # Handed on in pieces, so that texts are not held twice.
+            for first in range(0, len(frame), SCORED_AT_ONCE):
+                piece = frame.iloc[first : first + SCORED_AT_ONCE]
+                measures = np.array([measured(folded(t), automaton) for t in piece["text"]]).reshape(-1, 2)
+                yield piece.assign(**{column: lexicon.score(measures)})
 
     return score
 
