@@ -4,9 +4,10 @@ from datetime import datetime
 
 import pytest
 
-from obslake.jobs import config, external, logs, query, stream
+from obslake.jobs import compact, config, external, logs, query, stream
 from obslake.sinks.aggregates import upsert_aggregates, write_aggregates_parquet
 from obslake.sources.files import read_external_table
+from obslake.sources.tables import read_aggregates
 from tests.test_serving import aggregates
 
 
@@ -82,3 +83,12 @@ def test_stream_job_wires_topics_to_tables(spark, tmp_path):
     assert spark.read.json(where["external_raw"]).first()._data.a == 1
     with pytest.raises(KeyError):
         stream.start(spark, ["nothing"], str(tmp_path), "unused")
+
+
+def test_compaction_job(spark, tmp_path, capsys):
+    table = config.paths(str(tmp_path))["table"]
+    for value in (1.0, 2.0):
+        upsert_aggregates(aggregates(spark, value), table)
+    compact.main([table, "--keep-seconds", "0"])
+    assert "1 compacted" in capsys.readouterr().out
+    assert [r.avg_value for r in read_aggregates(spark, table).collect()] == [2.0]
