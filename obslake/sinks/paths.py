@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -40,6 +42,19 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         out.close()
 
 
+def write_whole(spark: SparkSession, path: str, text: str) -> None:
+    """A small new file that appears in one step: written beside its place, then renamed.
+
+    Names with a leading dot are hidden files; readers of the folder look for names of their own form.
+    """
+    folder, name = path.rsplit("/", 1)
+    beside = f"{folder}/.{name}-{uuid.uuid4().hex}"
+    write_text(spark, beside, text)
+    source, target = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (beside, path))
+    if not source.getFileSystem(spark._jsc.hadoopConfiguration()).rename(source, target):
+        raise FileExistsError(path)
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     """A small file as text."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

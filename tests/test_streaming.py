@@ -11,7 +11,7 @@ from obslake.schemas import METRIC_AGGREGATE
 from obslake.sinks.topics import print_user_events
 from obslake.sources.tables import read_aggregates, seed_metadata
 from obslake.sources.topics import read_topic
-from obslake.streaming import flows
+from obslake.streaming import cdc, flows
 from obslake.streaming.cdc import apply_changes, latest_snapshot, start_cdc_snapshot
 from obslake.streaming.ordered import cdc_enrich_stream
 
@@ -192,15 +192,49 @@ def test_user_event_lines(spark, tmp_path):
 def test_snapshot_versions_go_by_age(spark, tmp_path):
     path = str(tmp_path / "snap")
     rows = lambda n: spark.createDataFrame([("c", f"s{n}", "a", None, None, None, n)], CHANGE)
+    versions = lambda kind: [v for v in os.listdir(f"{path}{kind}") if v.startswith("version=") or v.isdigit()]
+    # One bucket: every version replaces the one before as a whole.
     for n in range(3):
-        apply_changes(rows(n), path, n, ["seq"])
-    assert len([v for v in os.listdir(path) if v.startswith("version=")]) == 3
+        apply_changes(rows(n), path, n, ["seq"], buckets=1)
+    assert len(versions("")) == len(versions("/pointers")) == 3
     apply_changes(rows(3), path, 3, ["seq"], keep_seconds=-1)
     # The newest two stay: one may be read, one was just written.
-    assert len([v for v in os.listdir(path) if v.startswith("version=")]) == 2
+    assert len(versions("")) == len(versions("/pointers")) == 2
     assert latest_snapshot(spark, path).count() == 4
 
 
+def test_snapshot_writes_only_buckets_that_change(spark, tmp_path):
+    path = str(tmp_path / "snap")
+    feed = lambda *rows: spark.createDataFrame([(o, s, n, None, None, None, q) for o, s, n, q in rows], CHANGE)
+    names = lambda: {r.service_id: r.service_name for r in latest_snapshot(spark, path).collect()}
+    written = lambda n: [b for b in os.listdir(f"{path}/version={n:020d}") if b.startswith("bucket=")]
+    apply_changes(feed(*[("c", f"s{i}", "old", i) for i in range(200)], ("c", None, "x", 900), ("c", " ", "x", 901)), path, 0, ["seq"])
+    assert len(written(0)) > 40 and len(names()) == 200
+    apply_changes(feed(("u", "s7", "new", 300)), path, 1, ["seq"])
+    assert len(written(1)) == 1 and names() == {f"s{i}": "new" if i == 7 else "old" for i in range(200)}
+    # Nothing but rows without a service: no version.  All services of a bucket deleted: no folder.
+    apply_changes(feed(("c", None, "x", 301)), path, 2, ["seq"])
+    assert not os.path.exists(f"{path}/version={2:020d}")
+    apply_changes(feed(*[("d", f"s{i}", None, 400 + i) for i in range(200)]), path, 3, ["seq"], keep_seconds=-1)
+    assert written(3) == [] and names() == {}
+    apply_changes(feed(("c", "s7", "again", 700)), path, 4, ["seq"], keep_seconds=-1)
+    assert names() == {"s7": "again"}
+    assert not os.path.exists(f"{path}/version={0:020d}")
+
+
+def test_a_snapshot_version_that_stopped_is_written_again(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "snap")
+    feed = lambda name: spark.createDataFrame([("c", "s", name, None, None, None, 1)], CHANGE)
+    apply_changes(feed("first"), path, 0, ["seq"])
+    with monkeypatch.context() as m:
+        m.setattr(cdc, "write_whole", lambda *a: (_ for _ in ()).throw(OSError("stopped")))
+        with pytest.raises(OSError):
+            apply_changes(feed("second"), path, 1, ["seq"])
+    assert [r.service_name for r in latest_snapshot(spark, path).collect()] == ["first"]
+    apply_changes(feed("second"), path, 1, ["seq"])
+    assert [r.service_name for r in latest_snapshot(spark, path).collect()] == ["second"]
+
+
 def test_lookup_is_read_again_after_its_time(spark):
     reads = []
 
