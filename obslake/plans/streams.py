@@ -14,6 +14,7 @@ from obslake.plans.registry import HOUR, aggregate_output, aggregate_output_sql,
 from obslake.plans.views import SQL, with_sql
 from obslake.schemas import METRIC_AGGREGATE
 from obslake.session import new_shared_path
+from obslake.sinks.aggregates import merge_aggregates_parquet, read_aggregates_parquet
 from obslake.sources.tables import read_aggregates
 from obslake.streaming.cdc import latest_snapshot, start_cdc_snapshot
 from obslake.streaming.flows import start_aggregates
@@ -49,12 +50,6 @@ def streaming_window_aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregate_output(rows, "service_name", "environment")
 
 
-@query("streaming_cdc_snapshot", with_sql("cdc_changes", "cdc_snapshot", body="SELECT * FROM cdc_snapshot"))
-def streaming_cdc_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _fold_stream(spark, sf_dir)
-    return latest_snapshot(spark, path)
-
-
 def _fold_stream(spark: SparkSession, sf_dir: str) -> str:
     path = new_shared_path(spark, "snapshot")
     changes = views.cdc_changes(spark, sf_dir, stream(spark, sf_dir, "orders"))
@@ -108,6 +103,41 @@ def replayed(
         start([spark.readStream.schema(rows.drop("slice").schema).parquet(f) for rows, f in zip(inputs, folders)]).awaitTermination()
 
 
+@query("streaming_cdc_snapshot", with_sql("cdc_changes", "cdc_snapshot", body="SELECT * FROM cdc_snapshot"))
+def streaming_cdc_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The snapshot after several micro-batches, each of which writes the buckets it touches."""
+    path, state = new_shared_path(spark, "snapshot"), new_shared_path(spark, "stream-state")
+    changes = views.cdc_changes(spark, sf_dir)
+    start = lambda streams: start_cdc_snapshot(streams[0], path, state, ["timestamp_ms", "seq"], _ONCE)
+    replayed(spark, [_sliced(changes, changes)], SLICES, start)
+    return latest_snapshot(spark, path)
+
+
+@query(
+    "streaming_aggregates_copy",
+    with_sql("labelled_metrics", "labelled_1m", body=f"""
+SELECT *, TRUE AS in_table FROM ({aggregate_output_sql("labelled_1m", "last.s AS service_name", "coalesce(last.e, 'unknown') AS environment")})
+WHERE {_CLOSED}"""),
+)
+def streaming_aggregates_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The Parquet copy after several runs and a merge, each row with whether the keyed table has it too."""
+    table, copy, state = (new_shared_path(spark, name) for name in ("table", "copy", "stream-state"))
+    metrics = views.labelled_metrics(spark, sf_dir)
+
+    def start(streams: list[DataFrame]) -> StreamingQuery:
+        return start_aggregates(streams[0], table, copy, state, trigger=_ONCE, order_by=("arrival",))
+
+    replayed(spark, [_sliced(metrics, metrics)], SLICES, start)
+    merge_aggregates_parquet(spark, copy, keep_seconds=0)
+    columns = ("service_name", "environment")
+    copied = aggregate_output(read_aggregates_parquet(spark, copy), *columns)
+    stored = aggregate_output(read_aggregates(spark, table).fillna("unknown", "environment"), *columns)
+    # Rows of both are counted by all their columns, so one that either has alone, or twice, shows.
+    both = copied.withColumn("c", F.lit(1)).withColumn("t", F.lit(0)).unionByName(stored.withColumn("c", F.lit(0)).withColumn("t", F.lit(1)))
+    counted = both.groupBy(*copied.columns).agg(F.sum("c").alias("c"), F.sum("t").alias("t"))
+    return counted.select(*copied.columns, ((F.col("c") == 1) & (F.col("t") == 1)).alias("in_table"))
+
+
 def _sliced(rows: DataFrame, of: DataFrame, slices: int = SLICES) -> DataFrame:
     """Slices of equal length in event time, over the span of ``of``."""
     span = of.agg(F.min("timestamp_ms").alias("lo"), F.max("timestamp_ms").alias("hi")).first()

@@ -3,21 +3,28 @@
 from __future__ import annotations
 
 import re
+import time
+from collections import defaultdict
+from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import date
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from obslake.functions.times import utc_date, utc_hour
 from obslake.schemas import AGGREGATE_KEY, METRIC_AGGREGATE, WINDOW_PARTITIONS
 from obslake.sinks.keyed import KEEP_SECONDS, compact, next_version, publish
 from obslake.sinks.layout import rebalanced
-from obslake.sinks.paths import is_complete, remove
+from obslake.sinks.paths import child_names, exists, is_complete, matching, remove, write_text
 
 # Directories of the keyed table.  Minute windows are kept by hour, so that a
 # range query opens few files; coarse windows need dates only.
 BY_HOUR = ("window_date", "window_hour")
 BY_DATE = ("window_date",)
 _ROW = METRIC_AGGREGATE.names
+# Directories of the Parquet copy, and what marks a batch directory that stands for all before it.
+_COPY = ("environment", "window_date")
+_MERGED, _PENDING = "m", "_pending"
 
 
 @dataclass(frozen=True)
@@ -87,7 +94,7 @@ def write_aggregates_parquet(batch: DataFrame, path: str, batch_id: int | None =
     out = batch.select(*_ROW, utc_date(F.unix_millis("window_start")).alias("window_date")).withColumn(
         "environment", F.coalesce("environment", F.lit("unknown"))
     )
-    columns = ["environment", "window_date"]
+    columns = list(_COPY)
     if batch_id is None:
         rebalanced(out, *columns).write.mode("append").partitionBy(*columns).parquet(path)
         return
@@ -100,6 +107,88 @@ def write_aggregates_parquet(batch: DataFrame, path: str, batch_id: int | None =
     )
 
 
+def _copy_batches(spark: SparkSession, path: str) -> dict[str, dict[str, tuple[str, float]]]:
+    """For each directory of the copy its micro-batches in order, each with its folder and the time it was written.
+
+    A merged one comes after all it stands for and before any that came later.  One that is still
+    being written is left out.
+    """
+    pending = set(child_names(spark, f"{path}/{_PENDING}"))
+    found: dict[str, dict[str, tuple[str, float]]] = defaultdict(dict)
+    for folder, modified in matching(spark, "/".join([path, *[f"{c}=*" for c in _COPY], "batch_id=*"])):
+        directory, batch = folder.rsplit("/batch_id=", 1)
+        if batch not in pending:
+            found[directory][batch] = (folder, modified)
+    return {d: dict(sorted(b.items(), key=lambda i: _place(i[0]))) for d, b in found.items()}
+
+
+def _place(batch: str) -> tuple[int, bool]:
+    return int(batch.removesuffix(_MERGED)), batch.endswith(_MERGED)
+
+
+def _counting(batches: dict[str, tuple[str, float]]) -> list[str]:
+    """The micro-batches of a directory that a reader takes: the last merged one and what came after it."""
+    names = list(batches)
+    last = max((i for i, n in enumerate(names) if n.endswith(_MERGED)), default=0)
+    return names[last:]
+
+
+def read_aggregates_parquet(spark: SparkSession, path: str) -> DataFrame:
+    """The Parquet copy, with its date; each row once, before, during and after it is merged.
+
+    Rows that were written without a micro-batch are read as well.
+    """
+    stated = T.StructType([*METRIC_AGGREGATE.fields, T.StructField("window_date", T.DateType())])
+    folders = [b[n][0] for b in _copy_batches(spark, path).values() for n in _counting(b)]
+    plain = [f for f, _ in matching(spark, "/".join([path, *[f"{c}=*" for c in _COPY], "*.parquet"]))]
+    read = spark.read.schema(stated).option("basePath", path)
+    parts = [read.parquet(*group).select(*_ROW, "window_date") for group in (folders, plain) if group]
+    if not parts:
+        return spark.createDataFrame([], stated)
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def merge_aggregates_parquet(
+    spark: SparkSession, path: str, before: date | None = None, keep_seconds: float = KEEP_SECONDS
+) -> int:
+    """Merge the micro-batches of each directory of the copy; returns how many directories had several.
+
+    Takes days earlier than ``before`` (all, if not given) and leaves the newest micro-batch of the
+    copy alone, which may be running or be repeated.  The merged rows become one directory more, which
+    ``read_aggregates_parquet`` takes in place of the others as soon as all of it is there; the others
+    are removed once it is ``keep_seconds`` old.  A run that stopped is undone by the next one.
+    """
+    for name in child_names(spark, f"{path}/{_PENDING}"):
+        for folder, _ in matching(spark, "/".join([path, *[f"{c}=*" for c in _COPY], f"batch_id={name}"])):
+            remove(spark, folder)
+        remove(spark, f"{path}/{_PENDING}/{name}")
+    found = _copy_batches(spark, path)
+    newest = max((_place(n)[0] for b in found.values() for n in b), default=0)
+    closed = lambda d: before is None or d.rsplit("window_date=", 1)[1] < before.isoformat()
+    taken = {d: [n for n in _counting(b) if _place(n)[0] < newest] for d, b in found.items() if closed(d)}
+    taken = {d: names for d, names in taken.items() if len(names) > 1}
+    if taken:
+        upto = f"{max(_place(n)[0] for names in taken.values() for n in names)}{_MERGED}"
+        pending = f"{path}/{_PENDING}/{upto}"
+        write_text(spark, pending, "")
+        stated = T.StructType([*METRIC_AGGREGATE.fields, T.StructField("window_date", T.DateType())])
+        rows = spark.read.schema(stated).option("basePath", path).parquet(*[found[d][n][0] for d, names in taken.items() for n in names])
+        (
+            rebalanced(rows.select(*_ROW, "window_date").withColumn("batch_id", F.lit(upto)), *_COPY)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*_COPY, "batch_id")
+            .parquet(path)
+        )
+        remove(spark, pending)
+    for batches in _copy_batches(spark, path).values():
+        first = _counting(batches)[0]
+        if first.endswith(_MERGED) and time.time() - batches[first][1] >= keep_seconds:
+            for name in list(batches)[: list(batches).index(first)]:
+                remove(spark, batches[name][0])
+    return len(taken)
+
+
 def fan_out(
     batch: DataFrame,
     batch_id: int,
@@ -112,17 +201,25 @@ def fan_out(
     """One micro-batch of aggregates to the keyed table, to the Parquet copy and, if named, to a database.
 
     All sinks are written from one staged table, so they agree also when a repeated
-    micro-batch would join a newer lookup.
+    micro-batch would join a newer lookup.  Each sink leaves a mark once it is written; a
+    micro-batch that is repeated because it stopped between two sinks goes on with those unmarked.
     """
     spark = batch.sparkSession
     rows = f"{stage_root}/rows={batch_id}"
     if not is_complete(spark, rows):
         batch.select(*_ROW).write.mode("overwrite").parquet(rows)
     staged = spark.read.schema(batch.select(*_ROW).schema).parquet(rows)
-    upsert_aggregates(staged, table, stage=f"{stage_root}/batch={batch_id}", partitions=partitions)
-    write_aggregates_parquet(staged, parquet, batch_id)
+    batch_stage = f"{stage_root}/batch={batch_id}"
+    sinks: dict[str, Callable[[], None]] = {
+        "table": lambda: upsert_aggregates(staged, table, stage=batch_stage, partitions=partitions),
+        "copy": lambda: write_aggregates_parquet(staged, parquet, batch_id),
+    }
     if jdbc:
-        upsert_aggregates_jdbc(staged, jdbc)
+        sinks["database"] = lambda: upsert_aggregates_jdbc(staged, jdbc)
+    for name, write in sinks.items():
+        if not exists(spark, f"{batch_stage}/{name}-written"):
+            write()
+            write_text(spark, f"{batch_stage}/{name}-written", "")
     # A running micro-batch means that the one before it is committed.
     for name in ("batch", "rows"):
         remove(spark, f"{stage_root}/{name}={batch_id - 1}")

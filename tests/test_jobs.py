@@ -5,7 +5,7 @@ from datetime import datetime
 import pytest
 
 from obslake.jobs import compact, config, external, logs, query, stream
-from obslake.sinks.aggregates import upsert_aggregates, write_aggregates_parquet
+from obslake.sinks.aggregates import read_aggregates_parquet, upsert_aggregates, write_aggregates_parquet
 from obslake.sources.files import read_external_table
 from obslake.sources.tables import read_aggregates
 from tests.test_serving import aggregates
@@ -92,3 +92,9 @@ def test_compaction_job(spark, tmp_path, capsys):
     compact.main([table, "--keep-seconds", "0"])
     assert "1 compacted" in capsys.readouterr().out
     assert [r.avg_value for r in read_aggregates(spark, table).collect()] == [2.0]
+    copy = config.paths(str(tmp_path))["aggregated"]
+    for batch in range(3):
+        write_aggregates_parquet(aggregates(spark, 1.0), copy, batch)
+    compact.main(["--lake", str(tmp_path), "--keep-seconds", "0"])
+    assert "1 merged" in capsys.readouterr().out
+    assert read_aggregates_parquet(spark, copy).count() == 3

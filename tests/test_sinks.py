@@ -219,6 +219,55 @@ def test_sinks_agree_after_a_repeat(spark, tmp_path):
     assert [r.service_name for r in read_aggregates(spark, table).collect()] == ["new"]
 
 
+def test_a_stop_between_two_sinks_repeats_neither(spark, tmp_path, monkeypatch):
+    table, copy, stage = (str(tmp_path / n) for n in ("table", "copy", "stage"))
+    calls = []
+    upsert, write = agg.upsert_aggregates, agg.write_aggregates_parquet
+    monkeypatch.setattr(agg, "upsert_aggregates", lambda *a, **k: (calls.append("table"), upsert(*a, **k)))
+    with monkeypatch.context() as m:
+        m.setattr(agg, "write_aggregates_parquet", lambda *a: (_ for _ in ()).throw(OSError("stopped")))
+        with pytest.raises(OSError):
+            agg.fan_out(aggregates(spark, 1.0), 7, table, copy, stage)
+    monkeypatch.setattr(agg, "write_aggregates_parquet", lambda *a: (calls.append("copy"), write(*a)))
+    agg.fan_out(aggregates(spark, 2.0), 7, table, copy, stage)
+    assert calls == ["table", "copy"]
+    agg.fan_out(aggregates(spark, 2.0), 7, table, copy, stage)
+    assert calls == ["table", "copy"]
+    # Both have what was staged first.
+    found = [[r.avg_value for r in df.collect()] for df in (read_aggregates(spark, table), agg.read_aggregates_parquet(spark, copy))]
+    assert found == [[1.0], [1.0]]
+
+
+def test_the_copy_reads_the_same_while_it_is_merged(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "c")
+    assert agg.read_aggregates_parquet(spark, path).count() == 0
+    for batch in range(12):
+        agg.write_aggregates_parquet(aggregates(spark, float(batch)), path, batch)
+    agg.write_aggregates_parquet(aggregates(spark, 100.0), path)
+    values = lambda: sorted(r.avg_value for r in agg.read_aggregates_parquet(spark, path).collect())
+    folders = lambda: sorted(d.name for d in Path(path).glob("*/*/batch_id=*"))
+    expected = [*map(float, range(12)), 100.0]
+    assert values() == expected
+    # A day that is not closed stays.
+    assert agg.merge_aggregates_parquet(spark, path, datetime(2024, 1, 15).date()) == 0
+    with monkeypatch.context() as m:
+        m.setattr(agg, "remove", lambda *a: (_ for _ in ()).throw(OSError("stopped")))
+        with pytest.raises(OSError):
+            agg.merge_aggregates_parquet(spark, path)
+    assert "batch_id=10m" in folders() and values() == expected
+    reader = agg.read_aggregates_parquet(spark, path)
+    assert agg.merge_aggregates_parquet(spark, path, datetime(2024, 1, 16).date()) == 1
+    # Replaced directories stay for readers that began before.
+    assert len(folders()) == 13 and values() == expected and reader.count() == 13
+    # A repeat of a merged micro-batch adds nothing, a later one does.
+    agg.write_aggregates_parquet(aggregates(spark, 3.0), path, 3)
+    agg.write_aggregates_parquet(aggregates(spark, 12.0), path, 12)
+    expected = sorted([*expected, 12.0])
+    assert values() == expected
+    assert agg.merge_aggregates_parquet(spark, path, keep_seconds=0) == 1
+    assert folders() == ["batch_id=11m", "batch_id=12"] and values() == expected
+
+
 def test_external_columns_may_change_their_type(spark, tmp_path):
     raw, out = str(tmp_path / "raw"), str(tmp_path / "out")
     schema = "source_api string, payload string, received_at long"
