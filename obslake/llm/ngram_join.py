@@ -28,7 +28,9 @@ ASKED_AT_ONCE = 2048
 
 _MOST = (1 << 31) - 1
 _ODD = U64(0x9FB21C651E98DF25)
-_SEED = U64(0x2545F4914F6CDD1D)
+# Keys of a set: this many, each of so many least hashes.
+KEYS, LEAST_HASHES = 3, 2
+_SEEDS = [mix(np.array([0x2545F4914F6CDD1D + k], dtype=U64))[0] for k in range(KEYS * LEAST_HASHES)]
 
 
 def shingle_sets(texts: list[bytes], n: int = WORDS) -> list[np.ndarray]:
@@ -66,6 +68,15 @@ def _sets(frame: pd.DataFrame, n: int) -> Iterator[tuple[int, np.ndarray]]:
         yield from enumerate(shingle_sets(texts, n), first)
 
 
+def _keys(tokens: np.ndarray) -> np.ndarray:
+    """Keys of a set; two sets agree in one of them the likelier, the more similar they are."""
+    least = np.array([mix(tokens ^ seed).min() for seed in _SEEDS], dtype=U64).reshape(KEYS, LEAST_HASHES)
+    keys = np.arange(1, KEYS + 1, dtype=U64)
+    for k in range(LEAST_HASHES):
+        keys = mix(keys * _ODD + least[:, k])
+    return keys
+
+
 def _count_tokens(n: int):
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts = np.zeros(COUNTERS, dtype=np.int32)
@@ -107,27 +118,27 @@ def token_counts(docs: DataFrame, n: int) -> np.ndarray:
 
 
 def _sketch(n: int, percent: int, shared):
-    """Per text: size and digest of its set, a key that similar sets have in common, and its prefix of rare tokens."""
+    """Per text: size and digest of its set, keys that similar sets have in common, and its prefix of rare tokens."""
 
     def sketch(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts = shared.value
         for frame in frames:
             sizes = np.zeros(len(frame), dtype=np.int64)
-            digests, keys, prefixes = np.zeros(len(frame), dtype=U64), np.zeros(len(frame), dtype=U64), [None] * len(frame)
+            digests, keys, prefixes = np.zeros(len(frame), dtype=U64), [None] * len(frame), [None] * len(frame)
             for i, tokens in _sets(frame, n):
                 size = sizes[i] = len(tokens)
                 if not size:
-                    prefixes[i] = np.zeros(0, dtype=np.int64)
+                    keys[i] = prefixes[i] = np.zeros(0, dtype=np.int64)
                     continue
                 mixed = mix(tokens)
                 digests[i] = mix(np.array([mixed.sum(dtype=U64) ^ U64(int(size))]))[0]
-                keys[i] = mix(tokens ^ _SEED).min()
+                keys[i] = _signed(_keys(tokens))
                 least = _least_shared(size, percent)
                 length = min(size, size - least + min(SHARED, least))
                 order = np.lexsort((tokens, counts[(tokens & U64(COUNTERS - 1)).astype(np.int64)]))
                 prefixes[i] = _signed(tokens[order[:length]])
             yield pd.DataFrame(
-                {"doc_id": frame["doc_id"], "n": sizes, "digest": _signed(digests), "key": _signed(keys), "tokens": prefixes}
+                {"doc_id": frame["doc_id"], "n": sizes, "digest": _signed(digests), "keys": keys, "tokens": prefixes}
             )
 
     return sketch
@@ -315,17 +326,24 @@ def _verify(n: int, percent: int):
 def _grouped(sketches: DataFrame) -> DataFrame:
     """A row per distinct set, with its least id, its number of rows and its group.
 
-    Sets with the same key are similar as a rule.  A key with many sets, or large ones, is dealt
-    over as many groups as keep each of them bounded.
+    Sets with the same key are similar as a rule.  Of its keys a set takes the one that most sets
+    have, so a cloud of near copies gathers in few groups instead of leaving one for each copy whose
+    changes touch a least hash.  A key with many sets, or large ones, is dealt over as many groups as
+    keep each of them bounded.
     """
     sets = sketches.where("n > 0 and doc_id is not null").groupBy("digest").agg(
         F.min("doc_id").alias("least"),
         F.count("*").alias("weight"),
         F.any_value("n").alias("n"),
-        F.any_value("key").alias("key"),
+        F.any_value("keys").alias("keys"),
         F.any_value("tokens").alias("tokens"),
     )
     sets = cut_lineage(sets)
+    keys = sets.select("digest", F.explode("keys").alias("key"))
+    shared = keys.groupBy("key").agg(F.count("*").alias("sets")).where("sets > 1")
+    most = keys.join(shared, "key").groupBy("digest").agg(F.max_by("key", F.struct("sets", "key")).alias("most"))
+    own = F.coalesce("most", F.element_at("keys", 1)).alias("key")
+    sets = cut_lineage(sets.join(most, "digest", "left").select("digest", "least", "weight", "n", "tokens", own))
     parts = F.greatest(F.ceil(F.count("*") / GROUP_MEMBERS), F.ceil(F.sum("n") / GROUP_TOKENS))
     full = sets.groupBy("key").agg(parts.alias("parts")).where("parts > 1")
     group = F.xxhash64("key", F.pmod(F.xxhash64("digest"), F.coalesce("parts", F.lit(1))))
@@ -384,8 +402,9 @@ def jaccard_components(docs: DataFrame, n: int = WORDS, percent: int = PERCENT)
     1. Tokens are counted in a fixed number of counters.  By (count, hash) all tokens have one
        order, in which a set's rare tokens come first.  Linked sets share tokens of their
        prefixes, whatever the order is; a good one makes others share none.
-    2. Copies are folded into one set.  Sets with the same least hash of a token form a group of
-       at most about 128.  The matrix holds the tokens of each group's prefixes, once.
+    2. Copies are folded into one set.  Sets with the same pair of least hashes form a group of
+       at most about 128; of three such pairs a set goes by the one most sets have.  The matrix
+       holds the tokens of each group's prefixes, once.
     3. Groups that share enough of the matrix are paired.  In a task, the members of a group are
        indexed by token; a set that overlaps with the union of their tokens by less than the
        threshold asks is turned away, and else its overlap with each member is counted.
@@ -403,7 +422,7 @@ def jaccard_components(docs: DataFrame, n: int = WORDS, percent: int = PERCENT)
     texts = docs.select("doc_id", "text")
     counts = spark.sparkContext.broadcast(token_counts(texts, n))
     sketches = cut_lineage(
-        texts.mapInPandas(_sketch(n, percent, counts), "doc_id long, n long, digest long, key long, tokens array<bigint>")
+        texts.mapInPandas(_sketch(n, percent, counts), "doc_id long, n long, digest long, keys array<bigint>, tokens array<bigint>")
     )
     counts.destroy()
     sets = _grouped(sketches)
