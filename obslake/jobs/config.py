@@ -41,6 +41,7 @@ def paths(lake: str) -> dict[str, str]:
         "ingest_rejects": f"{root}/ingest/rejects",
         "table": f"{root}/metric_aggregates",
         "aggregated": f"{root}/aggregated",
+        "rolled_up": f"{root}/metric_aggregates_rolled_up",
         "snapshot": f"{root}/service_metadata_snapshot",
         "metadata": f"{root}/service_metadata",
         "checkpoints": f"{root}/checkpoints",

@@ -18,7 +18,7 @@ def answer(spark: SparkSession, args) -> DataFrame:
     where = paths(args.lake)
     if args.what == "files":
         return list_data_files(spark, where["aggregated"], args.prefix).select("name")
-    table = read_aggregates(spark, args.source or where["table"], properties=jdbc_properties())
+    table = read_aggregates(spark, args.source or where["table"], properties=jdbc_properties(), between=(args.frm, args.to))
     find = query_aggregates if args.what == "aggregates" else query_series
     return find(table, args.metric, args.service, args.frm, args.to)
 

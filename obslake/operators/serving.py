@@ -12,7 +12,8 @@ RESULT_COLUMNS = [
 ]
 
 
-def _utc(t: datetime) -> datetime:
+def utc(t: datetime) -> datetime:
+    """The instant in UTC; a time without a zone is UTC."""
     return t.replace(tzinfo=timezone.utc) if t.tzinfo is None else t.astimezone(timezone.utc)
 
 
@@ -20,12 +21,12 @@ def check_time_range(frm: datetime | None, to: datetime | None) -> None:
     """Both ends are given and the first lies strictly before the second."""
     if frm is None or to is None:
         raise ValueError("'from' and 'to' must not be null")
-    if not _utc(frm) < _utc(to):
+    if not utc(frm) < utc(to):
         raise ValueError(f"'from' ({frm}) must be strictly before 'to' ({to})")
 
 
 def _instant(t: datetime):
-    micros = (_utc(t) - datetime(1970, 1, 1, tzinfo=timezone.utc)) // timedelta(microseconds=1)
+    micros = (utc(t) - datetime(1970, 1, 1, tzinfo=timezone.utc)) // timedelta(microseconds=1)
     return F.timestamp_micros(F.lit(micros))
 
 
@@ -39,12 +40,12 @@ def _in_range(df: DataFrame, metric: str, service: str, frm: datetime, to: datet
     )
     if "window_date" in df.columns:
         # Implied by the filter above; stated so that the scan skips other days.
-        out = out.filter(F.col("window_date").between(_utc(frm).date(), _utc(to).date()))
+        out = out.filter(F.col("window_date").between(utc(frm).date(), utc(to).date()))
     if "window_hour" in df.columns:
         # Hours outside the range on its first and last day; a table by date has none.
         day, hour = F.col("window_date"), F.coalesce("window_hour", F.lit(-1))
-        out = out.filter((hour < 0) | (day > _utc(frm).date()) | (hour >= _utc(frm).hour))
-        out = out.filter((hour < 0) | (day < _utc(to).date()) | (hour <= _utc(to).hour))
+        out = out.filter((hour < 0) | (day > utc(frm).date()) | (hour >= utc(frm).hour))
+        out = out.filter((hour < 0) | (day < utc(to).date()) | (hour <= utc(to).hour))
     return out
 
 

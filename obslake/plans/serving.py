@@ -6,12 +6,13 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from obslake.jobs import rollup
 from obslake.operators.serving import query_aggregates, query_series
 from obslake.operators.windows import window_aggregate
 from obslake.plans import metrics as _metrics  # noqa: F401  (defines the window views)
 from obslake.plans import views
 from obslake.plans.compose import enriched_windows
-from obslake.plans.registry import MINUTE, aggregate_output, aggregate_output_sql, aggregate_sql, query
+from obslake.plans.registry import HOUR, MINUTE, aggregate_output, aggregate_output_sql, aggregate_sql, query
 from obslake.plans.views import SQL, with_sql
 from obslake.session import new_shared_path
 from obslake.sinks.aggregates import compact_aggregates, upsert_aggregates, write_aggregates_parquet
@@ -64,7 +65,7 @@ def range_series_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A series from the partitioned table."""
     path = new_shared_path(spark, "aggregates")
     upsert_aggregates(window_aggregate(views.metrics(spark, sf_dir)), path)
-    return _points(query_series(read_aggregates(spark, path), *VIEWS))
+    return _points(query_series(read_aggregates(spark, path, between=VIEWS[2:]), *VIEWS))
 
 
 SQL["large_1m"] = aggregate_sql("(SELECT * FROM metrics WHERE value > 100)", MINUTE)
@@ -98,6 +99,50 @@ def compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregate_output(read_aggregates(spark, path))
 
 
+_RANGE = ("view", "svc-7", datetime(2024, 1, 5, 22, 30), datetime(2024, 1, 24, 3, 15))
+
+
+@query("query_aggregates_stored", _UPSERTED + f" {_where(*_RANGE)}")
+def range_aggregates_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A range that begins and ends within a day, from a table of several versions, some of them compacted."""
+    path = new_shared_path(spark, "ranged")
+    rows = views.metrics(spark, sf_dir)
+    upsert_aggregates(window_aggregate(rows), path)
+    compact_aggregates(spark, path, keep_seconds=0)
+    upsert_aggregates(window_aggregate(rows.filter("value > 100")), path)
+    table = read_aggregates(spark, path, between=_RANGE[2:])
+    # The sum is not part of an answer; it is average times count.
+    found = query_aggregates(table, *_RANGE).withColumn("sum_value", F.col("avg_value") * F.col("count_value"))
+    return aggregate_output(found)
+
+
+# The roll-up runs over the whole table, then again over some days whose minutes were replaced.
+_AGAIN = (datetime(2024, 1, 10), datetime(2024, 1, 20))
+_AGAIN_SQL = f"window_start_ms >= epoch_ms(TIMESTAMP '{_AGAIN[0]}') AND window_end_ms <= epoch_ms(TIMESTAMP '{_AGAIN[1]}')"
+SQL["minutes_now"] = f"""
+SELECT * FROM windows_1m WHERE NOT ({_AGAIN_SQL})
+UNION ALL SELECT * FROM large_1m WHERE {_AGAIN_SQL}
+UNION ALL SELECT * FROM windows_1m a WHERE {_AGAIN_SQL} AND NOT EXISTS (SELECT 1 FROM large_1m b
+  WHERE a.metric_name = b.metric_name AND a.service_id = b.service_id AND a.window_start_ms = b.window_start_ms)"""
+SQL["rolled_1h"] = f"""
+SELECT metric_name, service_id, sum(sum_value) AS sum_value, min(min_value) AS min_value, max(max_value) AS max_value,
+       CAST(sum(count_value) AS BIGINT) AS count_value, sum(sum_value) / sum(count_value) AS avg_value,
+       window_start_ms // {HOUR} * {HOUR} AS window_start_ms, window_start_ms // {HOUR} * {HOUR} + {HOUR} AS window_end_ms
+FROM minutes_now GROUP BY 1, 2, 8, 9"""
+
+
+@query("rollup_stored", with_sql("metrics", "windows_1m", "large_1m", "minutes_now", "rolled_1h", body=aggregate_output_sql("rolled_1h")))
+def rollup_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored minutes rolled up to a stored table of hours, which a second run brings up to date in part."""
+    minutes, hours = new_shared_path(spark, "minutes"), new_shared_path(spark, "hours")
+    rows = views.metrics(spark, sf_dir)
+    upsert_aggregates(window_aggregate(rows), minutes)
+    rollup.run(spark, minutes, hours, datetime(2024, 1, 1), datetime(2025, 1, 1))
+    upsert_aggregates(window_aggregate(rows.filter("value > 100")), minutes)
+    rollup.run(spark, minutes, hours, *_AGAIN)
+    return aggregate_output(read_aggregates(spark, hours))
+
+
 def _copied(spark: SparkSession, sf_dir: str) -> str:
     path = new_shared_path(spark, "copy")
     rows = enriched_windows(

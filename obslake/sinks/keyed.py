@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import time
 from collections import defaultdict
+from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -20,6 +22,7 @@ from obslake.sinks.paths import child_names, exists, matching, read_text, remove
 VERSION = "version"
 _PENDING = "_pending"
 _COMPACTED = "c"
+_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 # A version goes this long after compaction replaced it: longer than any reader may take.
 KEEP_SECONDS = 6 * 3600.0
 
@@ -43,12 +46,17 @@ def publish(rows: DataFrame, table: str, partitions: tuple[str, ...], key: list[
     # Measured and then dealt by directory: a batch may touch many hours, each with few rows.
     rows = cut_lineage(rows)
     size = sum((F.coalesce(F.octet_length(f.name), F.lit(0)) if isinstance(f.dataType, T.StringType) else F.lit(8) for f in rows.schema.fields), F.lit(0))
+    # A key is looked up by name: Bloom filters tell which row groups lack it where there are too many
+    # names for a dictionary, which tells the same of few.  Their size follows the number of names.
+    named = [c for c in key if isinstance(rows.schema[c].dataType, T.StringType)]
+    lookup = {f"parquet.bloom.filter.enabled#{c}": "true" for c in named}
     writer = (
         clustered(rows, list(partitions), size)
         .sortWithinPartitions(*partitions, *key)
         .withColumn(VERSION, F.lit(version))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .options(**lookup, **{"parquet.bloom.filter.adaptive.enabled": "true"})
     )
     writer.partitionBy(*partitions, VERSION).parquet(table)
     remove(spark, pending)
@@ -66,9 +74,44 @@ def _newest(rows: DataFrame, schema: T.StructType, partitions: list[str], key: l
     return rows.groupBy(*partitions, *key).agg(*last).select(*schema.names, *partitions)
 
 
-def read_keyed(spark: SparkSession, table: str, schema: T.StructType, partitions: T.StructType, key: list[str], *folders: str) -> DataFrame:
-    """One row per key, with the partition columns; ``folders`` of the table restrict what is read."""
+def folders_between(spark: SparkSession, table: str, levels: Sequence[str], first: Sequence | None, last: Sequence | None) -> list[str]:
+    """The folders that hold all directories of a table from ``first`` to ``last``, both included.
+
+    The bounds have a value (a date or an integer) for each of ``levels``, outermost first; None is no
+    bound.  Only folders at either end are opened, so a range of many days lists the days and the
+    hours of two of them.  One that is not divided further is taken whole.
+    """
+    column, inner = levels[0], levels[1:]
+    found = []
+    for name in child_names(spark, table):
+        text = name.removeprefix(f"{column}=")
+        if text in (name, _NO_VALUE):
+            continue
+        value = int(text) if text.lstrip("-").isdigit() else date.fromisoformat(text)
+        if (first and value < first[0]) or (last and value > last[0]):
+            continue
+        folder = f"{table}/{name}"
+        low = first[1:] if first and value == first[0] else None
+        high = last[1:] if last and value == last[0] else None
+        if inner and (low or high) and any(n.startswith(f"{inner[0]}=") for n in child_names(spark, folder)):
+            found += folders_between(spark, folder, inner, low, high)
+        else:
+            found.append(folder)
+    return found
+
+
+def read_keyed(
+    spark: SparkSession,
+    table: str,
+    schema: T.StructType,
+    partitions: T.StructType,
+    key: list[str],
+    folders: Sequence[str] | None = None,
+) -> DataFrame:
+    """One row per key, with the partition columns; only what is in ``folders`` of the table, if given."""
     stated = T.StructType([*schema.fields, *partitions.fields, T.StructField(VERSION, T.StringType())])
+    if folders is not None and not folders:
+        return _newest(spark.createDataFrame([], stated), schema, partitions.names, key)
     rows = spark.read.schema(stated).option("basePath", table).parquet(*(folders or [table]))
     pending = child_names(spark, f"{table}/{_PENDING}")
     if pending:
@@ -117,7 +160,7 @@ def compact(
     crowded = {f: names for f, names in live.items() if len(names) > 1}
     if crowded:
         upto = max(n.removesuffix(_COMPACTED) for names in crowded.values() for n in names)
-        rows = read_keyed(spark, table, schema, partitions, key, *sorted(crowded))
+        rows = read_keyed(spark, table, schema, partitions, key, sorted(crowded))
         publish(rows.select(*schema.names, *levels), table, levels, key, upto + _COMPACTED)
     for folder, names in _versions(spark, table, list(levels)).items():
         first = min(_live(names))

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
+from obslake.operators.serving import check_time_range, utc
 from obslake.schemas import AGGREGATE_KEY, METRIC_AGGREGATE, SERVICE_METADATA, WINDOW_PARTITIONS
-from obslake.sinks.keyed import read_keyed
+from obslake.sinks.keyed import folders_between, read_keyed
 
 # The first rows of a new metadata table.
 SEED_METADATA = [
@@ -39,11 +41,19 @@ def read_aggregates(
     src: str,
     predicates: Sequence[str] | None = None,
     properties: dict | None = None,
+    between: tuple[datetime, datetime] | None = None,
 ) -> DataFrame:
     """The aggregate table; ``predicates`` split a JDBC read into parallel range scans.
 
-    A Parquet table has the last version of each row, and the columns of its directories.
+    A Parquet table has the last version of each row, and the columns of its directories.  With
+    ``between`` only the directories of windows that begin in that range are listed and read; the rows of
+    the hours at its ends are all there, so a time-range query has to follow.
     """
     if src.startswith("jdbc:"):
         return _read_jdbc(spark, src, "metric_aggregates", predicates, properties)
-    return read_keyed(spark, src, METRIC_AGGREGATE, WINDOW_PARTITIONS, AGGREGATE_KEY)
+    folders = None
+    if between:
+        check_time_range(*between)
+        ends = [(t.date(), t.hour) for t in map(utc, between)]
+        folders = folders_between(spark, src, WINDOW_PARTITIONS.names, *ends)
+    return read_keyed(spark, src, METRIC_AGGREGATE, WINDOW_PARTITIONS, AGGREGATE_KEY, folders)

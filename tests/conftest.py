@@ -38,3 +38,23 @@ def sf_dir():
 
 def plan_of(df) -> str:
     return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+
+
+def scanned(df) -> dict[str, int]:
+    """Files and rows that the scans of a collected DataFrame have read."""
+    totals = {"numFiles": 0, "numOutputRows": 0}
+
+    def visit(node):
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            return visit(node.executedPlan())
+        if name.endswith("QueryStageExec"):
+            return visit(node.plan())
+        if name == "FileSourceScanExec":
+            for key in totals:
+                totals[key] += node.metrics().apply(key).value()
+        for i in range(node.children().size()):
+            visit(node.children().apply(i))
+
+    visit(df._jdf.queryExecution().executedPlan())
+    return totals

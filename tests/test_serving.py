@@ -7,7 +7,8 @@ from obslake.operators.serving import check_time_range, query_aggregates, query_
 from obslake.schemas import METRIC_AGGREGATE
 from obslake.sinks.aggregates import upsert_aggregates
 from obslake.sources.tables import read_aggregates
-from tests.conftest import plan_of
+from obslake.sinks.keyed import folders_between
+from tests.conftest import plan_of, scanned
 
 AT = datetime(2024, 1, 15, 10, 0, tzinfo=timezone.utc)
 MINUTE = timedelta(minutes=1)
@@ -60,3 +61,63 @@ def test_stored_query_prunes_and_pushes_down(spark, tmp_path):
     assert "EqualTo(metric_name,cpu.usage)" in pushed and "GreaterThanOrEqual(window_start" in pushed
     schema = plan.split("ReadSchema")[1].split("\n")[0]
     assert "min_value" not in schema and "avg_value" in schema
+
+
+def test_range_read_opens_only_its_hours(spark, tmp_path):
+    table, levels = str(tmp_path / "t"), ["window_date", "window_hour"]
+    # A row an hour over three days, in two versions.
+    rows = aggregates(spark, *range(72)).withColumn("h", F.col("avg_value").cast("int"))
+    start = F.timestamp_add("HOUR", F.col("h"), F.lit(datetime(2024, 1, 15)).cast("timestamp"))
+    hourly = rows.withColumn("window_start", start).withColumn("window_end", F.timestamp_add("MINUTE", F.lit(1), start)).drop("h")
+    upsert_aggregates(hourly, table)
+    upsert_aggregates(hourly.withColumn("avg_value", F.col("avg_value") + 100), table)
+    frm, to = datetime(2024, 1, 15, 22, 30), datetime(2024, 1, 17, 1, 5)
+    folders = folders_between(spark, table, levels, (frm.date(), frm.hour), (to.date(), to.hour))
+    names = [f.removeprefix(f"{table}/") for f in folders]
+    day = "window_date=2024-01-1"
+    assert sorted(names) == [f"{day}5/window_hour=22", f"{day}5/window_hour=23", f"{day}6", f"{day}7/window_hour=0", f"{day}7/window_hour=1"]
+    found = query_series(read_aggregates(spark, table, between=(frm, to)), "cpu.usage", "svc-api", frm, to)
+    assert [r.value for r in found.collect()] == [float(v) for v in range(123, 150)]
+    assert scanned(found) == {"numFiles": 56, "numOutputRows": 56}
+    whole = query_series(read_aggregates(spark, table), "cpu.usage", "svc-api", frm, to)
+    assert whole.collect() == found.collect()
+    # Another year, an unknown hour, and a table that is kept by date alone.
+    later = (datetime(2030, 1, 1), datetime(2030, 1, 2))
+    assert query_aggregates(read_aggregates(spark, table, between=later), "cpu.usage", "svc-api", *later).count() == 0
+    by_date = str(tmp_path / "d")
+    upsert_aggregates(hourly, by_date, partitions=("window_date",))
+    assert [f.removeprefix(f"{by_date}/") for f in folders_between(spark, by_date, levels, (frm.date(), 22), (frm.date(), 23))] == [f"{day}5"]
+    found = query_series(read_aggregates(spark, by_date, between=(frm, to)), "cpu.usage", "svc-api", frm, to)
+    assert [r.value for r in found.collect()] == [float(v) for v in range(23, 50)]
+
+
+def test_lookup_of_a_name_skips_row_groups(spark, tmp_path):
+    table, n = str(tmp_path / "t"), 60_000
+    # Too many names for a dictionary, in every metric, so least and greatest name tell nothing.
+    name = F.concat(F.lit("svc-"), F.sha2(F.col("id").cast("string"), 256))
+    many = spark.range(2 * n).select(
+        F.when(F.col("id") % 2 == 0, "cpu").otherwise("mem").alias("metric_name"), name.alias("service_id"),
+        F.lit("A").alias("service_name"), F.lit("e").alias("environment"), *[F.lit(1.0).alias(f"{c}_value") for c in ("sum", "min", "max")],
+        F.lit(1).cast("long").alias("count_value"), F.lit(1.0).alias("avg_value"),
+        F.lit(AT).cast("timestamp").alias("window_start"), F.lit(AT + MINUTE).cast("timestamp").alias("window_end"),
+    )
+    upsert_aggregates(many, table)
+    hadoop = spark._jsc.hadoopConfiguration()
+    (path,) = [str(p) for p in (tmp_path / "t").rglob("*.parquet")]
+    parquet = spark._jvm.org.apache.parquet.hadoop
+    source = parquet.util.HadoopInputFile.fromPath(spark._jvm.org.apache.hadoop.fs.Path(path), hadoop)
+    reader = parquet.ParquetFileReader.open(source)
+    columns = {c.getPath().toDotString(): c for b in reader.getFooter().getBlocks() for c in b.getColumns()}
+    reader.close()
+    assert columns["service_id"].getBloomFilterOffset() > 0
+    # Few names are told by their dictionary, numbers are not looked up.
+    assert columns["metric_name"].getBloomFilterOffset() < 0 and columns["avg_value"].getBloomFilterOffset() < 0
+    assert columns["service_id"].getBloomFilterLength() < 1_048_576
+    between = (AT, AT + MINUTE)
+    ask = lambda metric, service: query_series(read_aggregates(spark, table, between=between), metric, service, *between)
+    known = many.where("metric_name = 'cpu'").first().service_id
+    for metric, service, rows in (("cpu", known, 1), ("cpu", known[:-1] + "_", 0), ("disk", known, 0)):
+        found = ask(metric, service)
+        assert len(found.collect()) == rows
+        # A hit reads the pages around its row, a miss none.
+        assert scanned(found)["numOutputRows"] < (n / 2 if rows else 1)
