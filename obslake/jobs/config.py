@@ -38,6 +38,8 @@ def paths(lake: str) -> dict[str, str]:
         "external": f"{root}/external/parquet",
         "external_rejects": f"{root}/external/rejects",
         "rejects": f"{root}/structured/rejects",
+        "normalized_rejects": f"{root}/normalized/rejects",
+        "cdc_rejects": f"{root}/cdc/rejects",
         "ingest_rejects": f"{root}/ingest/rejects",
         "table": f"{root}/metric_aggregates",
         "aggregated": f"{root}/aggregated",

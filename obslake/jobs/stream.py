@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from obslake.jobs.config import TOPICS, env, jdbc_properties, parser, paths
-from obslake.operators.ingest import decode_cdc
+from obslake.operators.ingest import decode_cdc, split_cdc, split_normalized
 from obslake.session import build_session
 from obslake.sinks.aggregates import JdbcTarget
 from obslake.sinks.topics import print_user_events
@@ -62,15 +62,25 @@ def start(
         ),
         "structured": lambda c: flows.start_structured(topic("structured"), lookup, normalized, c, where["rejects"], trigger),
         "log-metrics": lambda c: flows.start_log_metrics(topic("logs"), lookup, normalized, c, trigger),
-        "snapshot": lambda c: start_cdc_snapshot(
-            decode_cdc(topic("cdc").select("value", "partition", "offset")),
-            where["snapshot"], c, ["offset"], trigger,
-        ),
-        "aggregates": lambda c: flows.start_aggregates(
-            flows.normalized_stream(topic("normalized")), where["table"], where["aggregated"], c,
-            snapshot=lambda: latest_snapshot(spark, where["snapshot"]), order_by=("offset",), trigger=trigger,
-            jdbc=database,
-        ),
+        "snapshot": lambda c: [
+            start_cdc_snapshot(
+                decode_cdc(topic("cdc").select("value", "partition", "offset")),
+                where["snapshot"], c, ["offset"], trigger,
+            ),
+            flows.start_rejects(
+                flows.rejected_texts(topic("cdc"), split_cdc), where["cdc_rejects"], f"{c}-rejects", trigger
+            ),
+        ],
+        "aggregates": lambda c: [
+            flows.start_aggregates(
+                flows.normalized_stream(topic("normalized")), where["table"], where["aggregated"], c,
+                snapshot=lambda: latest_snapshot(spark, where["snapshot"]), order_by=("offset",), trigger=trigger,
+                jdbc=database,
+            ),
+            flows.start_rejects(
+                flows.rejected_texts(topic("normalized"), split_normalized), where["normalized_rejects"], f"{c}-rejects", trigger
+            ),
+        ],
         "log-archive": lambda c: flows.start_log_archive(topic("logs"), where["logs_raw"], c, trigger),
         "user-events": lambda c: print_user_events(
             read_user_events(

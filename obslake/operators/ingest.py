@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from obslake.functions.once import evaluated_once
-from obslake.functions.text import fails_not_blank, trim_control
+from obslake.functions.text import fails_not_blank, is_blank, trim_control
 from obslake.functions.times import epoch_seconds, wire_timestamp
 from obslake.schemas import CDC_FIELDS, METADATA_FIELDS, METRIC_EVENT_FIELDS, NORMALIZED_FIELDS
 
@@ -125,30 +125,60 @@ def decode_metric_events(df: DataFrame, value: str = "value") -> tuple[DataFrame
     return good.drop("raw_value"), bad
 
 
-def decode_normalized(df: DataFrame, value: str = "value") -> DataFrame:
-    """JSON text to normalized metrics; malformed rows and rows without ``timestampMs`` are dropped."""
+def flag_normalized(df: DataFrame, value: str = "value") -> DataFrame:
+    """Decode JSON text to normalized metrics, keeping the text and a ``reject_reason``.
+
+    A missing value counts as 0.0; ``timestampMs`` must be there.  Other columns of ``df`` are carried along.
+    """
     carried = [F.col(c) for c in df.columns if c != value and c not in NORMALIZED_FIELDS.values()]
-    parsed = df.select(*carried, evaluated_once(F.from_json(F.col(value), _NORMALIZED_WIRE, _PERMISSIVE)).alias("_m"))
+    parsed = df.select(
+        *carried,
+        F.col(value).alias("raw_value"),
+        evaluated_once(F.from_json(F.col(value), _NORMALIZED_WIRE, _PERMISSIVE)).alias("_m"),
+    )
     m = F.col("_m")
     ms = m["timestampMs"].try_cast("bigint")
     columns = {dest: m[src] for src, dest in NORMALIZED_FIELDS.items() if src != "timestamp"}
     columns["value"] = _wire_double(m["value"])
     columns["timestamp_ms"] = ms
-    out = parsed.filter(m.isNotNull() & m["_malformed"].isNull()).select(
+    malformed = m.isNull() | m["_malformed"].isNotNull()
+    problem = reasons(
+        (malformed, "malformed JSON"),
+        (~malformed & columns["value"].isNull(), "value is not a number"),
+        (~malformed & ms.isNull(), "timestampMs is missing or not an integer"),
+    )
+    return parsed.select(
         *carried,
+        "raw_value",
         *[c.alias(n) for n, c in columns.items()],
         F.timestamp_millis(ms).alias("timestamp"),
+        problem.alias("reject_reason"),
     )
-    return out.filter(F.col("value").isNotNull() & F.col("timestamp_ms").isNotNull())
 
 
-def decode_cdc(df: DataFrame, value: str = "value") -> DataFrame:
-    """JSON text to change events; both the flat row and the before/after envelope are read.
+def split_normalized(df: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
+    """``(metrics, rejected)`` from JSON text."""
+    good, bad = split_rejects(flag_normalized(df, value))
+    return good.drop("raw_value"), bad
+
+
+def decode_normalized(df: DataFrame, value: str = "value") -> DataFrame:
+    """JSON text to normalized metrics; rejected rows are dropped."""
+    return split_normalized(df, value)[0]
+
 
-    Malformed rows and tombstones (null text) are dropped.
+def flag_cdc(df: DataFrame, value: str = "value") -> DataFrame:
+    """Decode JSON text to change events, keeping the text and a ``reject_reason``.
+
+    Both the flat row and the before/after envelope are read.  A tombstone (null text) is no change and
+    has no row; malformed text is rejected, and so is a change that names no service, which nothing could join.
     """
     carried = [F.col(c) for c in df.columns if c != value and c not in CDC_FIELDS.values()]
-    parsed = df.select(*carried, evaluated_once(F.from_json(F.col(value), _CDC_WIRE, _PERMISSIVE)).alias("_c"))
+    parsed = df.filter(F.col(value).isNotNull()).select(
+        *carried,
+        F.col(value).alias("raw_value"),
+        evaluated_once(F.from_json(F.col(value), _CDC_WIRE, _PERMISSIVE)).alias("_c"),
+    )
     c = F.col("_c")
     op = F.coalesce(c["op"], c["payload"]["op"])
     before = F.coalesce(c["before"], c["payload"]["before"])
@@ -157,11 +187,27 @@ def decode_cdc(df: DataFrame, value: str = "value") -> DataFrame:
     fields = {"service_id": F.coalesce(c["serviceId"], row["service_id"])}
     for wire, name in METADATA_FIELDS.items():
         fields[name] = F.coalesce(c[wire], row[name])
-    return parsed.filter(c.isNotNull() & c["_malformed"].isNull()).select(
-        *carried, op.alias("op"), *[v.alias(n) for n, v in fields.items()]
+    malformed = c.isNull() | c["_malformed"].isNotNull()
+    problem = reasons(
+        (malformed, "malformed JSON"),
+        (~malformed & is_blank(fields["service_id"]), "serviceId must not be blank"),
+    )
+    return parsed.select(
+        *carried, "raw_value", op.alias("op"), *[v.alias(n) for n, v in fields.items()], problem.alias("reject_reason")
     )
 
 
+def split_cdc(df: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
+    """``(changes, rejected)`` from JSON text."""
+    good, bad = split_rejects(flag_cdc(df, value))
+    return good.drop("raw_value"), bad
+
+
+def decode_cdc(df: DataFrame, value: str = "value") -> DataFrame:
+    """JSON text to change events; rejected rows are dropped."""
+    return split_cdc(df, value)[0]
+
+
 # --- batches ----------------------------------------------------------------------
 
 

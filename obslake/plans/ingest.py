@@ -141,6 +141,44 @@ def encode_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.decode_normalized(topic).select("key", "metric_name", "value", "timestamp_ms", "team")
 
 
+# In turn: the change itself, no JSON, a blank service, a tombstone.  Metrics: itself, no JSON, no time, no number.
+def _message(service: str, more: str = "''") -> str:
+    """SQL for a JSON object; ``more`` is SQL for the text of further fields."""
+    return f"""'{{"metricName":"m' || event_id || '","serviceId":"{service}","op":"u"' || {more} || '}}'"""
+
+
+def _spoilt_sql(*kinds: str) -> str:
+    return "CASE event_id % 4 " + " ".join(f"WHEN {n} THEN {text}" for n, text in enumerate(kinds)) + " END"
+
+
+_CUT = """'{"op":"u",' || event_id"""
+_AT = """',"timestampMs":' || event_id"""
+_NO_NUMBER = """',"value":"x","timestampMs":' || event_id"""
+_NORMALIZED_TEXT = _spoilt_sql(_message("s", _AT), _CUT, _message("s"), _message("s", _NO_NUMBER))
+_CDC_TEXT = _spoilt_sql(_message("s"), _CUT, _message(" "))
+
+
+def _spoilt(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
+    """The events as texts of which three in four are not what their reader takes."""
+    return views.table(spark, sf_dir, "events").select("event_id", F.expr(text).alias("value"))
+
+
+@query("normalized_rejects", f"""
+SELECT event_id, {_NORMALIZED_TEXT} AS raw_value, CASE event_id % 4 WHEN 1 THEN 'malformed JSON'
+         WHEN 2 THEN 'timestampMs is missing or not an integer' ELSE 'value is not a number' END AS reject_reason
+FROM events WHERE event_id % 4 > 0""")
+def normalized_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ingest.split_normalized(_spoilt(spark, sf_dir, _NORMALIZED_TEXT))[1].select("event_id", "raw_value", "reject_reason")
+
+
+@query("cdc_rejects", f"""
+SELECT event_id, {_CDC_TEXT} AS raw_value,
+       CASE event_id % 4 WHEN 1 THEN 'malformed JSON' ELSE 'serviceId must not be blank' END AS reject_reason
+FROM events WHERE event_id % 4 IN (1, 2)""")
+def cdc_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ingest.split_cdc(_spoilt(spark, sf_dir, _CDC_TEXT))[1].select("event_id", "raw_value", "reject_reason")
+
+
 _USER_OK = "trim(event_type, ' ' || chr(9)) <> '' AND service_id IS NOT NULL"
 
 

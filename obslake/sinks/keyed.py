@@ -46,10 +46,10 @@ def publish(rows: DataFrame, table: str, partitions: tuple[str, ...], key: list[
     # Measured and then dealt by directory: a batch may touch many hours, each with few rows.
     rows = cut_lineage(rows)
     size = sum((F.coalesce(F.octet_length(f.name), F.lit(0)) if isinstance(f.dataType, T.StringType) else F.lit(8) for f in rows.schema.fields), F.lit(0))
-    # A key is looked up by name: Bloom filters tell which row groups lack it where there are too many
-    # names for a dictionary, which tells the same of few.  Their size follows the number of names.
+    # A key is looked up by name: Bloom filters tell which row groups lack it where a dictionary does not
+    # pay.  Each takes the smallest of several sizes that holds its names, from about 1 KB to 1 MB.
     named = [c for c in key if isinstance(rows.schema[c].dataType, T.StringType)]
-    lookup = {f"parquet.bloom.filter.enabled#{c}": "true" for c in named}
+    lookup = {f"parquet.bloom.filter.{o}#{c}": v for c in named for o, v in (("enabled", "true"), ("candidates.number", "12"))}
     writer = (
         clustered(rows, list(partitions), size)
         .sortWithinPartitions(*partitions, *key)

@@ -169,11 +169,21 @@ def start_external_landing(topic: DataFrame, path: str, checkpoint: str, rejects
     if rejects is None:
         return [land_external(records, path, checkpoint, trigger)]
     good, bad = split_rejects(flag_external(records))
-    bad_query = (
-        bad.writeStream.format("json")
-        .option("path", rejects)
-        .option("checkpointLocation", f"{checkpoint}-rejects")
+    return [land_external(good, path, checkpoint, trigger), start_rejects(bad, rejects, f"{checkpoint}-rejects", trigger)]
+
+
+def start_rejects(rejected: DataFrame, path: str, checkpoint: str, trigger: dict | None = None):
+    """Rejected rows as JSON lines, in a query of its own: it may lag or stop without holding up the good rows."""
+    return (
+        rejected.writeStream.format("json")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "5 minutes"}))
         .start()
     )
-    return [land_external(good, path, checkpoint, trigger), bad_query]
+
+
+def rejected_texts(topic: DataFrame, split: Callable[[DataFrame], tuple[DataFrame, DataFrame]]) -> DataFrame:
+    """Text of a topic that ``split`` rejects, with the reason and, where the broker gives it, its place."""
+    place = [c for c in ("partition", "offset") if c in topic.columns]
+    return split(topic.select("value", *place))[1].select(*place, "raw_value", "reject_reason")

@@ -127,3 +127,24 @@ def test_decode_normalized(spark):
     assert set(rows) == {0, 1}
     assert rows[0].timestamp_ms == MS and rows[0].service_name == "N" and rows[1].value == 0.0
     assert set(NORMALIZED_FIELDS.values()) <= set(ingest.decode_normalized(df).columns)
+
+
+def test_rejects_of_normalized_metrics(spark):
+    base = {"metricName": "m", "value": 1, "serviceId": "s", "timestampMs": MS}
+    late = {k: v for k, v in base.items() if k != "timestampMs"}
+    good, bad = ingest.split_normalized(texts(spark, base, "junk", late, {**base, "value": "no"}, {**late, "value": "no"}, None))
+    assert [r.n for r in good.collect()] == [0] and "raw_value" not in good.columns
+    reasons = {r.n: r.reject_reason for r in bad.collect()}
+    number, time = "value is not a number", "timestampMs is missing or not an integer"
+    assert reasons == {1: "malformed JSON", 2: time, 3: number, 4: f"{number}; {time}", 5: "malformed JSON"}
+    assert {r.raw_value for r in bad.collect() if r.n in (1, 5)} == {"junk", None}
+
+
+def test_rejects_of_changes(spark):
+    row = {"op": "u", "serviceId": "s", "serviceName": "N"}
+    envelope = {"op": "d", "before": {"service_id": None, "service_name": "N"}}
+    good, bad = ingest.split_cdc(texts(spark, row, "{cut", {**row, "serviceId": " "}, envelope, None))
+    assert [r.service_id for r in good.collect()] == ["s"] and "raw_value" not in good.columns
+    blank = "serviceId must not be blank"
+    # A tombstone is neither.
+    assert {r.n: r.reject_reason for r in bad.collect()} == {1: "malformed JSON", 2: blank, 3: blank}

@@ -4,10 +4,13 @@ from datetime import datetime
 
 import pytest
 
-from obslake.jobs import compact, config, external, logs, query, stream
+from pyspark.sql import functions as F
+
+from obslake.jobs import compact, config, external, logs, query, rollup, stream
 from obslake.sinks.aggregates import read_aggregates_parquet, upsert_aggregates, write_aggregates_parquet
 from obslake.sources.files import read_external_table
 from obslake.sources.tables import read_aggregates
+from obslake.streaming.cdc import latest_snapshot
 from tests.test_serving import aggregates
 
 
@@ -98,3 +101,41 @@ def test_compaction_job(spark, tmp_path, capsys):
     compact.main(["--lake", str(tmp_path), "--keep-seconds", "0"])
     assert "1 merged" in capsys.readouterr().out
     assert read_aggregates_parquet(spark, copy).count() == 3
+
+
+def test_stream_job_keeps_what_it_rejects(spark, tmp_path):
+    topic = tmp_path / "topic"
+    topic.mkdir()
+    metric = json.dumps({"metricName": "m", "value": 1, "serviceId": "s", "timestampMs": 1714478400000})
+    values = [metric, "junk", json.dumps({"op": "u", "serviceName": "N"})]
+    lines = [json.dumps({"key": "k", "value": v, "offset": n, "partition": 0}) for n, v in enumerate(values)]
+    (topic / "0.json").write_text("\n".join(lines))
+    options = {"format": "json", "path": str(topic), "schema": "key string, value string, offset long, partition int"}
+    queries = stream.start(spark, ["snapshot", "aggregates"], str(tmp_path), "unused", source_options=options, trigger={"availableNow": True})
+    assert len(queries) == 4
+    for q in queries:
+        q.awaitTermination(120)
+    where = config.paths(str(tmp_path))
+    found = lambda name: sorted((r.offset, r.raw_value, r.reject_reason) for r in spark.read.json(where[name]).collect())
+    time = "timestampMs is missing or not an integer"
+    assert found("normalized_rejects") == [(1, "junk", "malformed JSON"), (2, values[2], time)]
+    assert found("cdc_rejects") == [(1, "junk", "malformed JSON"), (2, values[2], "serviceId must not be blank")]
+    assert latest_snapshot(spark, where["snapshot"]).count() == 1
+
+
+def test_rollup_takes_whole_windows(spark, tmp_path):
+    where = config.paths(str(tmp_path))
+    upsert_aggregates(aggregates(spark, *range(1, 121)), where["table"])
+    at = lambda *hm: datetime(2024, 1, 15, *hm)
+    # From 10:59 to 11:01 both hours are rolled up whole.
+    rollup.run(spark, where["table"], where["rolled_up"], at(10, 59), at(11, 1))
+    hours = lambda: [(r.window_start.hour, r.count_value, r.avg_value) for r in read_aggregates(spark, where["rolled_up"]).orderBy("window_start").collect()]
+    assert hours() == [(10, 3600, 30.5), (11, 3600, 90.5)]
+    # Minutes that came later change their hour alone, and only once it is rolled up again.
+    upsert_aggregates(aggregates(spark, 301.0).withColumn("sum_value", F.lit(60 * 301.0)), where["table"])
+    rollup.run(spark, where["table"], where["rolled_up"], at(11), at(12))
+    assert hours() == [(10, 3600, 30.5), (11, 3600, 90.5)]
+    rollup.main(["--lake", str(tmp_path), "--from", "2024-01-15T10:05", "--to", "2024-01-15T10:06"])
+    assert hours() == [(10, 3600, 35.5), (11, 3600, 90.5)]
+    with pytest.raises(ValueError, match="strictly before"):
+        rollup.run(spark, where["table"], where["rolled_up"], at(12), at(11))

@@ -91,6 +91,17 @@ def test_range_read_opens_only_its_hours(spark, tmp_path):
     assert [r.value for r in found.collect()] == [float(v) for v in range(23, 50)]
 
 
+def _column_chunks(spark, table):
+    """The column chunks of a table of one row group."""
+    (path,) = [str(p) for p in table.rglob("*.parquet")]
+    jvm = spark._jvm
+    source = jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(jvm.org.apache.hadoop.fs.Path(path), spark._jsc.hadoopConfiguration())
+    reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(source)
+    (block,) = reader.getFooter().getBlocks()
+    reader.close()
+    return {c.getPath().toDotString(): c for c in block.getColumns()}
+
+
 def test_lookup_of_a_name_skips_row_groups(spark, tmp_path):
     table, n = str(tmp_path / "t"), 60_000
     # Too many names for a dictionary, in every metric, so least and greatest name tell nothing.
@@ -102,17 +113,14 @@ def test_lookup_of_a_name_skips_row_groups(spark, tmp_path):
         F.lit(AT).cast("timestamp").alias("window_start"), F.lit(AT + MINUTE).cast("timestamp").alias("window_end"),
     )
     upsert_aggregates(many, table)
-    hadoop = spark._jsc.hadoopConfiguration()
-    (path,) = [str(p) for p in (tmp_path / "t").rglob("*.parquet")]
-    parquet = spark._jvm.org.apache.parquet.hadoop
-    source = parquet.util.HadoopInputFile.fromPath(spark._jvm.org.apache.hadoop.fs.Path(path), hadoop)
-    reader = parquet.ParquetFileReader.open(source)
-    columns = {c.getPath().toDotString(): c for b in reader.getFooter().getBlocks() for c in b.getColumns()}
-    reader.close()
+    columns = _column_chunks(spark, tmp_path / "t")
     assert columns["service_id"].getBloomFilterOffset() > 0
     # Few names are told by their dictionary, numbers are not looked up.
     assert columns["metric_name"].getBloomFilterOffset() < 0 and columns["avg_value"].getBloomFilterOffset() < 0
     assert columns["service_id"].getBloomFilterLength() < 1_048_576
+    # A small batch has a small one.
+    upsert_aggregates(many.limit(3), str(tmp_path / "few"))
+    assert 0 < _column_chunks(spark, tmp_path / "few")["service_id"].getBloomFilterLength() < 2048
     between = (AT, AT + MINUTE)
     ask = lambda metric, service: query_series(read_aggregates(spark, table, between=between), metric, service, *between)
     known = many.where("metric_name = 'cpu'").first().service_id
