@@ -13,7 +13,7 @@ from obslake.plans import views
 from obslake.plans.registry import HOUR, aggregate_output, aggregate_output_sql, aggregate_sql, query
 from obslake.plans.views import SQL, with_sql
 from obslake.schemas import METRIC_AGGREGATE
-from obslake.session import new_shared_path
+from obslake.session import new_shared_path, rocksdb_state
 from obslake.sinks.aggregates import merge_aggregates_parquet, read_aggregates_parquet
 from obslake.sources.tables import read_aggregates
 from obslake.streaming.cdc import latest_snapshot, start_cdc_snapshot
@@ -172,7 +172,8 @@ def streaming_cdc_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     def start(streams: list[DataFrame]) -> StreamingQuery:
         enriched = cdc_enrich_stream(*streams, "timestamp_ms", "seq")
         writer = enriched.writeStream.format("parquet").option("path", out).option("checkpointLocation", state)
-        return writer.trigger(**_ONCE).start()
+        with rocksdb_state(spark):
+            return writer.trigger(**_ONCE).start()
 
     replayed(spark, [_sliced(metrics, metrics), _sliced(changes, metrics)], SLICES, start)
     return spark.read.schema(metrics.schema).parquet(out)

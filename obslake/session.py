@@ -5,9 +5,12 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 # Settings the operators are written for; a cluster may override any of them.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -15,8 +18,7 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    STATE_STORE: "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
@@ -48,6 +50,23 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[app]
 
 
+@contextmanager
+def rocksdb_state(spark: SparkSession) -> Iterator[None]:
+    """Streams that start inside keep their state in RocksDB, whatever the session is set to.
+
+    A stream takes the settings over when it starts; those of the session are as before afterwards.
+    """
+    before = spark.conf.get(STATE_STORE, None)
+    spark.conf.set(STATE_STORE, SETTINGS[STATE_STORE])
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(STATE_STORE)
+        else:
+            spark.conf.set(STATE_STORE, before)
+
+
 def new_shared_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"

@@ -18,57 +18,62 @@ _CHANGE, _METRIC = 0, 1
 _JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "ignoreNullFields": "true"}
 
 
-class _InOrder(StatefulProcessor):
-    """Holds rows until the watermark has passed them, then runs through them in order of arrival."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._handle = handle
-        self._waiting = handle.getListState("waiting", _ROW)
-        self._state = handle.getValueState("state", "body string")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        first = None
-        for frame in rows:
-            # Rows without an arrival come before all others.
-            at = frame["at"].fillna(-1).astype("int64")
-            held = list(zip(at.tolist(), frame["kind"].tolist(), frame["seq"].tolist(), frame["body"].tolist()))
-            self._waiting.appendList([(int(a), int(k), None if pd.isna(s) else int(s), b) for a, k, s, b in held])
-            first = min([first, *at.tolist()]) if first is not None else int(at.min())
-        # One timer a service, for the row that is due first.
-        timers = list(self._handle.listTimers())
-        if first is not None and (not timers or first < min(timers)):
-            for timer in timers:
-                self._handle.deleteTimer(timer)
-            self._handle.registerTimer(first)
-        return iter(())
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        passed = timerValues.getCurrentWatermarkInMs()
-        # A missing number comes first, as in a sort of columns.
-        waiting = sorted(self._waiting.get(), key=lambda r: (r[0], r[1], r[2] is not None, r[2] or 0))
-        ready = [r for r in waiting if r[0] <= passed]
-        rest = waiting[len(ready) :]
-        state = self._state.get()[0] if self._state.exists() else None
-        found = []
-        for _, kind, _, body in ready:
-            if kind == _METRIC:
-                found.append((key[0], body, state))
+def _in_order() -> StatefulProcessor:
+    # A class of a function is sent as code: the worker that Spark starts beside the driver for a
+    # stream does not see the files given to the executors, and need not find this package.
+    class InOrder(StatefulProcessor):
+        """Holds rows until the watermark has passed them, then runs through them in order of arrival."""
+
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self._handle = handle
+            self._waiting = handle.getListState("waiting", _ROW)
+            self._state = handle.getValueState("state", "body string")
+
+        def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+            first = None
+            for frame in rows:
+                # Rows without an arrival come before all others.
+                at = frame["at"].fillna(-1).astype("int64")
+                held = list(zip(at.tolist(), frame["kind"].tolist(), frame["seq"].tolist(), frame["body"].tolist()))
+                self._waiting.appendList([(int(a), int(k), None if pd.isna(s) else int(s), b) for a, k, s, b in held])
+                first = min([first, *at.tolist()]) if first is not None else int(at.min())
+            # One timer a service, for the row that is due first.
+            timers = list(self._handle.listTimers())
+            if first is not None and (not timers or first < min(timers)):
+                for timer in timers:
+                    self._handle.deleteTimer(timer)
+                self._handle.registerTimer(first)
+            return iter(())
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+            passed = timerValues.getCurrentWatermarkInMs()
+            # A missing number comes first, as in a sort of columns.
+            waiting = sorted(self._waiting.get(), key=lambda r: (r[0], r[1], r[2] is not None, r[2] or 0))
+            ready = [r for r in waiting if r[0] <= passed]
+            rest = waiting[len(ready) :]
+            state = self._state.get()[0] if self._state.exists() else None
+            found = []
+            for _, kind, _, body in ready:
+                if kind == _METRIC:
+                    found.append((key[0], body, state))
+                else:
+                    state = body
+            if state is None:
+                self._state.clear()
             else:
-                state = body
-        if state is None:
-            self._state.clear()
-        else:
-            self._state.update((state,))
-        if rest:
-            self._waiting.put([tuple(r) for r in rest])
-            self._handle.registerTimer(rest[0][0])
-        else:
-            self._waiting.clear()
-        for begin in range(0, len(found), 4096):
-            yield pd.DataFrame(found[begin : begin + 4096], columns=["service_id", "body", "state"])
-
-    def close(self) -> None:
-        pass
+                self._state.update((state,))
+            if rest:
+                self._waiting.put([tuple(r) for r in rest])
+                self._handle.registerTimer(rest[0][0])
+            else:
+                self._waiting.clear()
+            for begin in range(0, len(found), 4096):
+                yield pd.DataFrame(found[begin : begin + 4096], columns=["service_id", "body", "state"])
+
+        def close(self) -> None:
+            pass
+
+    return InOrder()
 
 
 def _timed(rows: DataFrame, arrival: str, watermark: str) -> DataFrame:
@@ -105,6 +110,7 @@ def cdc_enrich_stream(
     A service whose last change is a delete keeps no state, nor does one without rows that wait.
     Metrics without a service id have no state of their own and pass once their time has come.
     All rows of a service meet in one task; the state is one row per service and what still waits.
+    Only RocksDB keeps such state: start the stream within ``rocksdb_state``.
     """
     targets = [c for c in METADATA if c in metrics.columns]
     gone = F.coalesce(F.lower("op") == "d", F.lit(False))
@@ -114,7 +120,7 @@ def cdc_enrich_stream(
         *_columns(_METRIC, arrival, metric_seq, F.to_json(F.struct(*metrics.columns), _JSON))
     )
     merged = rows.unionByName(feed.select(*_columns(_CHANGE, arrival, change_seq, state)))
-    enriched = merged.groupBy("service_id").transformWithStateInPandas(_InOrder(), _OUT, "Append", "EventTime")
+    enriched = merged.groupBy("service_id").transformWithStateInPandas(_in_order(), _OUT, "Append", "EventTime")
     known = F.from_json("state", "struct<" + ", ".join(f"{c}: string" for c in targets) + ">")
     row = F.from_json("body", metrics.schema, _JSON)
     return enriched.select(known.alias("known"), row.alias("row")).select(

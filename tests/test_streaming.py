@@ -1,19 +1,26 @@
+import datetime
 import itertools
 import json
 import os
+import subprocess
+import sys
 from pathlib import Path
 
+import duckdb
 import pytest
+from pyspark.serializers import CPickleSerializer
 from pyspark.sql import functions as F
 
 from obslake.operators.windows import window_aggregate
+from obslake.plans.catalog import ORACLES, QUERIES
 from obslake.schemas import METRIC_AGGREGATE
+from obslake.session import STATE_STORE
 from obslake.sinks.topics import print_user_events
 from obslake.sources.tables import read_aggregates, seed_metadata
 from obslake.sources.topics import read_topic
 from obslake.streaming import cdc, flows
 from obslake.streaming.cdc import apply_changes, latest_snapshot, start_cdc_snapshot
-from obslake.streaming.ordered import cdc_enrich_stream
+from obslake.streaming.ordered import _in_order, cdc_enrich_stream
 
 ONCE = {"availableNow": True}
 T0 = 1705312800000
@@ -286,6 +293,43 @@ def test_changes_in_arrival_order_over_restarts(spark, tmp_path):
     assert run() == second + [(20_000, 7.0, "Z"), (20_000, 7.5, "Z")]
 
 
+def test_changes_in_order_with_the_state_store_spark_begins_with(spark, tmp_path):
+    """The query sets what its state needs, for its own streams."""
+    day = lambda n: None if n is None else datetime.datetime(2024, 1, 1 + n)
+    orders = [(1, 5, "P", 2, 300000.0), (2, 5, "O", 8, 1.0), (3, 5, "F", 14, 1.0), (5, None, "P", 1, 1.0), (6, 7, "O", 29, 1.0), (7, 5, "O", 8, 150000.0)]
+    items = [(5, n, float(n)) for n in range(0, 30, 3)] + [(6, 20, 1.0), (7, 28, 2.0), (None, 9, 3.0)]
+    spark.createDataFrame(
+        [(k, c, s, day(d), p, "1-URGENT") for k, c, s, d, p in orders],
+        "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp_ntz, o_totalprice double, o_orderpriority string",
+    ).coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame(
+        [(k, day(d), v, "N") for k, d, v in items], "l_suppkey long, l_shipdate timestamp_ntz, l_extendedprice double, l_returnflag string"
+    ).coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    before = spark.conf.get(STATE_STORE)
+    plain = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    spark.conf.set(STATE_STORE, plain)
+    try:
+        got = QUERIES["streaming_cdc_in_order"](spark, str(tmp_path))
+        assert spark.conf.get(STATE_STORE) == plain
+    finally:
+        spark.conf.set(STATE_STORE, before)
+    con = duckdb.connect()
+    for name in ("orders", "lineitem"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    want = con.execute(ORACLES["streaming_cdc_in_order"])
+    columns = [d[0] for d in want.description]
+    assert sorted((tuple(r) for r in got.select(*columns).collect()), key=repr) == sorted(want.fetchall(), key=repr)
+    assert {r.service_name for r in got.collect()} == {None, "Release 1", "Release 7"}
+
+
+def test_the_processor_of_changes_is_read_where_the_package_is_not(tmp_path):
+    """Spark reads it in a worker beside the driver, too, which has no files given to the executors."""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    read = "import pickle, sys; print(type(pickle.load(sys.stdin.buffer)).__mro__[1].__name__, 'obslake' in sys.modules)"
+    ran = subprocess.run([sys.executable, "-c", read], input=CPickleSerializer().dumps(_in_order()), cwd=tmp_path, env=env, capture_output=True)
+    assert ran.stdout.decode().split() == ["StatefulProcessor", "False"], ran.stderr.decode()
+
+
 def test_stream_aggregation_is_hashed(spark, tmp_path):
     src = str(tmp_path / "in")
     put(src, "1", metric(1.0, 0), metric(2.0, 500_000))
