@@ -161,12 +161,15 @@ FROM sales_metrics m ASOF LEFT JOIN last_changes l
 WHERE m.timestamp_ms <= least((SELECT max(timestamp_ms) FROM sales_metrics), (SELECT max(timestamp_ms) FROM cdc_changes)) - 5000"""),
 )
 def streaming_cdc_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Metrics and changes as streams in several runs; each metric meets the state of its arrival."""
-    text = F.lit(None).cast("string")
-    metrics = views.sales_metrics(spark, sf_dir).select(
+    """Metrics and changes as streams in several runs; each metric meets the state of its arrival.
+
+    Rows without a time have not arrived: such a metric is left out, such a change applies to none.
+    """
+    text, timed = F.lit(None).cast("string"), F.col("timestamp_ms").isNotNull()
+    metrics = views.sales_metrics(spark, sf_dir).where(timed).select(
         "*", text.alias("service_name"), F.lit("none").alias("team"), text.alias("environment")
     )
-    changes = views.cdc_changes(spark, sf_dir)
+    changes = views.cdc_changes(spark, sf_dir).where(timed)
     out, state = new_shared_path(spark, "stream-out"), new_shared_path(spark, "stream-state")
 
     def start(streams: list[DataFrame]) -> StreamingQuery:
