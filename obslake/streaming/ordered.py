@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -12,32 +15,39 @@ from obslake.functions.text import is_blank
 from obslake.operators.windows import WATERMARK
 from obslake.schemas import METADATA
 
-_ROW = "at long, kind int, seq long, body string"
-_OUT = "service_id string, body string, state string"
+_OUT = "body string, state string"
 _CHANGE, _METRIC = 0, 1
 _JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "ignoreNullFields": "true"}
+# Buckets of services; the state of a stream keeps the number it began with.
+BUCKETS = 1024
 
 
 def _in_order() -> StatefulProcessor:
     # A class of a function is sent as code: the worker that Spark starts beside the driver for a
     # stream does not see the files given to the executors, and need not find this package.
     class InOrder(StatefulProcessor):
-        """Holds rows until the watermark has passed them, then runs through them in order of arrival."""
+        """Holds rows until the watermark has passed them, then runs through them in order of arrival.
+
+        A key is a bucket of services.  Rows wait as compressed tables, one for each frame that
+        came, and the states of a bucket's services are one table, so a call to the state store
+        moves many rows.
+        """
+
+        PIECE = 8192
 
         def init(self, handle: StatefulProcessorHandle) -> None:
             self._handle = handle
-            self._waiting = handle.getListState("waiting", _ROW)
-            self._state = handle.getValueState("state", "body string")
+            self._waiting = handle.getListState("waiting", "rows binary")
+            self._states = handle.getValueState("states", "rows binary")
 
         def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
             first = None
             for frame in rows:
-                # Rows without an arrival come before all others.
-                at = frame["at"].fillna(-1).astype("int64")
-                held = list(zip(at.tolist(), frame["kind"].tolist(), frame["seq"].tolist(), frame["body"].tolist()))
-                self._waiting.appendList([(int(a), int(k), None if pd.isna(s) else int(s), b) for a, k, s, b in held])
-                first = min([first, *at.tolist()]) if first is not None else int(at.min())
-            # One timer a service, for the row that is due first.
+                table = self._table(frame["row"])
+                self._waiting.appendValue((self._packed(table),))
+                earliest = pc.min(table["at"]).as_py()
+                first = earliest if first is None else min(first, earliest)
+            # One timer a bucket, for the row that is due first.
             timers = list(self._handle.listTimers())
             if first is not None and (not timers or first < min(timers)):
                 for timer in timers:
@@ -46,29 +56,71 @@ def _in_order() -> StatefulProcessor:
             return iter(())
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-            passed = timerValues.getCurrentWatermarkInMs()
-            # A missing number comes first, as in a sort of columns.
-            waiting = sorted(self._waiting.get(), key=lambda r: (r[0], r[1], r[2] is not None, r[2] or 0))
-            ready = [r for r in waiting if r[0] <= passed]
-            rest = waiting[len(ready) :]
-            state = self._state.get()[0] if self._state.exists() else None
-            found = []
-            for _, kind, _, body in ready:
-                if kind == _METRIC:
-                    found.append((key[0], body, state))
-                else:
-                    state = body
-            if state is None:
-                self._state.clear()
-            else:
-                self._state.update((state,))
-            if rest:
-                self._waiting.put([tuple(r) for r in rest])
-                self._handle.registerTimer(rest[0][0])
+            waiting = pa.concat_tables(self._unpacked(rows) for (rows,) in self._waiting.get())
+            due = pc.less_equal(waiting["at"], timerValues.getCurrentWatermarkInMs())
+            ready, rest = waiting.filter(due), waiting.filter(pc.invert(due))
+            del waiting
+            if len(rest):
+                self._waiting.put([(self._packed(rest.slice(n, self.PIECE)),) for n in range(0, len(rest), self.PIECE)])
+                self._handle.registerTimer(pc.min(rest["at"]).as_py())
             else:
                 self._waiting.clear()
-            for begin in range(0, len(found), 4096):
-                yield pd.DataFrame(found[begin : begin + 4096], columns=["service_id", "body", "state"])
+            return self._run(ready)
+
+        def _run(self, ready: pa.Table) -> Iterator[pd.DataFrame]:
+            held = self._unpacked(self._states.get()[0]) if self._states.exists() else None
+            before = len(held) if held is not None else 0
+            # A state from earlier is a change before all others.
+            both = lambda name: ready[name] if held is None else pa.chunked_array([*held[name].chunks, *ready[name].chunks])
+            names = both("service").combine_chunks().dictionary_encode()
+            names = names.combine_chunks() if isinstance(names, pa.ChunkedArray) else names
+            service, bodies = names.indices.to_numpy(), both("body")
+            early = lambda values, value: np.concatenate([np.full(before, value, "int64"), values.to_numpy()])
+            at, kind = early(ready["at"], np.iinfo("int64").min), early(ready["kind"], _CHANGE)
+            # A missing number comes first, as in a sort of columns.
+            seq, numbered = early(pc.fill_null(ready["seq"], 0), 0), early(pc.cast(pc.is_valid(ready["seq"]), "int64"), 0)
+            order = np.lexsort((seq, numbered, kind, at, service))
+            service, metric = service[order], kind[order] == _METRIC
+            starts = np.flatnonzero(np.r_[True, service[1:] != service[:-1]])
+            # The place of the last change of the same service; -1 before its first.
+            last = np.maximum.accumulate(np.where(metric, -1, np.arange(len(order))))
+            last[last < np.repeat(starts, np.diff(np.r_[starts, len(order)]))] = -1
+            change = np.where(last >= 0, order[last], -1)
+            if before < len(order) - np.count_nonzero(metric):
+                ends = np.r_[starts[1:], len(order)] - 1
+                ends = ends[change[ends] >= 0]
+                states = pa.table({"service": names.dictionary.take(pa.array(service[ends])), "body": bodies.take(pa.array(change[ends]))})
+                states = states.filter(pc.is_valid(states["body"]))
+                if len(states):
+                    self._states.update((self._packed(states),))
+                else:
+                    self._states.clear()
+            rows, change = order[metric], change[metric]
+            for n in range(0, len(rows), self.PIECE):
+                of = change[n : n + self.PIECE]
+                yield pd.DataFrame({
+                    "body": bodies.take(pa.array(rows[n : n + self.PIECE])).to_pandas(),
+                    "state": bodies.take(pa.array(of, mask=of < 0)).to_pandas(),
+                })
+
+        def _table(self, rows: pd.Series) -> pa.Table:
+            """The columns of rows that came as text."""
+            parts = pc.split_pattern(pa.array(rows.tolist(), pa.large_string()), "\t", max_splits=4).flatten()
+            at, kind, seq, body, service = (parts.take(pa.array(np.arange(n, len(parts), 5))) for n in range(5))
+            some = lambda column: pc.if_else(pc.equal(column, ""), None, column)
+            return pa.table({
+                "at": at.cast("int64"), "kind": kind.cast("int64"), "seq": some(seq).cast("int64"), "body": some(body), "service": service,
+            })
+
+        def _packed(self, table: pa.Table) -> bytes:
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+                stream.write_table(table)
+            return sink.getvalue().to_pybytes()
+
+        def _unpacked(self, rows: bytes) -> pa.Table:
+            with pa.ipc.open_stream(rows) as stream:
+                return stream.read_all()
 
         def close(self) -> None:
             pass
@@ -80,15 +132,15 @@ def _timed(rows: DataFrame, arrival: str, watermark: str) -> DataFrame:
     return rows.withColumn("_at", F.timestamp_millis(arrival)).withWatermark("_at", watermark)
 
 
-def _columns(kind: int, arrival: str, seq: str | None, body: Column) -> list[Column]:
-    return [
-        "service_id",
-        "_at",
-        F.col(arrival).cast("long").alias("at"),
-        F.lit(kind).alias("kind"),
-        (F.col(seq).cast("long") if seq else F.lit(None).cast("long")).alias("seq"),
-        body.alias("body"),
-    ]
+def _columns(kind: int, arrival: str, seq: str | None, body: Column, buckets: int) -> list[Column]:
+    """Bucket, time and all else as one text: Spark hands rows to the processor value by value."""
+    text = lambda column: F.coalesce(column.cast("long").cast("string"), F.lit(""))
+    # Rows without an arrival come before all others.  JSON has no tabs, and the service may have some.
+    at, number = F.coalesce(F.col(arrival).cast("long"), F.lit(-1)), F.col(seq) if seq else F.lit(None)
+    row = F.concat_ws("\t", text(at), F.lit(str(kind)), text(number), F.coalesce(body, F.lit("")), F.coalesce("service_id", F.lit("")))
+    # Rows without a service have no state, so any bucket does.
+    spread = F.when(F.col("service_id").isNull(), F.xxhash64(at)).otherwise(F.xxhash64("service_id"))
+    return [F.pmod(spread, F.lit(buckets)).cast("int").alias("bucket"), F.col("_at"), row.alias("row")]
 
 
 def cdc_enrich_stream(
@@ -98,6 +150,7 @@ def cdc_enrich_stream(
     change_seq: str,
     metric_seq: str | None = None,
     watermark: str = WATERMARK,
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """Each metric of a stream with the state its service had when the metric arrived; append mode.
 
@@ -109,7 +162,9 @@ def cdc_enrich_stream(
 
     A service whose last change is a delete keeps no state, nor does one without rows that wait.
     Metrics without a service id have no state of their own and pass once their time has come.
-    All rows of a service meet in one task; the state is one row per service and what still waits.
+    Services fall into ``buckets``, whose number may not change while a checkpoint lives.  All rows of
+    a bucket meet in one task, which holds those that come due at once and the states of its services;
+    the state store keeps both as tables.
     Only RocksDB keeps such state: start the stream within ``rocksdb_state``.
     """
     targets = [c for c in METADATA if c in metrics.columns]
@@ -117,10 +172,10 @@ def cdc_enrich_stream(
     state = F.when(~gone, F.to_json(F.struct(*targets), _JSON))
     feed = _timed(changes.filter(~is_blank(F.col("service_id"))), arrival, watermark)
     rows = _timed(metrics, arrival, watermark).select(
-        *_columns(_METRIC, arrival, metric_seq, F.to_json(F.struct(*metrics.columns), _JSON))
+        *_columns(_METRIC, arrival, metric_seq, F.to_json(F.struct(*metrics.columns), _JSON), buckets)
     )
-    merged = rows.unionByName(feed.select(*_columns(_CHANGE, arrival, change_seq, state)))
-    enriched = merged.groupBy("service_id").transformWithStateInPandas(_in_order(), _OUT, "Append", "EventTime")
+    merged = rows.unionByName(feed.select(*_columns(_CHANGE, arrival, change_seq, state, buckets)))
+    enriched = merged.groupBy("bucket").transformWithStateInPandas(_in_order(), _OUT, "Append", "EventTime")
     known = F.from_json("state", "struct<" + ", ".join(f"{c}: string" for c in targets) + ">")
     row = F.from_json("body", metrics.schema, _JSON)
     return enriched.select(known.alias("known"), row.alias("row")).select(

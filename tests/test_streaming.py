@@ -2,6 +2,7 @@ import datetime
 import itertools
 import json
 import os
+import random
 import subprocess
 import sys
 from pathlib import Path
@@ -20,7 +21,7 @@ from obslake.sources.tables import read_aggregates, seed_metadata
 from obslake.sources.topics import read_topic
 from obslake.streaming import cdc, flows
 from obslake.streaming.cdc import apply_changes, latest_snapshot, start_cdc_snapshot
-from obslake.streaming.ordered import _in_order, cdc_enrich_stream
+from obslake.streaming.ordered import BUCKETS, _in_order, cdc_enrich_stream
 
 ONCE = {"availableNow": True}
 T0 = 1705312800000
@@ -322,6 +323,59 @@ def test_changes_in_order_with_the_state_store_spark_begins_with(spark, tmp_path
     assert {r.service_name for r in got.collect()} == {None, "Release 1", "Release 7"}
 
 
+def test_state_in_order_is_called_by_buckets_not_by_services(spark, tmp_path):
+    """A timer, a list of what waits and a table of states serve all services of a bucket."""
+    services, src, feed, out = 3000, str(tmp_path / "in"), str(tmp_path / "feed"), str(tmp_path / "out")
+    put(src, "1", *[{"service_id": f"s{n}", "team": "own", "value": 1.0, "timestamp_ms": T0 + n % 7} for n in range(services)])
+    put(feed, "1", *[{"op": "u", "service_id": f"s{n}", "team": f"t{n}", "timestamp_ms": T0, "seq": n} for n in range(0, services, 2)])
+    put(src, "2", {"service_id": "s0", "value": 2.0, "timestamp_ms": T0 + 60_000})
+    put(feed, "2", {"op": "d", "service_id": "s1", "timestamp_ms": T0 + 60_000})
+    metrics, changes = (spark.readStream.schema(k).json(p) for k, p in ((ORDERED, src), (FEED, feed)))
+    query = cdc_enrich_stream(metrics, changes, "timestamp_ms", "seq").writeStream.format("parquet").option("path", out).option(
+        "checkpointLocation", str(tmp_path / "ck")
+    ).trigger(**ONCE).start()
+    query.awaitTermination()
+    timers = [p["stateOperators"][0]["customMetrics"]["numRegisteredTimers"] for p in query.recentProgress]
+    assert 0 < max(timers) <= BUCKETS < services
+    rows = spark.read.schema(ORDERED).parquet(out).collect()
+    assert {r.service_id: r.team for r in rows} == {f"s{n}": "own" if n % 2 else f"t{n}" for n in range(services)}
+    assert len(rows) == services
+
+
+def test_services_of_one_bucket_keep_apart(spark, tmp_path):
+    """Random rows over several runs against a plain loop, with hardly any buckets."""
+    rnd, runs, events, updates, seen = random.Random(4), 4, [], [], set()
+    for n in range(600):
+        at = rnd.randrange(80) * 500
+        service = rnd.choice(["a", "b", "b\tc", 'd"', "", " ", "é", None])
+        if n % 3:
+            events.append({"service_id": service, "team": "own", "value": float(n), "timestamp_ms": T0 + at, "offset": n})
+        else:
+            op, team = rnd.choice("cudD"), rnd.choice(["x\ty", "z", None])
+            updates.append({"op": op, "service_id": service, "team": team, "timestamp_ms": T0 + at, "seq": n if (service, at) in seen else None})
+            seen.add((service, at))
+    # Each run is one of equal time spans; the last row of both lets all others pass.
+    events.append({"service_id": "a", "team": "own", "value": -1.0, "timestamp_ms": T0 + 90_000, "offset": 0})
+    updates.append({"op": "u", "service_id": "a", "team": "end", "timestamp_ms": T0 + 90_000, "seq": 0})
+    src, feed, out, ck = (str(tmp_path / n) for n in ("in", "feed", "out", "ck"))
+    for run in range(runs):
+        for rows, folder in ((events, src), (updates, feed)):
+            put(folder, str(run), *[r for r in rows if min(runs - 1, (r["timestamp_ms"] - T0) // 10_000) == run])
+        metrics, changes = (spark.readStream.schema(k).json(p) for k, p in ((ORDERED, src), (FEED, feed)))
+        cdc_enrich_stream(metrics, changes, "timestamp_ms", "seq", "offset", buckets=2).writeStream.format("parquet").option("path", out).option(
+            "checkpointLocation", ck
+        ).trigger(**ONCE).start().awaitTermination()
+    want = []
+    for e in events[:-1]:
+        before = [u for u in updates if u["service_id"] == e["service_id"] and (u["service_id"] or "").strip() and u["timestamp_ms"] <= e["timestamp_ms"]]
+        last = max(before, key=lambda u: (u["timestamp_ms"], -1 if u["seq"] is None else u["seq"]), default=None)
+        team = None if last is None or last["op"].lower() == "d" else last["team"]
+        want.append((e["offset"], e["service_id"], e["value"], "own" if team is None else team))
+    got = [(r.offset, r.service_id, r.value, r.team) for r in spark.read.schema(ORDERED).parquet(out).collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    assert {"x\ty", "z", "own"} == {r[3] for r in got}
+
+
 def test_the_processor_of_changes_is_read_where_the_package_is_not(tmp_path):
     """Spark reads it in a worker beside the driver, too, which has no files given to the executors."""
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
