@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from obslake.operators.windows import window_aggregate
@@ -138,9 +138,13 @@ def streaming_aggregates_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select(*copied.columns, ((F.col("c") == 1) & (F.col("t") == 1)).alias("in_table"))
 
 
-def _sliced(rows: DataFrame, of: DataFrame, slices: int = SLICES) -> DataFrame:
-    """Slices of equal length in event time, over the span of ``of``."""
-    span = of.agg(F.min("timestamp_ms").alias("lo"), F.max("timestamp_ms").alias("hi")).first()
+def _span(rows: DataFrame) -> Row:
+    return rows.agg(F.min("timestamp_ms").alias("lo"), F.max("timestamp_ms").alias("hi")).first()
+
+
+def _sliced(rows: DataFrame, of: DataFrame | Row, slices: int = SLICES) -> DataFrame:
+    """Slices of equal length in event time, over the span of ``of``, which may be known."""
+    span = of if isinstance(of, Row) else _span(of)
     width = (span["hi"] - span["lo"]) // slices + 1
     return rows.withColumn("slice", F.greatest(F.lit(0), F.least(F.lit(slices - 1), F.expr(f"(timestamp_ms - {span['lo']}) div {width}"))))
 
@@ -175,10 +179,12 @@ def streaming_cdc_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     def start(streams: list[DataFrame]) -> StreamingQuery:
         enriched = cdc_enrich_stream(*streams, "timestamp_ms", "seq")
         writer = enriched.writeStream.format("parquet").option("path", out).option("checkpointLocation", state)
-        with rocksdb_state(spark):
+        # A task's worker takes long to begin, and the buckets of the state bound what it holds.
+        with rocksdb_state(spark, 2 * spark.sparkContext.defaultParallelism):
             return writer.trigger(**_ONCE).start()
 
-    replayed(spark, [_sliced(metrics, metrics), _sliced(changes, metrics)], SLICES, start)
+    span = _span(metrics)
+    replayed(spark, [_sliced(metrics, span), _sliced(changes, span)], SLICES, start)
     return spark.read.schema(metrics.schema).parquet(out)
 
 

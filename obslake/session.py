@@ -11,6 +11,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+PARTITIONS = "spark.sql.shuffle.partitions"
 # Settings the operators are written for; a cluster may override any of them.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -51,20 +52,26 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 @contextmanager
-def rocksdb_state(spark: SparkSession) -> Iterator[None]:
+def rocksdb_state(spark: SparkSession, partitions: int | None = None) -> Iterator[None]:
     """Streams that start inside keep their state in RocksDB, whatever the session is set to.
 
+    A new stream has no more than ``partitions`` parts of its state; one that goes on keeps its number.
     A stream takes the settings over when it starts; those of the session are as before afterwards.
     """
-    before = spark.conf.get(STATE_STORE, None)
-    spark.conf.set(STATE_STORE, SETTINGS[STATE_STORE])
+    settings = {STATE_STORE: SETTINGS[STATE_STORE]}
+    if partitions:
+        settings[PARTITIONS] = str(min(partitions, int(spark.conf.get(PARTITIONS))))
+    before = {key: spark.conf.get(key, None) for key in settings}
     try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
         yield
     finally:
-        if before is None:
-            spark.conf.unset(STATE_STORE)
-        else:
-            spark.conf.set(STATE_STORE, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def new_shared_path(spark: SparkSession, label: str) -> str:

@@ -19,7 +19,7 @@ _OUT = "body string, state string"
 _CHANGE, _METRIC = 0, 1
 _JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "ignoreNullFields": "true"}
 # Buckets of services; the state of a stream keeps the number it began with.
-BUCKETS = 1024
+BUCKETS = 512
 
 
 def _in_order() -> StatefulProcessor:
@@ -73,7 +73,6 @@ def _in_order() -> StatefulProcessor:
             # A state from earlier is a change before all others.
             both = lambda name: ready[name] if held is None else pa.chunked_array([*held[name].chunks, *ready[name].chunks])
             names = both("service").combine_chunks().dictionary_encode()
-            names = names.combine_chunks() if isinstance(names, pa.ChunkedArray) else names
             service, bodies = names.indices.to_numpy(), both("body")
             early = lambda values, value: np.concatenate([np.full(before, value, "int64"), values.to_numpy()])
             at, kind = early(ready["at"], np.iinfo("int64").min), early(ready["kind"], _CHANGE)
@@ -132,15 +131,20 @@ def _timed(rows: DataFrame, arrival: str, watermark: str) -> DataFrame:
     return rows.withColumn("_at", F.timestamp_millis(arrival)).withWatermark("_at", watermark)
 
 
-def _columns(kind: int, arrival: str, seq: str | None, body: Column, buckets: int) -> list[Column]:
-    """Bucket, time and all else as one text: Spark hands rows to the processor value by value."""
+def _columns(rows: DataFrame, kind: int, arrival: str, seq: str | None, body: Column, buckets: int) -> list[Column]:
+    """Bucket, time and all else as one text: Spark hands rows to the processor value by value.
+
+    A time would become an object for each row; its number, which is what Spark compares with the
+    watermark, takes over the mark by which late rows are known.
+    """
+    time = F.unix_micros("_at").alias("_at", metadata=rows.schema["_at"].metadata)
     text = lambda column: F.coalesce(column.cast("long").cast("string"), F.lit(""))
     # Rows without an arrival come before all others.  JSON has no tabs, and the service may have some.
     at, number = F.coalesce(F.col(arrival).cast("long"), F.lit(-1)), F.col(seq) if seq else F.lit(None)
     row = F.concat_ws("\t", text(at), F.lit(str(kind)), text(number), F.coalesce(body, F.lit("")), F.coalesce("service_id", F.lit("")))
     # Rows without a service have no state, so any bucket does.
     spread = F.when(F.col("service_id").isNull(), F.xxhash64(at)).otherwise(F.xxhash64("service_id"))
-    return [F.pmod(spread, F.lit(buckets)).cast("int").alias("bucket"), F.col("_at"), row.alias("row")]
+    return [F.pmod(spread, F.lit(buckets)).cast("int").alias("bucket"), time, row.alias("row")]
 
 
 def cdc_enrich_stream(
@@ -171,10 +175,11 @@ def cdc_enrich_stream(
     gone = F.coalesce(F.lower("op") == "d", F.lit(False))
     state = F.when(~gone, F.to_json(F.struct(*targets), _JSON))
     feed = _timed(changes.filter(~is_blank(F.col("service_id"))), arrival, watermark)
-    rows = _timed(metrics, arrival, watermark).select(
-        *_columns(_METRIC, arrival, metric_seq, F.to_json(F.struct(*metrics.columns), _JSON), buckets)
+    rows = _timed(metrics, arrival, watermark)
+    body = F.to_json(F.struct(*metrics.columns), _JSON)
+    merged = rows.select(*_columns(rows, _METRIC, arrival, metric_seq, body, buckets)).unionByName(
+        feed.select(*_columns(feed, _CHANGE, arrival, change_seq, state, buckets))
     )
-    merged = rows.unionByName(feed.select(*_columns(_CHANGE, arrival, change_seq, state, buckets)))
     enriched = merged.groupBy("bucket").transformWithStateInPandas(_in_order(), _OUT, "Append", "EventTime")
     known = F.from_json("state", "struct<" + ", ".join(f"{c}: string" for c in targets) + ">")
     row = F.from_json("body", metrics.schema, _JSON)

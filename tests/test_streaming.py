@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from obslake.operators.windows import window_aggregate
 from obslake.plans.catalog import ORACLES, QUERIES
 from obslake.schemas import METRIC_AGGREGATE
-from obslake.session import STATE_STORE
+from obslake.session import PARTITIONS, STATE_STORE, rocksdb_state
 from obslake.sinks.topics import print_user_events
 from obslake.sources.tables import read_aggregates, seed_metadata
 from obslake.sources.topics import read_topic
@@ -342,6 +342,15 @@ def test_state_in_order_is_called_by_buckets_not_by_services(spark, tmp_path):
     assert len(rows) == services
 
 
+def test_a_new_stream_may_have_fewer_parts_of_its_state(spark):
+    before = spark.conf.get(PARTITIONS)
+    for asked, got in ((2, "2"), (10_000, before), (None, before)):
+        with pytest.raises(KeyError), rocksdb_state(spark, asked):
+            assert spark.conf.get(PARTITIONS) == got
+            raise KeyError
+        assert spark.conf.get(PARTITIONS) == before
+
+
 def test_services_of_one_bucket_keep_apart(spark, tmp_path):
     """Random rows over several runs against a plain loop, with hardly any buckets."""
     rnd, runs, events, updates, seen = random.Random(4), 4, [], [], set()
